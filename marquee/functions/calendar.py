@@ -17,13 +17,13 @@ def half_label(day: Column) -> Column:
     return F.concat(F.year(day).cast("string"), half)
 
 
-def half_start(label: Column) -> Column:
-    month = F.when(label.endswith("H1"), 1).otherwise(7)
-    return F.make_date(F.substring(label, 1, 4).cast("int"), month, F.lit(1))
+def half_start(day: Column) -> Column:
+    """First day of the half-year holding ``day``."""
+    return F.make_date(F.year(day), F.when(F.month(day) <= 6, 1).otherwise(7), F.lit(1))
 
 
-def half_end(label: Column) -> Column:
-    return F.date_sub(F.add_months(half_start(label), 6), 1)
+def half_end(day: Column) -> Column:
+    return F.date_sub(F.add_months(half_start(day), 6), 1)
 
 
 def date_parts(day: Column) -> dict[str, Column]:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions import calendar, text
 from marquee.operators.spread import dense_ids
+from marquee.session import together
+from marquee.sources import charts
 from marquee.sources.tables import Star, read_star
 
 TITLE_KEY = ["title_name", "content_type"]
@@ -85,35 +87,45 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def build_star(half_feed: DataFrame, weekly_feed: DataFrame, folder: str) -> Star:
-    """Write the five tables under ``folder`` and return them.
+    """Replace the five tables under ``folder`` and return them.
 
-    Layout instead of indexes. The weekly fact is split by year and sorted by
-    week, so file statistics skip to the wanted weeks; a year is bounded by
-    weeks x markets x slots. The half-year fact is range-partitioned by period
-    and title, so even a period holding most rows spreads over many tasks.
+    The layout of the two facts stands in for indexes.
     """
-    spark = half_feed.sparkSession
-    titles = write_table(dim_title(half_feed, weekly_feed), f"{folder}/dim_title")
-    regions = write_table(dim_region(weekly_feed), f"{folder}/dim_region")
-    write_table(dim_date(half_feed, weekly_feed), f"{folder}/dim_date")
+    titles, regions, _ = together(
+        lambda: write_table(dim_title(half_feed, weekly_feed), f"{folder}/dim_title"),
+        lambda: write_table(dim_region(weekly_feed), f"{folder}/dim_region"),
+        lambda: write_table(dim_date(half_feed, weekly_feed), f"{folder}/dim_date"),
+    )
+    together(
+        lambda: write_weekly(fact_weekly(weekly_feed, titles, regions), folder),
+        lambda: write_half(fact_half(half_feed, titles), folder),
+    )
+    return read_star(half_feed.sparkSession, folder)
+
+
+def write_weekly(fact: DataFrame, folder: str) -> None:
+    """Split by year and sorted by week, so that file statistics skip to the
+    wanted weeks; a year is bounded by weeks x markets x slots."""
     (
-        fact_weekly(weekly_feed, titles, regions)
-        .withColumn("year", F.year("date_key"))
+        fact.withColumn("year", F.year("date_key"))
         .repartition("year")
         .sortWithinPartitions("year", "date_key", "region_id", "weekly_rank")
         .write.mode("overwrite")
         .partitionBy("year")
         .parquet(f"{folder}/fact_top10_weekly")
     )
+
+
+def write_half(fact: DataFrame, folder: str) -> None:
+    """Split by period and ranged by title within it, so that even a period
+    holding most rows is written by many tasks."""
     (
-        fact_half(half_feed, titles)
-        .repartitionByRange("period_label", "title_id")
+        fact.repartitionByRange("period_label", "title_id")
         .sortWithinPartitions("period_label", "title_id")
         .write.mode("overwrite")
         .partitionBy("period_label")
         .parquet(f"{folder}/fact_engagement_half")
     )
-    return read_star(spark, folder)
 
 
 def export_csv(star: Star, folder: str) -> None:
@@ -134,12 +146,12 @@ def export_csv(star: Star, folder: str) -> None:
         )
 
 
-def read_feeds_and_build(
-    spark: SparkSession, half_feed: DataFrame, global_raw: DataFrame, country_raw: DataFrame, folder: str
+def build_from_files(
+    half_feed: DataFrame, global_raw: DataFrame, country_raw: DataFrame, folder: str
 ) -> Star:
     """Conform both charts, stage the feeds once, then build the tables."""
-    from marquee.sources.charts import weekly_feed
-
-    half = write_table(half_feed, f"{folder}/feed_half")
-    weekly = write_table(weekly_feed(global_raw, country_raw), f"{folder}/feed_weekly")
+    half, weekly = together(
+        lambda: write_table(half_feed, f"{folder}/feed_half"),
+        lambda: write_table(charts.weekly_feed(global_raw, country_raw), f"{folder}/feed_weekly"),
+    )
     return build_star(half, weekly, folder)

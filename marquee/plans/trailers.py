@@ -124,8 +124,8 @@ def trailer_vs_engagement(
     """Trailer views beside viewing, ranked within each content type.
 
     Several works may share a title; the release guard picks the ones of this
-    period, and a title with two of them keeps both. A content type may hold
-    any number of rows, so the ranks use the spread form.
+    period, and a title with two of them keeps both. The joined rows are
+    checkpointed and counted, as the ranks choose their form by that size.
     """
     works = half.filter(
         (F.col("period_label") == period) & (F.col("release_date") >= released_from)
@@ -136,12 +136,12 @@ def trailer_vs_engagement(
         .join(works, "title_id")
         .join(chart_history(weekly, regions), "title_id", "left")
     )
-    ranked = rank_desc(
-        rank_desc(rows, ["content_type"], "view_count", "trailer_rank_in_type"),
-        ["content_type"],
-        "hours_viewed",
-        "hours_rank_in_type",
-    )
+    size, ranked = rows.count(), rows
+    for value, rank in [
+        ("view_count", "trailer_rank_in_type"),
+        ("hours_viewed", "hours_rank_in_type"),
+    ]:
+        ranked = rank_desc(ranked, size, ["content_type"], value, rank)
     return ranked.select(
         "title_name",
         "content_type",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from marquee.functions import text
 from marquee.plans import trailers
 from marquee.plans.star import build_star, write_table
-from marquee.session import shared_dir
+from marquee.session import shared_dir, together
 from marquee.sources import charts, reports, shop
 from marquee.sources.tables import Star
 
@@ -63,7 +63,9 @@ class Warehouse:
 
     @cached_property
     def star(self) -> Star:
-        return build_star(self.half_feed, self.weekly_feed, self.folder)
+        self.viewing  # noqa: B018 - both feeds roll it up
+        half, weekly = together(lambda: self.half_feed, lambda: self.weekly_feed)
+        return build_star(half, weekly, self.folder)
 
     @cached_property
     def trailer_map(self) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +49,10 @@ def cut_lineage(df):
     """Reliable checkpoint: the rows survive the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def together(*actions: Callable[[], Any]) -> list[Any]:
+    """Run independent actions at once, so that the small jobs of one fill the
+    executors left idle by another; results come in the order given."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [future.result() for future in [pool.submit(action) for action in actions]]

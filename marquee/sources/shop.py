@@ -56,43 +56,53 @@ def viewing(spark: SparkSession, sf_dir: str) -> DataFrame:
     does that under its size threshold, and beyond it the joins are sort-merge
     joins that adaptive execution splits on a hot order, customer or part.
     """
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    markets = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day")
     )
-    placed = orders.join(markets, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "day", "n_nationkey", "n_name"
-    )
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    return (
+    day = F.col("day")
+    grain = (
         lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(
-            calendar.week_start(F.col("day")).alias("week"),
-            calendar.half_label(F.col("day")).alias("half"),
-            F.col("n_name").alias("market"),
-            F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("market_code"),
+            calendar.week_start(day).alias("week"),
+            calendar.half_start(day).alias("half_start"),
+            "c_nationkey",
             "p_name",
             "p_type",
         )
         .agg(
-            (F.sum("l_quantity") * HOURS_PER_UNIT).alias("hours"),
-            F.count(F.lit(1)).cast("double").alias("views"),
+            F.sum("l_quantity").alias("quantity"),
+            F.count(F.lit(1)).alias("lines"),
             F.min("day").alias("first_day"),
             F.max("p_size").alias("longest"),
         )
     )
+    # Names and texts are added to the grain, not to every line.
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return grain.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "week",
+        "half_start",
+        F.col("n_name").alias("market"),
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("market_code"),
+        "p_name",
+        "p_type",
+        (F.col("quantity") * HOURS_PER_UNIT).alias("hours"),
+        F.col("lines").cast("double").alias("views"),
+        "first_day",
+        "longest",
+    )
 
 
 def half_report(viewed: DataFrame, nation: DataFrame) -> DataFrame:
     """Half-year report: one row per work (name and part type) and half."""
     markets = nation.agg(F.count(F.lit(1))).scalar()
-    label = F.col("half")
+    start = F.col("half_start")
     return (
-        viewed.groupBy("half", "p_name", "p_type")
+        viewed.groupBy("half_start", "p_name", "p_type")
         .agg(
             F.sum("hours").alias("Hours Viewed"),
             F.sum("views").alias("Views"),
@@ -110,9 +120,9 @@ def half_report(viewed: DataFrame, nation: DataFrame) -> DataFrame:
             runtime_text(F.col("longest")).alias("Runtime"),
             "Views",
             part_type_kind(F.col("p_type")).alias("content_type"),
-            label.alias("period_label"),
-            calendar.half_start(label).alias("period_start"),
-            calendar.half_end(label).alias("period_end"),
+            calendar.half_label(start).alias("period_label"),
+            start.alias("period_start"),
+            calendar.half_end(start).alias("period_end"),
         )
     )
 
