@@ -89,7 +89,13 @@ def top_titles(half: DataFrame, titles: DataFrame, top: int = TOP_TITLES) -> Dat
                 "cumulative_pct_of_total_hours"
             ),
         )
-        .orderBy("period_label", "rank_in_period", "title_name", "content_type")
+        .orderBy(
+            "period_label",
+            "rank_in_period",
+            "title_name",
+            "content_type",
+            "cumulative_pct_of_total_hours",
+        )
     )
 
 

@@ -117,10 +117,11 @@ def write_weekly(fact: DataFrame, folder: str) -> None:
 
 
 def write_half(fact: DataFrame, folder: str) -> None:
-    """Split by period and ranged by title within it, so that even a period
-    holding most rows is written by many tasks."""
+    """Split by period and ranged by title within it, so that a period holding
+    most rows is written by many tasks; the further columns let the range
+    divide one title of very many works, too."""
     (
-        fact.repartitionByRange("period_label", "title_id")
+        fact.repartitionByRange("period_label", "title_id", "release_date", "hours_viewed", "views")
         .sortWithinPartitions("period_label", "title_id")
         .write.mode("overwrite")
         .partitionBy("period_label")

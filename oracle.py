@@ -151,21 +151,27 @@ chart AS (
 
 TOTALS = MODEL + """
 , totals AS (
-  SELECT period_label, SUM(hours_viewed) AS hours FROM half GROUP BY period_label
+  SELECT period_label, SUM(hours_viewed) AS hours,
+         row_number() OVER (ORDER BY period_label) AS n
+  FROM half GROUP BY period_label
+),
+grown AS (
+  SELECT a.n, a.period_label, a.hours, a.hours - b.hours AS gain,
+         100e0 * (a.hours - b.hours) / nullif(b.hours, 0) AS pct
+  FROM totals a LEFT JOIN totals b ON b.n = a.n - 1
 )
 """
 
 LAGGED = MODEL + """
 , moves AS (
-  SELECT w.*, r.region_name, r.is_global, t.title_name,
-         LAG(w.weekly_rank) OVER h AS prior_rank, LAG(w.date_key) OVER h AS prior_date
-  FROM weekly w
-  JOIN dim_region r ON r.region_id = w.region_id
-  JOIN dim_title t ON t.title_id = w.title_id
-  WINDOW h AS (PARTITION BY w.region_id, w.title_id ORDER BY w.date_key)
+  SELECT w.*, p.weekly_rank AS prior_rank, p.date_key AS prior_date
+  FROM weekly w ASOF LEFT JOIN weekly p
+    ON p.region_id = w.region_id AND p.title_id = w.title_id AND p.date_key < w.date_key
 ),
 last_week AS (
-  SELECT * FROM moves WHERE date_key = (SELECT MAX(date_key) FROM weekly)
+  SELECT m.*, r.region_name, r.is_global, t.title_name
+  FROM moves m JOIN dim_region r USING (region_id) JOIN dim_title t USING (title_id)
+  WHERE m.date_key = (SELECT MAX(date_key) FROM weekly)
 )
 """
 
@@ -175,17 +181,13 @@ STICKY = MODEL + """
          COUNT(DISTINCT title_id) AS distinct_titles_ever_in_top10
   FROM country_rows GROUP BY region_name, iso2
 ),
-leaders AS (
-  SELECT date_key, content_type, title_id AS global_title_id FROM global_rows
-  WHERE weekly_rank = 1 AND language = 'English'
-),
 aligned AS (
-  SELECT c.region_name, c.content_type,
-         100e0 * SUM(CASE WHEN c.title_id = g.global_title_id THEN 1 ELSE 0 END)
-           / COUNT(*) AS pct, COUNT(*) AS weeks_compared
+  SELECT c.region_name, c.content_type, COUNT(*) AS weeks_compared,
+         100e0 * COUNT(*) FILTER (WHERE c.title_id = g.title_id) / COUNT(*) AS pct
   FROM country_rows c
-  JOIN leaders g ON g.date_key = c.date_key AND g.content_type = c.content_type
-  WHERE c.weekly_rank = 1 AND c.date_key >= (SELECT MAX(date_key) - 364 FROM weekly)
+  JOIN global_rows g USING (date_key, content_type)
+  WHERE c.weekly_rank = 1 AND g.weekly_rank = 1 AND g.language = 'English'
+    AND date_diff('day', date_key, (SELECT MAX(date_key) FROM weekly)) <= 364
   GROUP BY c.region_name, c.content_type
 )
 """
@@ -229,20 +231,17 @@ SELECT period_label, COUNT(DISTINCT title_id) AS titles_tracked,
 FROM half GROUP BY period_label ORDER BY period_label
 """,
         "k01_top_titles": MODEL + f"""
-, ranked AS (
-  SELECT f.period_label, d.title_name, f.content_type, f.hours_viewed,
-         RANK() OVER (PARTITION BY f.period_label ORDER BY f.hours_viewed DESC NULLS LAST) AS rank_in_period,
-         SUM(f.hours_viewed) OVER (PARTITION BY f.period_label
-           ORDER BY f.hours_viewed DESC NULLS LAST, d.title_name, f.content_type
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running,
-         SUM(f.hours_viewed) OVER (PARTITION BY f.period_label) AS total
-  FROM half f JOIN dim_title d ON d.title_id = f.title_id
-)
-SELECT period_label, rank_in_period, title_name, content_type,
+SELECT period_label, RANK() OVER best AS rank_in_period, title_name, content_type,
        {rnd('hours_viewed / 1e6', 1)} AS hours_viewed_million,
-       {rnd('100e0 * running / nullif(total, 0)', 2)} AS cumulative_pct_of_total_hours
-FROM ranked WHERE rank_in_period <= 10
-ORDER BY period_label, rank_in_period, title_name, content_type
+       {rnd('100e0 * SUM(hours_viewed) OVER listed / nullif(SUM(hours_viewed) OVER everything, 0)', 2)}
+         AS cumulative_pct_of_total_hours
+FROM half JOIN dim_title USING (title_id, content_type)
+WINDOW everything AS (PARTITION BY period_label),
+       best AS (PARTITION BY period_label ORDER BY hours_viewed DESC NULLS LAST),
+       listed AS (PARTITION BY period_label
+                  ORDER BY hours_viewed DESC NULLS LAST, title_name, content_type
+                  ROWS UNBOUNDED PRECEDING)
+QUALIFY rank_in_period <= 10
 """,
         "k02_content_type_mix": MODEL + f"""
 SELECT period_label, content_type, {rnd('SUM(hours_viewed) / 1e9', 2)} AS hours_billion,
@@ -260,21 +259,20 @@ ORDER BY hours_billion DESC NULLS LAST, language, content_type
 """,
         "k04_half_growth": TOTALS + f"""
 SELECT period_label, {rnd('hours / 1e9', 2)} AS total_hours_billion,
-       {rnd('(hours - LAG(hours) OVER (ORDER BY period_label)) / 1e9', 2)}
-         AS change_vs_prior_half_billion,
-       {rnd('100e0 * (hours - LAG(hours) OVER (ORDER BY period_label)) / nullif(LAG(hours) OVER (ORDER BY period_label), 0)', 2)}
-         AS pct_change_vs_prior_half
-FROM totals ORDER BY period_label
+       {rnd('gain / 1e9', 2)} AS change_vs_prior_half_billion,
+       {rnd('pct', 2)} AS pct_change_vs_prior_half
+FROM grown
 """,
         "k05_weekly_trend": MODEL + f"""
-, sums AS (SELECT date_key, SUM(hours_viewed) AS hours FROM global_rows GROUP BY date_key),
-trend AS (
-  SELECT date_key, hours, AVG(hours) OVER (ORDER BY date_key
-           ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS mean4 FROM sums
+, weeks AS (
+  SELECT date_key, SUM(hours_viewed) AS hours, row_number() OVER (ORDER BY date_key) AS n
+  FROM global_rows GROUP BY date_key
 )
-SELECT {text('date_key')} AS date_key, {rnd('hours / 1e6', 1)} AS weekly_hours_million,
-       {rnd('mean4 / 1e6', 1)} AS trailing_4wk_avg_million
-FROM (SELECT * FROM trend ORDER BY date_key DESC NULLS LAST LIMIT 26)
+SELECT {text('a.date_key')} AS date_key, {rnd('a.hours / 1e6', 1)} AS weekly_hours_million,
+       {rnd('AVG(b.hours) / 1e6', 1)} AS trailing_4wk_avg_million
+FROM weeks a JOIN weeks b ON b.n BETWEEN a.n - 3 AND a.n
+WHERE a.n > (SELECT MAX(n) - 26 FROM weeks)
+GROUP BY a.date_key, a.hours
 """,
         "k06_stickiness_top": stickiness("DESC"),
         "k06_stickiness_bottom": stickiness("ASC"),
@@ -285,18 +283,21 @@ FROM aligned ORDER BY 3 DESC NULLS LAST, region_name, content_type LIMIT 15
         "k08_movers_up": movers("DESC"),
         "k08_movers_down": movers("ASC"),
         "t01_trailer_vs_engagement": MODEL + f"""
-SELECT d.title_name, d.content_type, t.view_count AS trailer_views,
-       CAST(trunc((epoch(t.fetched_at) - epoch(CAST(t.published_at AS TIMESTAMP))) / 86400) AS BIGINT)
+, beside AS (
+  SELECT title_id, title_name, n.view_count, n.fetched_at, n.published_at, h.hours_viewed,
+         dim_title.content_type
+  FROM newest n JOIN dim_title USING (title_id) JOIN half h USING (title_id)
+  WHERE h.period_label = '{PERIOD}' AND h.release_date >= DATE '{RELEASED_FROM}'
+)
+SELECT title_name, content_type, view_count AS trailer_views,
+       CAST(trunc((epoch(fetched_at) - epoch(CAST(published_at AS TIMESTAMP))) / 86400) AS BIGINT)
          AS days_since_trailer,
-       {rnd('f.hours_viewed / 1e6', 1)} AS hours_viewed_million,
-       c.peak_global_rank, c.weeks_in_global_top10,
-       RANK() OVER (PARTITION BY d.content_type ORDER BY t.view_count DESC NULLS LAST) AS trailer_rank_in_type,
-       RANK() OVER (PARTITION BY d.content_type ORDER BY f.hours_viewed DESC NULLS LAST) AS hours_rank_in_type
-FROM newest t
-JOIN dim_title d ON d.title_id = t.title_id
-JOIN half f ON f.title_id = t.title_id AND f.period_label = '{PERIOD}'
-           AND f.release_date >= DATE '{RELEASED_FROM}'
-LEFT JOIN chart c ON c.title_id = t.title_id
+       {rnd('hours_viewed / 1e6', 1)} AS hours_viewed_million,
+       peak_global_rank, weeks_in_global_top10,
+       RANK() OVER by_views AS trailer_rank_in_type, RANK() OVER by_hours AS hours_rank_in_type
+FROM beside LEFT JOIN chart USING (title_id)
+WINDOW by_views AS (PARTITION BY content_type ORDER BY view_count DESC NULLS LAST),
+       by_hours AS (PARTITION BY content_type ORDER BY hours_viewed DESC NULLS LAST)
 """,
         "t02_chart_history": MODEL + "SELECT * FROM chart",
         "v01_climbers": LAGGED + """
@@ -314,11 +315,9 @@ SELECT content_type, {rnd('AVG(hours_viewed) / 1e6', 2)} AS avg_m, COUNT(*) AS t
 FROM half WHERE period_label = '{PERIOD}' GROUP BY content_type
 """,
         "v04_type_ratio": MODEL + f"""
-, means AS (
-  SELECT (SELECT AVG(hours_viewed) FROM half WHERE period_label = '{PERIOD}' AND content_type = 'Show') AS show_mean,
-         (SELECT AVG(hours_viewed) FROM half WHERE period_label = '{PERIOD}' AND content_type = 'Movie') AS movie_mean
-)
-SELECT {rnd('show_mean / nullif(movie_mean, 0)', 2)} AS show_movie_hours_per_title_ratio FROM means
+SELECT {rnd("AVG(hours_viewed) FILTER (WHERE content_type = 'Show') / nullif(AVG(hours_viewed) FILTER (WHERE content_type = 'Movie'), 0)", 2)}
+         AS show_movie_hours_per_title_ratio
+FROM half WHERE period_label = '{PERIOD}'
 """,
         "v05_fact_counts": MODEL + """
 , counts AS (
@@ -424,14 +423,9 @@ SELECT language, content_type, COUNT(DISTINCT title_id) AS distinct_titles_in_to
 FROM global_rows GROUP BY language, content_type
 """,
         "p06_growth_acceleration": TOTALS + f"""
-, grown AS (
-  SELECT period_label, 100e0 * (hours - LAG(hours) OVER (ORDER BY period_label))
-           / nullif(LAG(hours) OVER (ORDER BY period_label), 0) AS pct
-  FROM totals
-)
-SELECT period_label, {rnd('pct', 2)} AS pct_change_vs_prior_half,
-       {rnd('pct - LAG(pct) OVER (ORDER BY period_label)', 2)} AS acceleration_pct_points
-FROM grown
+SELECT a.period_label, {rnd('a.pct', 2)} AS pct_change_vs_prior_half,
+       {rnd('a.pct - b.pct', 2)} AS acceleration_pct_points
+FROM grown a LEFT JOIN grown b ON b.n = a.n - 1
 """,
         "p07_stickiness_spread": STICKY + f"""
 SELECT {rnd('MAX(mean_weeks)', 2)} AS longest_avg_weeks,
