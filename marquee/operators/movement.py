@@ -53,6 +53,12 @@ def improvement() -> Column:
     return F.col("prior_rank") - F.col("weekly_rank")
 
 
+def _week_before(weekly: DataFrame, week: Column) -> DataFrame:
+    return in_week(weekly, F.date_sub(week, WEEK_DAYS)).select(
+        "region_id", "title_id", F.col("weekly_rank").alias("prior_rank")
+    )
+
+
 def with_week_before(weekly: DataFrame, week: Column) -> DataFrame:
     """Rows of ``week`` joined to the same title and market seven days earlier.
 
@@ -60,11 +66,14 @@ def with_week_before(weekly: DataFrame, week: Column) -> DataFrame:
     reads two weeks instead of the whole history. Equal to the lag form as
     (market, title, week) is unique.
     """
-    now = in_week(weekly, week)
-    before = in_week(weekly, F.date_sub(week, WEEK_DAYS)).select(
-        "region_id", "title_id", F.col("weekly_rank").alias("prior_rank")
+    return in_week(weekly, week).join(_week_before(weekly, week), ["region_id", "title_id"])
+
+
+def without_week_before(weekly: DataFrame, week: Column) -> DataFrame:
+    """Rows of ``week`` whose title did not chart there seven days earlier."""
+    return in_week(weekly, week).join(
+        _week_before(weekly, week), ["region_id", "title_id"], "left_anti"
     )
-    return now.join(before, ["region_id", "title_id"])
 
 
 def state() -> Column:

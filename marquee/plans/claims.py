@@ -13,23 +13,19 @@ from marquee.plans.kpis import countries
 TITLE = ["title_name", "content_type"]
 
 
-def _moves(
-    weekly: DataFrame,
-    regions: DataFrame,
-    titles: DataFrame,
-    as_of: Column | None,
-    title_name: str | None,
+def _country_charts(
+    weekly: DataFrame, regions: DataFrame, titles: DataFrame, title_name: str | None
 ) -> DataFrame:
-    """Country chart rows of one week with their prior place.
-
-    A single title is picked in the dimension before the window; that is safe
-    as a title's whole history sits in its own groups.
-    """
+    """Country chart rows with title names; a single title is picked in the
+    dimension, before any join to the chart rows."""
     wanted = titles.select("title_id", "title_name")
     if title_name is not None:
         wanted = wanted.filter(F.col("title_name") == title_name)
-    history = movement.with_prior(countries(weekly, regions).join(wanted, "title_id"))
-    return movement.in_week(history, movement.latest(weekly) if as_of is None else as_of)
+    return countries(weekly, regions).join(wanted, "title_id")
+
+
+def _week(weekly: DataFrame, as_of: Column | None) -> Column:
+    return movement.latest(weekly) if as_of is None else as_of
 
 
 def climbers(
@@ -40,9 +36,10 @@ def climbers(
     title_name: str | None = None,
 ) -> DataFrame:
     """Markets in which a title rose against the week before."""
+    charts = _country_charts(weekly, regions, titles, title_name)
     return (
-        _moves(weekly, regions, titles, as_of, title_name)
-        .filter(movement.is_consecutive() & (movement.improvement() > 0))
+        movement.with_week_before(charts, _week(weekly, as_of))
+        .filter(movement.improvement() > 0)
         .select(
             *TITLE, "region_name", "weekly_rank", "prior_rank",
             movement.improvement().alias("improvement"),
@@ -83,9 +80,9 @@ def reentries(
     A first appearance counts as well; :func:`movement_states` tells the two
     apart.
     """
+    charts = _country_charts(weekly, regions, titles, title_name)
     return (
-        _moves(weekly, regions, titles, as_of, title_name)
-        .filter(F.col("prior_date").isNull() | ~movement.is_consecutive())
+        movement.without_week_before(charts, _week(weekly, as_of))
         .groupBy(*TITLE)
         .agg(F.count(F.lit(1)).alias("markets_entered"))
         .orderBy(*TITLE)
@@ -95,9 +92,13 @@ def reentries(
 def movement_states(
     weekly: DataFrame, regions: DataFrame, titles: DataFrame, as_of: Column | None = None
 ) -> DataFrame:
-    """Country chart rows of one week by what happened to them."""
+    """Country chart rows of one week by what happened to them.
+
+    Telling a debut from a comeback takes the whole history.
+    """
+    history = movement.with_prior(_country_charts(weekly, regions, titles, None))
     return (
-        _moves(weekly, regions, titles, as_of, None)
+        movement.in_week(history, _week(weekly, as_of))
         .groupBy("content_type", movement.state().alias("state"))
         .agg(F.count(F.lit(1)).alias("chart_rows"))
         .orderBy("content_type", "state")

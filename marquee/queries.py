@@ -1,8 +1,15 @@
-"""Every question by name: ``(spark, sf_dir) -> DataFrame``."""
+"""Every question by name.
+
+``STAR_QUESTIONS`` take the modelled tables, wherever they came from;
+``all_queries`` runs everything as ``(spark, sf_dir) -> DataFrame`` on the
+commerce tables of a folder.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,146 +20,146 @@ from marquee.plans import claims, kpis, scalars, trailers
 from marquee.plans.report import as_report
 from marquee.plans.warehouse import Warehouse, warehouse
 from marquee.sources import shop
+from marquee.sources.tables import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Parameters of the registered questions: the half-year under study, its
-# release guard, and the time at which retention runs.
-PERIOD = "2001H1"
-RELEASED_FROM = "2001-01-08"
+
+@dataclass(frozen=True)
+class Parameters:
+    """What the questions are asked about: the half-year under study, the
+    release guard of its works, and the report's slicers."""
+
+    period: str
+    released_from: str
+    slicers: dict[str, Any] = field(default_factory=dict)
+
+
+# The questions registered for the commerce tables.
+REGISTERED = Parameters(
+    period="2001H1",
+    released_from="2001-01-08",
+    slicers={
+        "first_period": "1998H1",
+        "last_period": "2000H2",
+        "content_type": "Show",
+        "region_names": ["NATION_1", "NATION_7", "NATION_12", "Global"],
+    },
+)
 RETENTION_NOW = "2024-02-15 00:00:00"
-SLICE = {
-    "first_period": "1998H1",
-    "last_period": "2000H2",
-    "content_type": "Show",
-    "region_names": ["NATION_1", "NATION_7", "NATION_12", "Global"],
+
+STAR_QUESTIONS: dict[str, Callable[[Star, Parameters], DataFrame]] = {
+    # Headline questions
+    "k00_topline": lambda s, p: kpis.topline(s.half),
+    "k01_top_titles": lambda s, p: kpis.top_titles(s.half, s.titles),
+    "k02_content_type_mix": lambda s, p: kpis.content_type_mix(s.half),
+    "k03_language_mix": lambda s, p: kpis.language_mix(s.weekly, s.regions),
+    "k04_half_growth": lambda s, p: kpis.half_growth(s.half),
+    "k05_weekly_trend": lambda s, p: kpis.weekly_trend(s.weekly, s.regions),
+    "k06_stickiness_top": lambda s, p: kpis.stickiness(s.weekly, s.regions),
+    "k06_stickiness_bottom": lambda s, p: kpis.stickiness(s.weekly, s.regions, bottom=True),
+    "k07_global_alignment": lambda s, p: kpis.global_alignment(s.weekly, s.regions),
+    "k08_movers_up": lambda s, p: kpis.movers(s.weekly, s.regions, s.titles),
+    "k08_movers_down": lambda s, p: kpis.movers(s.weekly, s.regions, s.titles, down=True),
+    "t02_chart_history": lambda s, p: trailers.chart_history(s.weekly, s.regions),
+    # Claim checks
+    "v01_climbers": lambda s, p: claims.climbers(s.weekly, s.regions, s.titles),
+    "v02_reentries": lambda s, p: claims.reentries(s.weekly, s.regions, s.titles),
+    "v03_type_avg": lambda s, p: claims.type_average(s.half, p.period),
+    "v04_type_ratio": lambda s, p: claims.type_ratio(s.half, p.period),
+    "v05_fact_counts": lambda s, p: checks.table_counts(s),
+    "v06_chart_span": lambda s, p: claims.chart_span(s.weekly),
+    "v07_country_count": lambda s, p: claims.country_count(s.regions),
+    "v08_climb_summary": lambda s, p: claims.climb_summary(s.weekly, s.regions, s.titles),
+    "v09_market_reach": lambda s, p: claims.market_reach(s.weekly, s.regions, s.titles),
+    "v10_movement_states": lambda s, p: claims.movement_states(s.weekly, s.regions, s.titles),
+    # Findings in prose
+    "p01_movers_selfjoin": lambda s, p: kpis.movers_two_weeks(s.weekly, s.regions, s.titles),
+    "p02_yoy_growth": lambda s, p: kpis.yoy_growth(s.half),
+    "p03_type_growth": lambda s, p: kpis.type_growth(s.half),
+    "p04_sliced_topline": lambda s, p: kpis.sliced_topline(
+        s.half, s.weekly, s.regions, **p.slicers
+    ),
+    "p05_language_yield": lambda s, p: kpis.language_yield(s.weekly, s.regions),
+    "p06_growth_acceleration": lambda s, p: kpis.growth_acceleration(s.half),
+    "p07_stickiness_spread": lambda s, p: kpis.stickiness_spread(s.weekly, s.regions),
+    "p08_market_profile": lambda s, p: kpis.market_profile(s.weekly, s.regions),
+    # Built tables
+    "b01_dim_date": lambda s, p: s.dates,
+    "b02_dim_title": lambda s, p: s.titles,
+    "b03_dim_region": lambda s, p: s.regions,
+    "b04_fact_top10_weekly": lambda s, p: _columns(s.weekly, schemas.FACT_WEEKLY),
+    "b05_fact_engagement_half": lambda s, p: _columns(s.half, schemas.FACT_HALF),
+    # Data quality
+    "d01_title_collisions": lambda s, p: checks.title_collisions(s.half),
+    "d02_chart_slots": lambda s, p: checks.chart_slots(s.weekly, s.regions),
+    "d03_orphans": lambda s, p: checks.orphans(s),
+    "d05_feed_overlap": lambda s, p: checks.feed_overlap(s),
 }
 
+# Questions that need more than the star: its feeds, or the trailer log.
+WAREHOUSE_QUESTIONS: dict[str, Callable[[Warehouse, Parameters], DataFrame]] = {
+    "t01_trailer_vs_engagement": lambda w, p: beside_hours(w.trailers, w.star, p),
+    "v11_premiere_lift": lambda w, p: claims.premiere_lift(
+        w.star.weekly, w.star.regions, w.star.titles, w.shows
+    ),
+    "b06_trailer_snapshot": lambda w, p: _columns(w.trailers, schemas.FACT_TRAILER),
+    "b07_latest_snapshot": lambda w, p: _columns(
+        trailers.latest_snapshot(w.trailers), schemas.FACT_TRAILER
+    ),
+    "b08_snapshot_retention": lambda w, p: _columns(
+        trailers.retained(w.trailers, F.lit(RETENTION_NOW)), schemas.FACT_TRAILER
+    ),
+    "b09_missing_trailers": lambda w, p: trailers.missing_trailers(
+        w.trailer_map, trailers.latest_snapshot(w.trailers)
+    ),
+    "d04_key_compare": lambda w, p: checks.key_compare(w.weekly_feed),
+}
 
-def _on_warehouse(ask: Callable[[Warehouse], DataFrame]) -> Query:
-    return lambda spark, sf_dir: as_report(ask(warehouse(spark, sf_dir)))
+# Column expressions over whole raw tables.
+TABLE_QUESTIONS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "s01_runtime_parse": ("part", scalars.runtime_parse),
+    "s02_category_split": ("part", scalars.category_split),
+    "s03_title_key": ("part", scalars.title_key),
+    "s04_half_label": ("orders", scalars.half_labels),
+    "s05_date_parts": ("orders", scalars.date_parts),
+    "s06_days_between": ("events", scalars.days_between),
+    "s07_json_extract": ("events", scalars.json_extract),
+    "s08_round": ("part", scalars.rounding),
+}
 
 
-def _on_table(name: str, ask: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: as_report(ask(shop.table(spark, sf_dir, name)))
+def _columns(df: DataFrame, schema: str) -> DataFrame:
+    return df.select(*schemas.columns(schema))
 
 
-def _trailers_beside_hours(w: Warehouse) -> DataFrame:
+def beside_hours(log: DataFrame, star: Star, parameters: Parameters) -> DataFrame:
     return trailers.trailer_vs_engagement(
-        w.trailers,
-        w.star.half,
-        w.star.weekly,
-        w.star.titles,
-        w.star.regions,
-        period=PERIOD,
-        released_from=F.lit(RELEASED_FROM).cast("date"),
+        log,
+        star.half,
+        star.weekly,
+        star.titles,
+        star.regions,
+        period=parameters.period,
+        released_from=F.lit(parameters.released_from).cast("date"),
     )
 
 
-def _fact_rows(df: DataFrame, schema: str) -> DataFrame:
-    return df.select(*schemas.columns(schema))
+def _on_star(ask: Callable[[Star, Parameters], DataFrame]) -> Query:
+    return lambda spark, sf_dir: as_report(ask(warehouse(spark, sf_dir).star, REGISTERED))
+
+
+def _on_warehouse(ask: Callable[[Warehouse, Parameters], DataFrame]) -> Query:
+    return lambda spark, sf_dir: as_report(ask(warehouse(spark, sf_dir), REGISTERED))
+
+
+def _on_table(name: str, ask: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: as_report(ask(shop.table(spark, sf_dir, name)))
 
 
 def all_queries() -> dict[str, Query]:
-    on, table = _on_warehouse, _on_table
     return {
-        # Headline questions
-        "k00_topline": on(lambda w: kpis.topline(w.star.half)),
-        "k01_top_titles": on(lambda w: kpis.top_titles(w.star.half, w.star.titles)),
-        "k02_content_type_mix": on(lambda w: kpis.content_type_mix(w.star.half)),
-        "k03_language_mix": on(lambda w: kpis.language_mix(w.star.weekly, w.star.regions)),
-        "k04_half_growth": on(lambda w: kpis.half_growth(w.star.half)),
-        "k05_weekly_trend": on(lambda w: kpis.weekly_trend(w.star.weekly, w.star.regions)),
-        "k06_stickiness_top": on(lambda w: kpis.stickiness(w.star.weekly, w.star.regions)),
-        "k06_stickiness_bottom": on(
-            lambda w: kpis.stickiness(w.star.weekly, w.star.regions, bottom=True)
-        ),
-        "k07_global_alignment": on(
-            lambda w: kpis.global_alignment(w.star.weekly, w.star.regions)
-        ),
-        "k08_movers_up": on(
-            lambda w: kpis.movers(w.star.weekly, w.star.regions, w.star.titles)
-        ),
-        "k08_movers_down": on(
-            lambda w: kpis.movers(w.star.weekly, w.star.regions, w.star.titles, down=True)
-        ),
-        # Trailers
-        "t01_trailer_vs_engagement": on(_trailers_beside_hours),
-        "t02_chart_history": on(
-            lambda w: trailers.chart_history(w.star.weekly, w.star.regions)
-        ),
-        # Claim checks
-        "v01_climbers": on(lambda w: claims.climbers(w.star.weekly, w.star.regions, w.star.titles)),
-        "v02_reentries": on(
-            lambda w: claims.reentries(w.star.weekly, w.star.regions, w.star.titles)
-        ),
-        "v03_type_avg": on(lambda w: claims.type_average(w.star.half, PERIOD)),
-        "v04_type_ratio": on(lambda w: claims.type_ratio(w.star.half, PERIOD)),
-        "v05_fact_counts": on(lambda w: checks.table_counts(w.star)),
-        "v06_chart_span": on(lambda w: claims.chart_span(w.star.weekly)),
-        "v07_country_count": on(lambda w: claims.country_count(w.star.regions)),
-        "v08_climb_summary": on(
-            lambda w: claims.climb_summary(w.star.weekly, w.star.regions, w.star.titles)
-        ),
-        "v09_market_reach": on(
-            lambda w: claims.market_reach(w.star.weekly, w.star.regions, w.star.titles)
-        ),
-        "v10_movement_states": on(
-            lambda w: claims.movement_states(w.star.weekly, w.star.regions, w.star.titles)
-        ),
-        "v11_premiere_lift": on(
-            lambda w: claims.premiere_lift(
-                w.star.weekly, w.star.regions, w.star.titles, w.shows
-            )
-        ),
-        # Findings in prose
-        "p01_movers_selfjoin": on(
-            lambda w: kpis.movers_two_weeks(w.star.weekly, w.star.regions, w.star.titles)
-        ),
-        "p02_yoy_growth": on(lambda w: kpis.yoy_growth(w.star.half)),
-        "p03_type_growth": on(lambda w: kpis.type_growth(w.star.half)),
-        "p04_sliced_topline": on(
-            lambda w: kpis.sliced_topline(w.star.half, w.star.weekly, w.star.regions, **SLICE)
-        ),
-        "p05_language_yield": on(lambda w: kpis.language_yield(w.star.weekly, w.star.regions)),
-        "p06_growth_acceleration": on(lambda w: kpis.growth_acceleration(w.star.half)),
-        "p07_stickiness_spread": on(
-            lambda w: kpis.stickiness_spread(w.star.weekly, w.star.regions)
-        ),
-        "p08_market_profile": on(lambda w: kpis.market_profile(w.star.weekly, w.star.regions)),
-        # Built tables
-        "b01_dim_date": on(lambda w: w.star.dates),
-        "b02_dim_title": on(lambda w: w.star.titles),
-        "b03_dim_region": on(lambda w: w.star.regions),
-        "b04_fact_top10_weekly": on(lambda w: _fact_rows(w.star.weekly, schemas.FACT_WEEKLY)),
-        "b05_fact_engagement_half": on(lambda w: _fact_rows(w.star.half, schemas.FACT_HALF)),
-        "b06_trailer_snapshot": on(lambda w: _fact_rows(w.trailers, schemas.FACT_TRAILER)),
-        "b07_latest_snapshot": on(
-            lambda w: _fact_rows(trailers.latest_snapshot(w.trailers), schemas.FACT_TRAILER)
-        ),
-        "b08_snapshot_retention": on(
-            lambda w: _fact_rows(
-                trailers.retained(w.trailers, F.lit(RETENTION_NOW)), schemas.FACT_TRAILER
-            )
-        ),
-        "b09_missing_trailers": on(
-            lambda w: trailers.missing_trailers(
-                w.trailer_map, trailers.latest_snapshot(w.trailers)
-            )
-        ),
-        # Column expressions
-        "s01_runtime_parse": table("part", scalars.runtime_parse),
-        "s02_category_split": table("part", scalars.category_split),
-        "s03_title_key": table("part", scalars.title_key),
-        "s04_half_label": table("orders", scalars.half_labels),
-        "s05_date_parts": table("orders", scalars.date_parts),
-        "s06_days_between": table("events", scalars.days_between),
-        "s07_json_extract": table("events", scalars.json_extract),
-        "s08_round": table("part", scalars.rounding),
-        # Data quality
-        "d01_title_collisions": on(lambda w: checks.title_collisions(w.star.half)),
-        "d02_chart_slots": on(lambda w: checks.chart_slots(w.star.weekly, w.star.regions)),
-        "d03_orphans": on(lambda w: checks.orphans(w.star)),
-        "d04_key_compare": on(lambda w: checks.key_compare(w.weekly_feed)),
-        "d05_feed_overlap": on(lambda w: checks.feed_overlap(w.star)),
+        **{name: _on_star(ask) for name, ask in STAR_QUESTIONS.items()},
+        **{name: _on_warehouse(ask) for name, ask in WAREHOUSE_QUESTIONS.items()},
+        **{name: _on_table(table, ask) for name, (table, ask) in TABLE_QUESTIONS.items()},
     }
