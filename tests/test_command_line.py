@@ -1,0 +1,68 @@
+import json
+
+from marquee.__main__ import arguments, show_all
+from marquee.plans import trailers
+from tests.fixtures import tuples
+from tests.test_sources import write_charts, write_reports
+
+
+def run(spark, *argv):
+    options = arguments([str(a) for a in argv])
+    return options.run(spark, options)
+
+
+def build(spark, tmp_path):
+    worldwide, countries = write_charts(tmp_path)
+    files = []
+    for report in write_reports(tmp_path):
+        files += ["--report", report.path, report.content_type, report.period_label,
+                  report.period_start, report.period_end]
+    star = tmp_path / "star"
+    run(spark, "build", star, *files, "--global-chart", worldwide, "--country-chart", countries,
+        "--csv", tmp_path / "csv")
+    return star
+
+
+def test_files_to_answers(spark, tmp_path, capsys):
+    star = build(spark, tmp_path)
+    assert len(list((tmp_path / "csv").glob("*/_SUCCESS"))) == 5
+    assert run(spark, "ask", star, "--period", "2024H1") == []
+    printed = capsys.readouterr().out
+    assert "=== k00_topline" in printed and "|2024H1      |4" in printed
+
+
+def test_a_failing_question_does_not_stop_the_rest(spark, capsys):
+    def wrong():
+        return spark.sql("SELECT 1 / 0").select("nothing")
+
+    assert show_all([("bad", wrong), ("good", lambda: spark.range(1))]) == ["bad"]
+    assert "=== good" in capsys.readouterr().out
+
+
+def test_snapshot_runs(spark, tmp_path, capsys):
+    star = build(spark, tmp_path)
+    mapped = tmp_path / "map.csv"
+    mapped.write_text(
+        "title_id,title_name,content_type,video_id,channel,note\n"
+        "1,Owl,Movie,v1,Main,a\n2,Owl,Show,v2,Main,b\n"
+    )
+
+    def fetch(version, previous, at, views):
+        response = tmp_path / f"{version}.json"
+        items = [{"id": "v1", "statistics": {"viewCount": str(views)},
+                  "snippet": {"publishedAt": "2024-02-01T00:00:00Z"}}]
+        response.write_text(json.dumps({"items": items}))
+        log = tmp_path / f"log-{version}"
+        extra = ["--previous", previous] if previous else []
+        run(spark, "snapshot", star, "--map", mapped, "--response", response, "--log", log,
+            "--period", "2024H1", "--released-from", "2024-01-01", "--fetched-at", at, *extra)
+        return log
+
+    first = fetch("a", None, "2024-03-01T00:00:00", 10)
+    second = fetch("b", first, "2024-03-31T00:00:00", 20)
+    third = fetch("c", second, "2024-04-01T00:00:00", 30)
+    views = tuples(trailers.read_log(spark, str(third)).orderBy("view_count"), "view_count")
+    assert views == [(20,), (30,)]
+    assert trailers.read_log(spark, str(second)).count() == 2
+    printed = capsys.readouterr().out
+    assert "|v2      |Owl" in printed and "|Owl       |Movie       |30" in printed
