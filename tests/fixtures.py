@@ -42,16 +42,16 @@ def weekly_feed(spark, rows):
 
 
 def star(spark, half=(), weekly=()):
-    """The model of both feeds, not written anywhere."""
+    """The model of both feeds, kept in memory only."""
     half_rows, weekly_rows = half_feed(spark, list(half)), weekly_feed(spark, list(weekly))
-    titles = build.dim_title(half_rows, weekly_rows)
-    regions = build.dim_region(weekly_rows)
+    titles = build.dim_title(half_rows, weekly_rows).coalesce(1).cache()
+    regions = build.dim_region(weekly_rows).coalesce(1).cache()
     return Star(
-        dates=build.dim_date(half_rows, weekly_rows),
+        dates=build.dim_date(half_rows, weekly_rows).coalesce(1).cache(),
         titles=titles,
         regions=regions,
-        weekly=build.fact_weekly(weekly_rows, titles, regions),
-        half=build.fact_half(half_rows, titles),
+        weekly=build.fact_weekly(weekly_rows, titles, regions).coalesce(1).cache(),
+        half=build.fact_half(half_rows, titles).coalesce(1).cache(),
     )
 
 

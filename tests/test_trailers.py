@@ -1,4 +1,5 @@
 import json
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -131,7 +132,7 @@ def test_trailers_beside_hours(spark, monkeypatch):
 
 
 def test_landed_files_are_taken_once(spark, tmp_path):
-    landed, out = tmp_path / "landed", str(tmp_path / "log")
+    landed, out, stream = tmp_path / "landed", str(tmp_path / "log"), f"stream-{uuid.uuid4()}"
     landed.mkdir()
     mapped, titles = trailer_map(spark, tmp_path), model(spark).titles
 
@@ -140,7 +141,7 @@ def test_landed_files_are_taken_once(spark, tmp_path):
         (landed / f"{day}.json").write_text(json.dumps(line))
 
     def run():
-        ingest_landed(spark, str(landed), out, mapped, titles, name=f"stream-{tmp_path.name}").awaitTermination()
+        ingest_landed(spark, str(landed), out, mapped, titles, name=stream).awaitTermination()
         rows = trailers.read_log(spark, out).orderBy("fetched_at", "video_id")
         return tuples(rows, "video_id", "view_count", F.dayofmonth("fetched_at"))
 
