@@ -7,8 +7,8 @@ tables bounded by calendar, markets and works.
 
 from __future__ import annotations
 
-import hashlib
 import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ from marquee.functions import text
 from marquee.plans import trailers
 from marquee.plans.star import build_star, write_table
 from marquee.session import shared_dir, together
-from marquee.sources import charts, reports, shop
+from marquee.sources import charts, files, reports, shop
 from marquee.sources.tables import Star
 
 
@@ -35,9 +35,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        digest = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
         application = spark.sparkContext.applicationId
-        self.folder = f"{shared_dir(spark)}/marquee/{application}/{digest}"
+        # A folder per build: frames of an earlier build keep their files.
+        self.folder = f"{shared_dir(spark)}/marquee/{application}/{uuid.uuid4()}"
         self._trailers: DataFrame | None = None
 
     def _staged(self, df: DataFrame, name: str) -> DataFrame:
@@ -97,21 +97,28 @@ class Warehouse:
         )
 
 
-_open: dict[tuple[str, str], Warehouse] = {}
+_open: dict[tuple[str, str], tuple[tuple, Warehouse]] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The application's warehouse for ``sf_dir``, star built."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """The application's warehouse for ``sf_dir``, star built.
+
+    It is built again when an input table changed or the built one is gone.
+    """
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    inputs = tuple(files.stamp(spark, shop.table_path(sf_dir, name)) for name in shop.TABLES)
     with _lock:
-        if key not in _open:
-            _open[key] = Warehouse(spark, sf_dir)
-        _open[key].star  # noqa: B018 - built under the lock
-    return _open[key]
+        built = _open.get(key)
+        if built and built[0] == inputs and files.exists(spark, built[1].folder):
+            return built[1]
+        fresh = Warehouse(spark, sf_dir)
+        fresh.star  # noqa: B018 - built under the lock
+        _open[key] = (inputs, fresh)
+        return fresh
 
 
 def forget(spark: SparkSession, sf_dir: str) -> None:
-    """Drop the memory of a build, as after its input changed; the next use
-    builds again from the input."""
+    """Make the next use build again."""
     with _lock:
         _open.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/")), None)

@@ -20,11 +20,16 @@ HOURS_PER_UNIT = 10_000.0
 SHOW_PART_TYPES = ("STANDARD", "ECONOMY", "MEDIUM")
 NON_ENGLISH_WORDS = ("blue", "cold", "red")
 CHART_SLOTS = 10
+TABLES = ("lineitem", "orders", "customer", "nation", "part", "events")
 # ----------------------------------------------------------------------------
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def part_type_kind(part_type: Column) -> Column:

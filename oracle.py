@@ -50,7 +50,7 @@ works AS (
               THEN 'Yes' ELSE 'No' END AS is_available_globally,
          MIN(day) AS release_date, SUM(hours) AS hours_viewed,
          CAST(COUNT(*) AS DOUBLE) AS views,
-         CAST(MAX(p_size) // 10 * 60 + MAX(p_size) % 10 * 6 AS BIGINT) AS runtime_minutes
+         CAST(MAX(p_size) // 10 * 60 + MAX(p_size) % 10 * 6 AS DOUBLE) AS runtime_minutes
   FROM lines GROUP BY 1, 2, 3, 4
 ),
 day_weeks AS (
@@ -130,7 +130,7 @@ daily AS (
 so_far AS (
   SELECT user_id, CAST(day + 1 AS TIMESTAMP) AS fetched_at,
          CAST(SUM(views) OVER w AS BIGINT) AS view_count,
-         NULLIF(CAST(SUM(clicks) OVER w AS BIGINT), 0) AS like_count,
+         NULLIF(CAST(SUM(clicks) OVER w AS DOUBLE), 0) AS like_count,
          MIN(day) OVER w AS published_at
   FROM daily
   WINDOW w AS (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING)
@@ -143,8 +143,8 @@ newest AS (
   SELECT * FROM trailers WHERE fetched_at = (SELECT MAX(fetched_at) FROM trailers)
 ),
 chart AS (
-  SELECT title_id, MIN(weekly_rank) AS peak_global_rank,
-         COUNT(DISTINCT date_key) AS weeks_in_global_top10
+  SELECT title_id, CAST(MIN(weekly_rank) AS DOUBLE) AS peak_global_rank,
+         CAST(COUNT(DISTINCT date_key) AS DOUBLE) AS weeks_in_global_top10
   FROM global_rows GROUP BY title_id
 )
 """
@@ -381,7 +381,7 @@ GROUP BY s.show_title, s.title_name, s.premiere
   SELECT period_label, COUNT(DISTINCT title_id) AS titles, SUM(hours_viewed) AS hours
   FROM half GROUP BY period_label
 )
-SELECT n.period_label, n.titles, a.titles AS titles_year_ago,
+SELECT n.period_label, n.titles, CAST(a.titles AS DOUBLE) AS titles_year_ago,
        {rnd('100e0 * (n.titles - a.titles) / nullif(a.titles, 0)', 2)} AS pct_change_titles,
        {rnd('n.hours / 1e9', 2)} AS total_hours_billion,
        {rnd('100e0 * (n.hours - a.hours) / nullif(a.hours, 0)', 2)} AS pct_change_hours
@@ -474,7 +474,7 @@ SELECT p_partkey,
             WHEN p_size % 13 = 0 THEN CAST(p_size AS VARCHAR) || ':xx'
             ELSE {PLAIN_RUNTIME} END AS runtime_raw,
        CASE WHEN p_size % 7 = 0 OR p_size % 11 = 0 OR p_size % 13 = 0 THEN NULL
-            ELSE CAST(p_size // 10 * 60 + p_size % 10 * 6 AS BIGINT) END AS runtime_minutes
+            ELSE CAST(p_size // 10 * 60 + p_size % 10 * 6 AS DOUBLE) END AS runtime_minutes
 FROM part
 """,
         "s02_category_split": f"""
@@ -521,7 +521,7 @@ FROM events
         "s07_json_extract": """
 SELECT event_id, COALESCE(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS k,
        COALESCE(TRY_CAST(json_extract_string(props, '$.likes') AS BIGINT), 0) AS likes_or_zero,
-       TRY_CAST(json_extract_string(props, '$.likes') AS BIGINT) AS likes
+       CAST(TRY_CAST(json_extract_string(props, '$.likes') AS BIGINT) AS DOUBLE) AS likes
 FROM events
 """,
         "s08_round": f"""

@@ -138,3 +138,20 @@ def test_build_writes_replaces_and_exports(spark, tmp_path):
     export_csv(model, str(tmp_path / "csv"))
     back = spark.read.option("header", True).csv(str(tmp_path / "csv" / "fact_top10_weekly"))
     assert back.columns[0] == "date_key" and back.count() == 2 and "year" not in back.columns
+
+
+def test_a_changed_input_is_built_again(spark, smoke_dir, tmp_path):
+    from marquee.plans.warehouse import warehouse
+    from marquee.sources import shop
+
+    for name in shop.TABLES:
+        shop.table(spark, smoke_dir, name).write.parquet(shop.table_path(str(tmp_path), name))
+    first = warehouse(spark, str(tmp_path))
+    hours = first.star.half.agg(F.sum("hours_viewed")).first()[0]
+    assert warehouse(spark, f"{tmp_path}/") is first
+    shop.table(spark, smoke_dir, "lineitem").write.mode("append").parquet(
+        shop.table_path(str(tmp_path), "lineitem")
+    )
+    second = warehouse(spark, str(tmp_path))
+    assert second.star.half.agg(F.sum("hours_viewed")).first()[0] == 2 * hours
+    assert first.star.half.agg(F.sum("hours_viewed")).first()[0] == hours
