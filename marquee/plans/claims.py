@@ -13,15 +13,17 @@ from marquee.plans.kpis import countries
 TITLE = ["title_name", "content_type"]
 
 
-def _country_charts(
-    weekly: DataFrame, regions: DataFrame, titles: DataFrame, title_name: str | None
+def _named(
+    rows: DataFrame, regions: DataFrame, titles: DataFrame, title_name: str | None = None
 ) -> DataFrame:
-    """Country chart rows with title names; a single title is picked in the
-    dimension, before any join to the chart rows."""
+    """Country rows of a week with region and title names, or those of one title.
+
+    Names are joined to the one week asked about, never to the history.
+    """
     wanted = titles.select("title_id", "title_name")
     if title_name is not None:
         wanted = wanted.filter(F.col("title_name") == title_name)
-    return countries(weekly, regions).join(wanted, "title_id")
+    return countries(rows, regions).join(wanted, "title_id")
 
 
 def _week(weekly: DataFrame, as_of: Column | None) -> Column:
@@ -36,9 +38,9 @@ def climbers(
     title_name: str | None = None,
 ) -> DataFrame:
     """Markets in which a title rose against the week before."""
-    charts = _country_charts(weekly, regions, titles, title_name)
+    moved = movement.with_week_before(weekly, _week(weekly, as_of))
     return (
-        movement.with_week_before(charts, _week(weekly, as_of))
+        _named(moved, regions, titles, title_name)
         .filter(movement.improvement() > 0)
         .select(
             *TITLE, "region_name", "weekly_rank", "prior_rank",
@@ -80,9 +82,9 @@ def reentries(
     A first appearance counts as well; :func:`movement_states` tells the two
     apart.
     """
-    charts = _country_charts(weekly, regions, titles, title_name)
+    entered = movement.without_week_before(weekly, _week(weekly, as_of))
     return (
-        movement.without_week_before(charts, _week(weekly, as_of))
+        _named(entered, regions, titles, title_name)
         .groupBy(*TITLE)
         .agg(F.count(F.lit(1)).alias("markets_entered"))
         .orderBy(*TITLE)
@@ -96,9 +98,9 @@ def movement_states(
 
     Telling a debut from a comeback takes the whole history.
     """
-    history = movement.with_prior(_country_charts(weekly, regions, titles, None))
+    moved = movement.in_week(movement.with_prior(weekly), _week(weekly, as_of))
     return (
-        movement.in_week(history, _week(weekly, as_of))
+        _named(moved, regions, titles)
         .groupBy("content_type", movement.state().alias("state"))
         .agg(F.count(F.lit(1)).alias("chart_rows"))
         .orderBy("content_type", "state")
@@ -127,13 +129,13 @@ def premiere_lift(
     market, week) keeps the oldest premiere charting in it: a season older
     than the new one charts there exactly if that oldest premiere is older.
     """
-    seasons = countries(weekly, regions).join(shows, "title_id")
-    premieres = seasons.groupBy("show_title", "title_id").agg(
-        F.min("date_key").alias("premiere")
+    rows = countries(weekly, regions).select("title_id", "date_key", "region_id")
+    # One row per season, taken from the chart rows before any join to them.
+    premieres = (
+        rows.groupBy("title_id").agg(F.min("date_key").alias("premiere")).join(shows, "title_id")
     )
     oldest_on_chart = (
-        seasons.select("title_id", "date_key", "region_id")
-        .join(premieres, "title_id")
+        rows.join(premieres, "title_id")
         .groupBy("show_title", "date_key", "region_id")
         .agg(F.min("premiere").alias("oldest"))
     )

@@ -84,7 +84,7 @@ class Warehouse:
                 self._trailers = trailers.read_log(self.spark, log)
         return self._trailers
 
-    @property
+    @cached_property
     def shows(self) -> DataFrame:
         """Show of every season: ``title_id`` to ``show_title``."""
         named = (
@@ -92,9 +92,8 @@ class Warehouse:
             .select("title_name", "content_type", "show_title")
             .distinct()
         )
-        return named.join(self.star.titles, ["title_name", "content_type"]).select(
-            "title_id", "show_title"
-        )
+        titled = named.join(self.star.titles, ["title_name", "content_type"])
+        return self._staged(titled.select("title_id", "show_title"), "title_show")
 
 
 _open: dict[tuple[str, str], tuple[tuple, Warehouse]] = {}
