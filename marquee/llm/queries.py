@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontamination, lines, substring
+from marquee.llm import bpe, decontamination, lines, probminhash, quality, secret_scan, substring, tool_calls, urls, warc
+from marquee.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,10 +26,14 @@ def vocabulary() -> bpe.Tokenizer:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": lambda s, d: urls.judge(pages(s, d)),
     "op2_byte_bpe": lambda s, d: bpe.digest(documents(s, d), vocabulary()),
+    "op3_warc_revisits": lambda s, d: warc.digest(pages(s, d)),
+    "op4_probminhash": lambda s, d: probminhash.digest(documents(s, d)),
     "op5_substring_dedup": lambda s, d: substring.digest(documents(s, d)),
     "op6_decontamination": lambda s, d: decontamination.digest(documents(s, d), benchmark(s, d)),
+    "op7_quality_rules": lambda s, d: quality.digest(documents(s, d)),
+    "op8_tool_calls": lambda s, d: tool_calls.digest(conversations(s, d)),
     "op9_line_dedup": lambda s, d: lines.digest(documents(s, d)),
+    "op10_secret_scan": lambda s, d: secret_scan.digest(documents(s, d)),
 }
-
-ORACLES: dict[str, str] = {}
