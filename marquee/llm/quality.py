@@ -47,9 +47,9 @@ class Fence(NamedTuple):
 # Per thousand: symbols of word characters, lines repeated of words, words in repeated windows of words;
 # word length in hundredths of a character.
 FENCES = {
-    "symbols": Fence(6, 15),
+    "symbols": Fence(6, 10),
     "dup_lines": Fence(6, 10),
-    "repeats": Fence(6, 40),
+    "repeats": Fence(6, 75),
     "word_length": Fence(5, 60, below=True),
 }
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
