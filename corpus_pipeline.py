@@ -10,14 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontamination, lines
+from marquee.llm import bpe, decontamination, lines, probminhash, quality
 from marquee.llm.common import written
 from marquee.llm.queries import benchmark, documents, vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", lambda spark, docs, folder: quality.keep_good(docs)),
     ("line dedup", lambda spark, docs, folder: lines.drop_lines(docs)),
+    ("near-duplicates", lambda spark, docs, folder: probminhash.keep_first(docs)),
     ("benchmark decontamination", lambda spark, docs, folder: decontamination.clean(docs, benchmark(spark, folder))),
     ("byte-level BPE", lambda spark, docs, folder: bpe.digest(docs, vocabulary())),
 ]
