@@ -56,7 +56,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     places = rows.withColumn(
         "places",
         F.array_compact(F.transform(words, lambda w, i: F.when((F.length(w) >= MIN_CHARS) & w.rlike(CORE), i))),
-    ).where(F.size("places") > 0)
+    )
     found = places.select(
         "doc_id",
         "path",

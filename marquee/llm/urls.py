@@ -77,15 +77,18 @@ def _best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
-def windows(url: Column, order: int = ORDER) -> Column:
-    """For each character, and the end: it and the ``order`` before it."""
-    chars = F.split(F.concat(F.lit(START * order), url, F.lit(END)), "")
-    return F.transform(F.sequence(F.lit(1), F.char_length(url) + 1), lambda i: F.array_join(F.slice(chars, i, order + 1), ""))
+def windows(urls: DataFrame, order: int, *keep: str) -> DataFrame:
+    """``keep`` and ``gram``: for each character of a url, and its end, it and the ``order`` before it."""
+    padded = F.concat(F.lit(START * order), F.col("url"), F.lit(END))
+    # a column of its own: within the lambda the split would be made again for each character
+    split = urls.where("url != ''").select(*keep, F.split(padded, "").alias("chars"))
+    places = F.sequence(F.lit(1), F.size("chars") - order)
+    return split.select(*keep, F.explode(F.transform(places, lambda i: F.array_join(F.slice("chars", i, order + 1), ""))).alias("gram"))
 
 
 def train(labelled: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, n_accept, n_reject`` of every window of ``url, accepted``."""
-    grams = labelled.where("url != ''").select("accepted", F.explode(windows(F.col("url"), order)).alias("gram"))
+    grams = windows(labelled, order, "accepted")
     return grams.groupBy("gram").agg(F.count_if("accepted").alias("n_accept"), F.count_if(~F.col("accepted")).alias("n_reject"))
 
 
@@ -119,7 +122,7 @@ def log_ratios(counts: DataFrame, wanted: DataFrame, order: int = ORDER) -> Data
 
 def scores(urls: DataFrame, counts: DataFrame, order: int = ORDER) -> DataFrame:
     """``url_key, score`` of the different urls of ``url_key, url``: the mean ratio, rounded to 1/SCALE."""
-    split = urls.where("url != ''").select("url_key", F.explode(windows(F.col("url"), order)).alias("gram"))
+    split = windows(urls, order, "url_key")
     ratios = log_ratios(counts, split.select("gram").distinct(), order)
     mean = F.sum("ratio") / F.count("*")
     return split.join(ratios, "gram").groupBy("url_key").agg((F.round(mean * SCALE) / SCALE).alias("score"))

@@ -16,10 +16,13 @@ def test_digest_of_smoke_documents(smoke_docs, smoke_rows):
     assert rows_of(lines.digest(smoke_docs)) == expected(brute.lines(smoke_rows))
 
 
-def test_one_line_in_most_documents_spreads_over_ranges(spark):
+def test_one_line_in_most_documents_spreads_over_ranges(spark, set_conf):
     """The range of one hash is cut between tasks: the first document must still be found."""
     rows = [(i, f"The very common line\nown line number {i}\nthe very common line") for i in range(3000, 0, -1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    # as many rows as a task is given to take in, whatever few they are here
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    set_conf("spark.sql.shuffle.partitions", "12")
     hashes = lines.line_hashes(lines.doc_rows(docs), 10).repartitionByRange(*lines._PLACE)
     per_task = hashes.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in per_task) < 0.3 * 9000

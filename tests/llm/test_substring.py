@@ -24,7 +24,7 @@ def test_small_windows_and_many_repeats(spark, monkeypatch):
 
 
 def test_a_passage_in_every_document_is_sent_once_a_batch(spark):
-    passage = numbered(9, 60)
+    passage = numbered(99999, 60)
     docs = [(i, f"{numbered(i, 30)} {passage} {numbered(i + 5000, 30)}") for i in range(400)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.n_removed for r in substring.digest(df).collect()}
