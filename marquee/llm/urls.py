@@ -7,7 +7,7 @@ context has seen, and the next lower order as much as the different characters s
 there; an unseen context leaves all to the lower order. A url's score is the mean over its characters of
 log P(accepted) - log P(rejected). The threshold is where the scores of the urls kept
 for calibration are split best: the highest sum of accepted urls kept and rejected urls
-blocked, as shares.
+blocked, as shares, midway between the two scores on either side.
 
 Only windows of ``ORDER + 1`` characters are counted and shuffled, and pre-aggregated; lower orders are sums of them. The
 model is a table joined by window, so it may grow with the corpus.
@@ -135,11 +135,12 @@ def calibrate(scored: DataFrame) -> float:
     accepted, rejected = sum(row.a for row in rows), sum(row.r for row in rows)
     if not accepted or not rejected:
         return 0.0
-    best, threshold, kept, blocked = 1.0, rows[0].score, accepted, 0
-    for row in rows:  # urls below the threshold are blocked
+    best, threshold, kept, blocked, below = 1.0, rows[0].score, accepted, 0, rows[0].score
+    for row in rows:  # urls below the threshold are blocked; it lies midway between two scores
         gain = kept / accepted + blocked / rejected
         if gain > best:
-            best, threshold = gain, row.score
+            best, threshold = gain, (below + row.score) / 2
+        below = row.score
         kept, blocked = kept - row.a, blocked + row.r
     return threshold
 
