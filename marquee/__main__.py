@@ -15,7 +15,6 @@ import argparse
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +37,7 @@ def show_all(questions: Iterable[tuple[str, Callable[[], DataFrame]]]) -> list[s
         print(f"=== {name}")
         try:
             ask().show(SHOWN_ROWS, truncate=False)
-        except PySparkException as error:
+        except Exception as error:  # noqa: BLE001 - one question must not stop the others
             failed.append(name)
             print(f"failed: {error}")
     return failed
@@ -49,12 +48,15 @@ def build(spark: SparkSession, options: argparse.Namespace) -> None:
         source = warehouse(spark, options.data)
         star = build_star(source.half_feed, source.weekly_feed, options.out)
     else:
+        raw = reports.read_raw_reports(spark, [reports.HalfReport(*r) for r in options.report])
         star = build_from_files(
-            reports.read_half_reports(spark, [reports.HalfReport(*r) for r in options.report]),
+            reports.conform_half(raw),
             charts.read_global_chart(spark, options.global_chart),
             charts.read_country_chart(spark, options.country_chart),
             options.out,
+            raw,
         )
+        spark.read.parquet(f"{options.out}/load_report").show(truncate=False)
     if options.csv:
         export_csv(star, options.csv)
 

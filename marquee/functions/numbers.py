@@ -37,3 +37,9 @@ def whole_number(text: Column) -> Column:
 
 def whole_number_or_zero(text: Column) -> Column:
     return F.coalesce(whole_number(text), F.lit(0).cast("long"))
+
+
+def grouped_number(text: Column) -> Column:
+    """Number in a text, also one with commas between its thousands; else NULL."""
+    grouped = text.cast("string").rlike(r"^\s*[+-]?\d{1,3}(,\d{3})+(\.\d*)?\s*$")
+    return F.when(grouped, F.replace(text.cast("string"), F.lit(","), F.lit(""))).otherwise(text).try_cast("double")

@@ -14,6 +14,7 @@ NON_ENGLISH = "Non-English"
 FILMS_PREFIX = "Films"
 MISSING_MARKS = ("N/A", "nan", "")
 COUNTRY_CATEGORIES = {"Films": MOVIE, "TV": SHOW}
+WORLDWIDE_CATEGORIES = tuple(f"{kind} ({tongue})" for kind in COUNTRY_CATEGORIES for tongue in (ENGLISH, NON_ENGLISH))
 # Characters counted as white space around a value.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"

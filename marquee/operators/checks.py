@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions import text
+from marquee.functions import numbers, text
 from marquee.sources.tables import Star
 
 
@@ -24,12 +24,31 @@ def title_collisions(half: DataFrame) -> DataFrame:
 
 
 def chart_slots(weekly: DataFrame, regions: DataFrame, slots: int = 10) -> DataFrame:
-    """Country charts that do not hold exactly ``slots`` rows."""
-    countries = regions.filter(~F.col("is_global")).select("region_id", "region_name")
+    """Country charts that do not hold exactly ``slots`` rows, empty ones too.
+
+    Every chart week has one chart per market and type. The markets are a
+    short list, put beside each week, so the charts due are bounded by the
+    calendar.
+    """
+    markets = regions.filter(~F.col("is_global")).select("region_id", "region_name")
+    listed = markets.agg(F.collect_list(F.struct("region_id", "region_name"))).scalar()
+    types = F.array(F.lit(text.SHOW), F.lit(text.MOVIE))
+    due = (
+        weekly.select("date_key")
+        .distinct()
+        .select("date_key", F.explode(listed).alias("market"))
+        .select("date_key", "market.*", F.explode(types).alias("content_type"))
+    )
+    chart = ["date_key", "region_id", "content_type"]
+    filled = weekly.groupBy(*chart).agg(F.count(F.lit(1)).alias("filled"))
     return (
-        weekly.join(countries, "region_id")
-        .groupBy("date_key", "region_name", "content_type")
-        .agg(F.count(F.lit(1)).alias("slots_filled"))
+        due.join(filled, chart, "left")
+        .select(
+            "date_key",
+            "region_name",
+            "content_type",
+            F.coalesce("filled", F.lit(0)).cast("long").alias("slots_filled"),
+        )
         .filter(F.col("slots_filled") != slots)
     )
 
@@ -121,3 +140,43 @@ def table_counts(star: Star) -> DataFrame:
         .select(F.lit("both facts").alias("table_name"), "row_count")
     )
     return counts.unionByName(both)
+
+
+def unparsed(
+    half: DataFrame | None = None,
+    worldwide: DataFrame | None = None,
+    country: DataFrame | None = None,
+) -> DataFrame:
+    """Landed values that are there but did not parse or map, by feed and rule.
+
+    Parsing turns them into NULL or into the default category, so sums and
+    mixes shrink or shift without any error. Each feed is read once.
+    """
+
+    def lost(raw: str, parsed: Column) -> Column:
+        return text.present(F.col(raw).cast("string")).isNotNull() & parsed.isNull()
+
+    number = numbers.grouped_number
+    rules: list[tuple[str, DataFrame | None, dict[str, Column]]] = [
+        (
+            "half-year",
+            half,
+            {
+                "runtime": lost("Runtime", text.runtime_minutes(F.col("Runtime"))),
+                "hours": lost("Hours Viewed", number(F.col("Hours Viewed"))),
+                "views": lost("Views", number(F.col("Views"))),
+                "release date": lost("Release Date", F.col("Release Date").try_cast("date")),
+            },
+        ),
+        ("worldwide", worldwide, {"category": ~F.coalesce("category", F.lit("")).isin(*text.WORLDWIDE_CATEGORIES)}),
+        ("country", country, {"category": ~F.coalesce("category", F.lit("")).isin(*text.COUNTRY_CATEGORIES)}),
+    ]
+    found = [
+        df.agg(*(F.count_if(rule).alias(name) for name, rule in own.items())).select(
+            F.lit(feed).alias("feed"),
+            F.inline(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("values")) for n in own))),
+        )
+        for feed, df, own in rules
+        if df is not None
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -16,6 +16,13 @@ def latest(df: DataFrame, column: str = "date_key") -> Column:
     return df.agg(F.max(column)).scalar()
 
 
+def latest_week(weekly: DataFrame) -> Column:
+    """Newest week; where the table is split by year, only the newest year is read."""
+    if "year" in weekly.columns:
+        weekly = weekly.filter(F.col("year") == latest(weekly, "year"))
+    return latest(weekly)
+
+
 def in_week(weekly: DataFrame, week: Column) -> DataFrame:
     """Rows of one week; prunes to its year where the table is split by year."""
     rows = weekly.filter(F.col("date_key") == week)

@@ -24,9 +24,6 @@ from marquee.session import cut_lineage
 # position inside the slice below it.
 SLICE_BIT = 33
 
-# Up to this many rows in all, one task per group ranks faster than the spread.
-ONE_TASK_ROWS = 1_000_000
-
 
 def dense_ids(keys: DataFrame, order_by: list[str], id_name: str) -> DataFrame:
     """Number distinct keys 1, 2, 3, ... in the order of ``order_by``."""
@@ -49,22 +46,9 @@ def dense_ids(keys: DataFrame, order_by: list[str], id_name: str) -> DataFrame:
     )
 
 
-def rank_desc(
-    df: DataFrame, rows: int, group: list[str], value: str, name: str
-) -> DataFrame:
-    """``RANK() OVER (PARTITION BY group ORDER BY value DESC)``, NULLs last.
-
-    ``rows`` is the counted size of ``df``: small input takes the plain window,
-    anything larger the spread form.
-    """
-    if rows <= ONE_TASK_ROWS:
-        window = W.partitionBy(*group).orderBy(F.desc_nulls_last(value))
-        return df.withColumn(name, F.rank().over(window).cast("long"))
-    return spread_rank_desc(df, group, value, name)
-
-
-def spread_rank_desc(df: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
-    """The same rank with every group spread over many tasks.
+def rank_desc(df: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
+    """``RANK() OVER (PARTITION BY group ORDER BY value DESC)``, NULLs last, with
+    every group spread over many tasks.
 
     Rows are first counted per (group, value), which folds ties before any
     shuffle; only the distinct values are ordered.

@@ -27,7 +27,7 @@ def _named(
 
 
 def _week(weekly: DataFrame, as_of: Column | None) -> Column:
-    return movement.latest(weekly) if as_of is None else as_of
+    return movement.latest_week(weekly) if as_of is None else as_of
 
 
 def climbers(
@@ -129,16 +129,12 @@ def premiere_lift(
     market, week) keeps the oldest premiere charting in it: a season older
     than the new one charts there exactly if that oldest premiere is older.
     """
-    rows = countries(weekly, regions).select("title_id", "date_key", "region_id")
+    worldwide = regions.filter("is_global").agg(F.max("region_id")).scalar()
+    rows = weekly.filter(F.col("region_id") != worldwide).select("title_id", "date_key", "region_id")
     # One row per season, taken from the chart rows before any join to them.
     premieres = (
         rows.groupBy("title_id").agg(F.min("date_key").alias("premiere")).join(shows, "title_id")
     )
-    oldest_on_chart = (
-        rows.join(premieres, "title_id")
-        .groupBy("show_title", "date_key", "region_id")
-        .agg(F.min("premiere").alias("oldest"))
-    )
     offsets = {"before": -movement.WEEK_DAYS, "premiere": 0, "after": movement.WEEK_DAYS}
     looked_at = F.array(
         *[
@@ -153,6 +149,13 @@ def premiere_lift(
     asked = later.select(
         "show_title", "title_id", "premiere", F.inline(looked_at)
     )
+    # Three weeks a season are asked about; other weeks of a show are dropped before the aggregate.
+    oldest_on_chart = (
+        rows.join(premieres, "title_id")
+        .join(asked.select("show_title", "date_key").distinct(), ["show_title", "date_key"], "left_semi")
+        .groupBy("show_title", "date_key", "region_id")
+        .agg(F.min("premiere").alias("oldest"))
+    )
     reached = asked.join(oldest_on_chart, ["show_title", "date_key"], "left").withColumn(
         "earlier", F.col("oldest") < F.col("premiere")
     )

@@ -59,16 +59,20 @@ def top_titles(half: DataFrame, titles: DataFrame, top: int = TOP_TITLES) -> Dat
     """Best titles of each half-year and the share of hours they add up to.
 
     The rank filter sits directly on the window, so Spark limits each group
-    before its shuffle. Every row ahead of a kept row is kept too, which lets
-    the running sum follow the filter; period totals come from their own
-    aggregate so that no window ever holds a whole period.
+    before its shuffle, and names are joined to what is left of it. Every row
+    ahead of a kept row is kept too, which lets the running sum follow the
+    filter; period totals come from their own aggregate so that no window ever
+    holds a whole period. Ids come from the dimension, so a row counts if it
+    has one.
     """
-    rows = half.select("period_label", "title_id", "content_type", "hours_viewed").join(
-        titles.select("title_id", "title_name"), "title_id"
+    rows = half.filter(F.col("title_id").isNotNull()).select(
+        "period_label", "title_id", "content_type", "hours_viewed"
     )
     by_hours = W.partitionBy("period_label").orderBy(F.desc_nulls_last("hours_viewed"))
-    leading = rows.withColumn("rank_in_period", F.rank().over(by_hours)).filter(
-        F.col("rank_in_period") <= top
+    leading = (
+        rows.withColumn("rank_in_period", F.rank().over(by_hours))
+        .filter(F.col("rank_in_period") <= top)
+        .join(titles.select("title_id", "title_name"), "title_id")
     )
     down_the_list = (
         W.partitionBy("period_label")
@@ -335,7 +339,7 @@ def global_alignment(
 ) -> DataFrame:
     """How often a market's number one is the worldwide English number one."""
     matching = "pct_weeks_matching_global_no1"
-    recent = movement.since(weekly, F.date_sub(movement.latest(weekly), days)).filter(
+    recent = movement.since(weekly, F.date_sub(movement.latest_week(weekly), days)).filter(
         F.col("weekly_rank") == 1
     )
     if content_type is not None:
@@ -409,23 +413,27 @@ def movers(
     include_global: bool = True,
     limit: int | None = REPORT_ROWS,
 ) -> DataFrame:
-    """Largest rank changes of the newest week, in week-to-week chart runs."""
+    """Largest rank changes of the newest week, in week-to-week chart runs.
+
+    Only moves between consecutive weeks count, so the two newest weeks tell
+    all of them and the history is not read.
+    """
     charts = weekly if include_global else countries(weekly, regions).select(weekly.columns)
-    moved = movement.in_week(movement.with_prior(charts), movement.latest(weekly)).filter(
-        F.col("prior_rank").isNotNull() & movement.is_consecutive()
-    )
+    moved = movement.with_week_before(charts, movement.latest_week(weekly))
     return _movers_report(moved, regions, titles, down, limit)
 
 
-def movers_two_weeks(
+def movers_by_lag(
     weekly: DataFrame,
     regions: DataFrame,
     titles: DataFrame,
     down: bool = False,
     limit: int | None = REPORT_ROWS,
 ) -> DataFrame:
-    """The same report read from the two newest weeks only."""
-    moved = movement.with_week_before(weekly, movement.latest(weekly))
+    """The same report from the previous chart row of every title, over the whole history."""
+    moved = movement.in_week(movement.with_prior(weekly), movement.latest_week(weekly)).filter(
+        F.col("prior_rank").isNotNull() & movement.is_consecutive()
+    )
     return _movers_report(moved, regions, titles, down, limit)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import calendar, numbers, text
+from marquee.operators import checks
 from marquee.sources import shop
 
 # Fixed values ---------------------------------------------------------------
@@ -47,6 +48,22 @@ def category_split(part: DataFrame) -> DataFrame:
     )
 
 
+def unparsed_values(part: DataFrame) -> DataFrame:
+    """The report on values that fail, over the odd forms above and odd numbers and dates."""
+    size = F.col("p_size").cast("string")
+    odd = F.col("p_size") % 17
+    numbers_as_text = F.when(odd == 0, F.concat(size, F.lit(" h"))).when(odd == 1, "1,234,000").when(odd == 2, "N/A").otherwise(size)
+    half = runtime_parse(part).join(part.select("p_partkey", "p_size"), "p_partkey")
+    half = half.select(
+        F.col("runtime_raw").alias("Runtime"),
+        numbers_as_text.alias("Hours Viewed"),
+        size.alias("Views"),
+        F.when(odd == 3, "soon").otherwise("2024-01-01").alias("Release Date"),
+    )
+    category = category_split(part).select(F.col("category_raw").alias("category"))
+    return checks.unparsed(half, category, category)
+
+
 def title_key(part: DataFrame) -> DataFrame:
     """Show and season texts of every part: padded, and marked as missing."""
     name, size = F.col("p_name"), F.col("p_size")

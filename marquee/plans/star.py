@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions import calendar, text
+from marquee.operators import checks
 from marquee.operators.spread import dense_ids
 from marquee.session import together
 from marquee.sources import charts
@@ -104,11 +105,11 @@ def build_star(half_feed: DataFrame, weekly_feed: DataFrame, folder: str) -> Sta
 
 
 def write_weekly(fact: DataFrame, folder: str) -> None:
-    """Split by year and sorted by week, so that file statistics skip to the
-    wanted weeks; a year is bounded by weeks x markets x slots."""
+    """Split by year and ranged by week and market within it, so that one year is
+    written by many tasks and file statistics skip to the wanted weeks."""
     (
         fact.withColumn("year", F.year("date_key"))
-        .repartition("year")
+        .repartitionByRange("year", "date_key", "region_id", "title_id")
         .sortWithinPartitions("year", "date_key", "region_id", "weekly_rank")
         .write.mode("overwrite")
         .partitionBy("year")
@@ -148,9 +149,17 @@ def export_csv(star: Star, folder: str) -> None:
 
 
 def build_from_files(
-    half_feed: DataFrame, global_raw: DataFrame, country_raw: DataFrame, folder: str
+    half_feed: DataFrame,
+    global_raw: DataFrame,
+    country_raw: DataFrame,
+    folder: str,
+    half_raw: DataFrame | None = None,
 ) -> Star:
-    """Conform both charts, stage the feeds once, then build the tables."""
+    """Conform both charts, stage the feeds once, then build the tables.
+
+    ``load_report`` beside them counts the landed values that did not parse.
+    """
+    write_table(checks.unparsed(half_raw, global_raw, country_raw), f"{folder}/load_report")
     half, weekly = together(
         lambda: write_table(half_feed, f"{folder}/feed_half"),
         lambda: write_table(charts.weekly_feed(global_raw, country_raw), f"{folder}/feed_weekly"),

@@ -11,10 +11,10 @@ from marquee.functions.numbers import in_millions, whole_number, whole_number_or
 from marquee.operators.movement import latest
 from marquee.operators.spread import rank_desc
 from marquee.plans.kpis import worldwide
-from marquee.session import cut_lineage
 
 # Fixed values ---------------------------------------------------------------
 KEEP_DAYS = 30
+SNAPSHOT_KEY = ["title_id", "video_id", "fetched_at"]
 # ----------------------------------------------------------------------------
 
 
@@ -22,24 +22,23 @@ def snapshot(items: DataFrame, trailer_map: DataFrame, titles: DataFrame) -> Dat
     """Fact rows of the mapped videos found in a fetch.
 
     The map names its titles, so ids are looked up by name and type; a title
-    id written into the map could go stale at any reload. One row is kept per
-    video and fetch.
+    id written into the map could go stale at any reload. Where a fetch returns
+    a video several times, the row with most views counts, then most likes.
     """
     videos = trailer_map.select("title_name", "content_type", "video_id").join(
         titles, ["title_name", "content_type"]
     )
+    counts = F.struct(
+        whole_number_or_zero(F.col("statistics.viewCount")).alias("view_count"),
+        whole_number(F.col("statistics.likeCount")).alias("like_count"),
+        F.substring("snippet.publishedAt", 1, 10).cast("date").alias("published_at"),
+    )
     return (
         items.withColumnRenamed("id", "video_id")
         .join(videos, "video_id")
-        .select(
-            "title_id",
-            "video_id",
-            whole_number_or_zero(F.col("statistics.viewCount")).alias("view_count"),
-            whole_number(F.col("statistics.likeCount")).alias("like_count"),
-            F.substring("snippet.publishedAt", 1, 10).cast("date").alias("published_at"),
-            F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"),
-        )
-        .dropDuplicates(["title_id", "video_id", "fetched_at"])
+        .groupBy(*SNAPSHOT_KEY[:2], F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
+        .agg(F.max(counts).alias("counts"))
+        .select(*SNAPSHOT_KEY, "counts.*")
         .select(*schemas.columns(schemas.FACT_TRAILER))
     )
 
@@ -71,6 +70,18 @@ def append_snapshot(rows: DataFrame, folder: str) -> None:
     write_log(rows, folder, "append")
 
 
+def append_missing(rows: DataFrame, folder: str) -> None:
+    """Add what the log does not hold yet, so that a replayed fetch adds nothing.
+
+    Only the days of the fetch are read from the log.
+    """
+    spark = rows.sparkSession
+    write_log(rows.limit(0), folder, "append")  # a log to read from, even if empty
+    days = rows.select(F.to_date("fetched_at").alias("fetch_day")).distinct()
+    held = read_log(spark, folder).join(days, "fetch_day", "left_semi").select(*SNAPSHOT_KEY)
+    append_snapshot(rows.join(held, SNAPSHOT_KEY, "left_anti"), folder)
+
+
 def write_retained(
     trailers: DataFrame, now: Column, folder: str, keep_days: int = KEEP_DAYS
 ) -> DataFrame:
@@ -124,24 +135,22 @@ def trailer_vs_engagement(
     """Trailer views beside viewing, ranked within each content type.
 
     Several works may share a title; the release guard picks the ones of this
-    period, and a title with two of them keeps both. The joined rows are
-    checkpointed and counted, as the ranks choose their form by that size.
+    period, and a title with two of them keeps both.
     """
     works = half.filter(
         (F.col("period_label") == period) & (F.col("release_date") >= released_from)
     ).select("title_id", "hours_viewed")
-    rows = cut_lineage(
+    ranked = (
         latest_snapshot(trailers)
         .join(titles, "title_id")
         .join(works, "title_id")
         .join(chart_history(weekly, regions), "title_id", "left")
     )
-    size, ranked = rows.count(), rows
     for value, rank in [
         ("view_count", "trailer_rank_in_type"),
         ("hours_viewed", "hours_rank_in_type"),
     ]:
-        ranked = rank_desc(ranked, size, ["content_type"], value, rank)
+        ranked = rank_desc(ranked, ["content_type"], value, rank)
     return ranked.select(
         "title_name",
         "content_type",

@@ -18,8 +18,9 @@ from marquee.functions import text
 from marquee.plans import trailers
 from marquee.plans.star import build_star, write_table
 from marquee.session import shared_dir, together
-from marquee.sources import charts, files, reports, shop
+from marquee.sources import charts, files, landing, reports, shop, videos
 from marquee.sources.tables import Star
+from marquee.streaming.snapshots import ingest_landed
 
 
 _lock = threading.RLock()
@@ -69,7 +70,39 @@ class Warehouse:
 
     @cached_property
     def trailer_map(self) -> DataFrame:
-        return shop.trailer_map(self.spark, self.sf_dir, self.star.titles)
+        return self._staged(
+            shop.trailer_map(self.spark, self.sf_dir, self.star.titles), "trailer_map"
+        )
+
+    @cached_property
+    def landed(self) -> str:
+        """The derived feeds as files in their landed forms."""
+        folder = f"{self.folder}/landed"
+        nation = shop.table(self.spark, self.sf_dir, "nation")
+        items = shop.video_snapshots(self.spark, self.sf_dir)
+        together(
+            lambda: landing.write_exports(shop.half_report(self.viewing, nation), f"{folder}/exports"),
+            lambda: landing.write_tsv(shop.global_chart(self.viewing), f"{folder}/global"),
+            lambda: landing.write_tsv(shop.country_chart(self.viewing), f"{folder}/countries"),
+            lambda: landing.write_trailer_map(self.trailer_map, f"{folder}/map"),
+            lambda: landing.write_responses(items, f"{folder}/responses"),
+        )
+        return folder
+
+    @cached_property
+    def landed_log(self) -> DataFrame:
+        """The snapshot log fed by the stream from landed responses."""
+        log = f"{self.folder}/landed_log"
+        mapped = videos.read_trailer_map(self.spark, f"{self.landed}/map")
+        stream = ingest_landed(
+            self.spark, f"{self.landed}/responses", log, mapped, self.star.titles, f"{self.folder}/landed_stream"
+        )
+        stream.awaitTermination()
+        return trailers.read_log(self.spark, log)
+
+    def close(self) -> None:
+        """Delete everything this build wrote; its frames must not be used any more."""
+        files.remove(self.spark, self.folder)
 
     @property
     def trailers(self) -> DataFrame:
@@ -96,28 +129,25 @@ class Warehouse:
         return self._staged(titled.select("title_id", "show_title"), "title_show")
 
 
-_open: dict[tuple[str, str], tuple[tuple, Warehouse]] = {}
+_open: dict[tuple[str, str, str], Warehouse] = {}
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The application's warehouse for ``sf_dir``, star built.
+def warehouse(spark: SparkSession, sf_dir: str, version: str = "") -> Warehouse:
+    """The application's warehouse for ``sf_dir``, star built on first use.
 
-    It is built again when an input table changed or the built one is gone.
+    The inputs are not looked at again: a caller whose tables have changed
+    names another ``version``, or calls :func:`forget`.
     """
-    sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, sf_dir)
-    inputs = tuple(files.stamp(spark, shop.table_path(sf_dir, name)) for name in shop.TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), version)
     with _lock:
-        built = _open.get(key)
-        if built and built[0] == inputs and files.exists(spark, built[1].folder):
-            return built[1]
-        fresh = Warehouse(spark, sf_dir)
-        fresh.star  # noqa: B018 - built under the lock
-        _open[key] = (inputs, fresh)
-        return fresh
+        if key not in _open:
+            fresh = Warehouse(spark, sf_dir)
+            fresh.star  # noqa: B018 - built under the lock
+            _open[key] = fresh
+        return _open[key]
 
 
-def forget(spark: SparkSession, sf_dir: str) -> None:
-    """Make the next use build again."""
+def forget(spark: SparkSession, sf_dir: str, version: str = "") -> Warehouse | None:
+    """Make the next use build again; returns the build, for the caller to close."""
     with _lock:
-        _open.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/")), None)
+        return _open.pop((spark.sparkContext.applicationId, sf_dir.rstrip("/"), version), None)

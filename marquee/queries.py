@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.functions import text
 from marquee.operators import checks
 from marquee.plans import claims, kpis, scalars, trailers
 from marquee.plans.report import as_report
 from marquee.plans.warehouse import Warehouse, warehouse
-from marquee.sources import shop
+from marquee.sources import charts, landing, reports, shop, videos
 from marquee.sources.tables import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +29,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 @dataclass(frozen=True)
 class Parameters:
     """What the questions are asked about: the half-year under study, the
-    release guard of its works, and the report's slicers."""
+    release guard of its works, one week and one title, and the report's slicers."""
 
     period: str
     released_from: str
+    week: str = ""
+    title_name: str = ""
     slicers: dict[str, Any] = field(default_factory=dict)
 
 
@@ -39,6 +42,8 @@ class Parameters:
 REGISTERED = Parameters(
     period="2001H1",
     released_from="2001-01-08",
+    week="1996-02-18",
+    title_name="blue widget",
     slicers={
         "first_period": "1998H1",
         "last_period": "2000H2",
@@ -65,6 +70,13 @@ STAR_QUESTIONS: dict[str, Callable[[Star, Parameters], DataFrame]] = {
     # Claim checks
     "v01_climbers": lambda s, p: claims.climbers(s.weekly, s.regions, s.titles),
     "v02_reentries": lambda s, p: claims.reentries(s.weekly, s.regions, s.titles),
+    "v01_climbers_of_title": lambda s, p: claims.climbers(
+        s.weekly, s.regions, s.titles, F.lit(p.week).cast("date"), p.title_name
+    ),
+    "v02_reentries_of_title": lambda s, p: claims.reentries(
+        s.weekly, s.regions, s.titles, F.lit(p.week).cast("date"), p.title_name
+    ),
+    "k07_alignment_of_movies": lambda s, p: kpis.global_alignment(s.weekly, s.regions, text.MOVIE),
     "v03_type_avg": lambda s, p: claims.type_average(s.half, p.period),
     "v04_type_ratio": lambda s, p: claims.type_ratio(s.half, p.period),
     "v05_fact_counts": lambda s, p: checks.table_counts(s),
@@ -74,7 +86,7 @@ STAR_QUESTIONS: dict[str, Callable[[Star, Parameters], DataFrame]] = {
     "v09_market_reach": lambda s, p: claims.market_reach(s.weekly, s.regions, s.titles),
     "v10_movement_states": lambda s, p: claims.movement_states(s.weekly, s.regions, s.titles),
     # Findings in prose
-    "p01_movers_selfjoin": lambda s, p: kpis.movers_two_weeks(s.weekly, s.regions, s.titles),
+    "p01_movers_selfjoin": lambda s, p: kpis.movers_by_lag(s.weekly, s.regions, s.titles),
     "p02_yoy_growth": lambda s, p: kpis.yoy_growth(s.half),
     "p03_type_growth": lambda s, p: kpis.type_growth(s.half),
     "p04_sliced_topline": lambda s, p: kpis.sliced_topline(
@@ -114,6 +126,11 @@ WAREHOUSE_QUESTIONS: dict[str, Callable[[Warehouse, Parameters], DataFrame]] = {
         w.trailer_map, trailers.latest_snapshot(w.trailers)
     ),
     "d04_key_compare": lambda w, p: checks.key_compare(w.weekly_feed),
+    # The derived feeds, written as landed files and read back
+    "r01_half_exports": lambda w, p: landed_half(w),
+    "r02_chart_files": lambda w, p: landed_charts(w),
+    "r03_trailer_map": lambda w, p: videos.read_trailer_map(w.spark, f"{w.landed}/map"),
+    "r04_landed_statistics": lambda w, p: _columns(w.landed_log, schemas.FACT_TRAILER),
 }
 
 # Column expressions over whole raw tables.
@@ -126,6 +143,7 @@ TABLE_QUESTIONS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "s06_days_between": ("events", scalars.days_between),
     "s07_json_extract": ("events", scalars.json_extract),
     "s08_round": ("part", scalars.rounding),
+    "d06_unparsed_values": ("part", scalars.unparsed_values),
 }
 
 
@@ -133,6 +151,19 @@ def _columns(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*schemas.columns(schema))
 
 
+def landed_half(source: Warehouse) -> DataFrame:
+    periods = sorted(r.period_label for r in source.star.half.select("period_label").distinct().collect())
+    listed = landing.exports(source.spark, f"{source.landed}/exports", periods)
+    return reports.read_half_reports(source.spark, listed)
+
+
+def landed_charts(source: Warehouse) -> DataFrame:
+    return charts.weekly_feed(
+        charts.read_global_chart(source.spark, f"{source.landed}/global"),
+        charts.read_country_chart(source.spark, f"{source.landed}/countries"),
+    )
+
+
 def beside_hours(log: DataFrame, star: Star, parameters: Parameters) -> DataFrame:
     return trailers.trailer_vs_engagement(
         log,

@@ -5,21 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _locate(spark: SparkSession, path: str):
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
     context = spark.sparkContext
     located = context._jvm.org.apache.hadoop.fs.Path(path)
-    return located.getFileSystem(context._jsc.hadoopConfiguration()), located
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    system, located = _locate(spark, path)
-    return system.exists(located)
-
-
-def stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """Bytes, file count and change time of a table: one question to the file
-    system per table, however many files it holds."""
-    system, located = _locate(spark, path)
-    summary = system.getContentSummary(located)
-    changed = system.getFileStatus(located).getModificationTime()
-    return summary.getLength(), summary.getFileCount(), changed
+    located.getFileSystem(context._jsc.hadoopConfiguration()).delete(located, True)

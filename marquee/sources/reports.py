@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schemas
-from marquee.functions import text
+from marquee.functions import numbers, text
 
 # Fixed values ---------------------------------------------------------------
 PREAMBLE_LINES = 5
 UNNAMED_PREFIX = "Unnamed"
+# The first n lines; a record: runs outside quotes and quoted texts, to the line end.
+SKIP = r"^(?:[^\n]*+\n?){{{}}}"
+RECORD = r"(?:[^\"\n]++|\"(?:[^\"]++|\"\")*+\")++"
 REPORT_COLUMNS = {
     "Title": "title_name",
     "Available Globally?": "is_available_globally",
@@ -45,18 +48,28 @@ def drop_prefixed(df: DataFrame, prefix: str) -> DataFrame:
 def read_report_csv(spark: SparkSession, path: str, preamble: int = PREAMBLE_LINES) -> DataFrame:
     """CSV export with a fixed number of lines above its header.
 
-    Only the preamble and the header reach the driver; the rows are parsed on
-    the executors. An export may name some columns ``Unnamed: n`` or not at
-    all; both are dropped.
+    The lines are skipped by their place, so a data row may read like one of
+    them. Records are split outside quotes, so a title may hold line breaks.
+    An export is read as one value, as its top cannot be found otherwise; it
+    holds one half-year's titles, and larger feeds come as Parquet. Only the
+    header reaches the driver. Columns named ``Unnamed: n`` or not at all are
+    dropped.
     """
-    lines = spark.read.text(path)
-    top = [row.value for row in lines.take(preamble + 1)]
-    header = next(csv.reader(top[-1:]))
+    top = spark.read.text(path).head(preamble + 1)
+    header = next(csv.reader([top[-1].value] if len(top) > preamble else [""]), [])
     names = [name if name else f"{UNNAMED_PREFIX}: {i}" for i, name in enumerate(header)]
+    if not names:
+        raise ValueError(f"{path}: no header below {preamble} lines")
     schema = ", ".join(f"`{name}` string" for name in names)
-    body = lines.filter(~F.col("value").isin(*top))
-    # Splitting the text on line ends leaves quoted commas to the CSV parser.
-    rows = body.select(F.from_csv("value", F.lit(schema)).alias("row")).select("row.*")
+    body = F.regexp_replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), SKIP.format(preamble + 1), "")
+    records = F.explode(F.regexp_extract_all(body, F.lit(RECORD), F.lit(0)))
+    options = {"multiLine": "true", "escape": '"'}
+    rows = (
+        spark.read.text(path, wholetext=True)
+        .select(records.alias("record"))
+        .select(F.from_csv("record", F.lit(schema), options).alias("row"))
+        .select("row.*")
+    )
     return drop_prefixed(rows, UNNAMED_PREFIX)
 
 
@@ -71,8 +84,8 @@ def tag_report(df: DataFrame, report: HalfReport) -> DataFrame:
     )
 
 
-def read_half_reports(spark: SparkSession, reports: Iterable[HalfReport]) -> DataFrame:
-    """All exports as one feed; ``.parquet`` paths are read as Parquet."""
+def read_raw_reports(spark: SparkSession, reports: Iterable[HalfReport]) -> DataFrame:
+    """All exports as landed; ``.parquet`` paths are read as Parquet."""
     frames = [
         tag_report(
             spark.read.parquet(report.path)
@@ -82,9 +95,12 @@ def read_half_reports(spark: SparkSession, reports: Iterable[HalfReport]) -> Dat
         )
         for report in reports
     ]
-    return conform_half(
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_half_reports(spark: SparkSession, reports: Iterable[HalfReport]) -> DataFrame:
+    """All exports as one feed."""
+    return conform_half(read_raw_reports(spark, reports))
 
 
 def conform_half(raw: DataFrame) -> DataFrame:
@@ -95,8 +111,8 @@ def conform_half(raw: DataFrame) -> DataFrame:
             {
                 "title_name": text.strip(F.col("title_name")),
                 "release_date": F.col("release_date").try_cast("date"),
-                "hours_viewed": F.col("hours_viewed").try_cast("double"),
-                "views": F.col("views").try_cast("double"),
+                "hours_viewed": numbers.grouped_number(F.col("hours_viewed")),
+                "views": numbers.grouped_number(F.col("views")),
                 "runtime_minutes": text.runtime_minutes(F.col("runtime_raw")),
             }
         )

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee import schemas
-from marquee.plans.trailers import snapshot, write_log
-from marquee.session import shared_dir
+from marquee.plans.trailers import append_missing, snapshot
 from marquee.sources.videos import video_items
 
 LANDED = schemas.VIDEO_RESPONSE + ", fetched_at string"
@@ -30,24 +29,26 @@ def ingest_landed(
     log: str,
     trailer_map: DataFrame,
     titles: DataFrame,
-    name: str = "video-statistics",
+    checkpoint: str,
 ) -> StreamingQuery:
     """Add every newly landed fetch to ``log``; returns the running query.
 
-    Each batch has a folder of its own in the log, so a batch replayed after a
-    failure replaces what it wrote before instead of adding it twice.
+    ``checkpoint`` is the shared folder in which this source and log remember
+    what was taken; no other stream may use it. The log has the layout of the
+    batch job, which may feed it too. A batch replayed after a failure finds its
+    rows in the log and adds nothing.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         items = batch.select(F.explode("items").alias("item"), "fetched_at").select(
             "item.*", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at")
         )
-        write_log(snapshot(items, trailer_map, titles), f"{log}/batch={batch_id}", "overwrite")
+        append_missing(snapshot(items, trailer_map, titles), log)
 
     return (
         read_landed(spark, landed)
         .writeStream.foreachBatch(append)
-        .option("checkpointLocation", f"{shared_dir(spark)}/{name}")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

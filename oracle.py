@@ -194,6 +194,7 @@ aligned AS (
 
 PERIOD = "2001H1"
 RELEASED_FROM = "2001-01-08"
+WEEK, TITLE = "1996-02-18", "blue widget"
 RETENTION_NOW = "2024-02-15 00:00:00"
 
 
@@ -304,6 +305,24 @@ WINDOW by_views AS (PARTITION BY content_type ORDER BY view_count DESC NULLS LAS
 SELECT title_name, content_type, region_name, weekly_rank, prior_rank,
        prior_rank - weekly_rank AS improvement
 FROM last_week WHERE NOT is_global AND prior_date = date_key - 7 AND prior_rank > weekly_rank
+""",
+        "v01_climbers_of_title": MODEL + f"""
+SELECT t.title_name, c.content_type, c.region_name, c.weekly_rank, p.weekly_rank AS prior_rank,
+       p.weekly_rank - c.weekly_rank AS improvement
+FROM country_rows c JOIN dim_title t USING (title_id)
+JOIN weekly p ON p.region_id = c.region_id AND p.title_id = c.title_id AND p.date_key = c.date_key - 7
+WHERE c.date_key = DATE '{WEEK}' AND t.title_name = '{TITLE}' AND p.weekly_rank > c.weekly_rank
+""",
+        "v02_reentries_of_title": MODEL + f"""
+SELECT t.title_name, t.content_type, COUNT(*) AS markets_entered
+FROM country_rows c JOIN dim_title t USING (title_id)
+LEFT JOIN weekly p ON p.region_id = c.region_id AND p.title_id = c.title_id AND p.date_key = c.date_key - 7
+WHERE c.date_key = DATE '{WEEK}' AND t.title_name = '{TITLE}' AND p.title_id IS NULL
+GROUP BY t.title_name, t.content_type
+""",
+        "k07_alignment_of_movies": STICKY + f"""
+SELECT region_name, content_type, {rnd('pct', 1)} AS pct_weeks_matching_global_no1, weeks_compared
+FROM aligned WHERE content_type = 'Movie' ORDER BY 3 DESC NULLS LAST, region_name, content_type LIMIT 15
 """,
         "v02_reentries": LAGGED + """
 SELECT title_name, content_type, COUNT(*) AS markets_entered FROM last_week
@@ -464,8 +483,40 @@ SELECT {TRAILER_COLUMNS} FROM trailers
 WHERE epoch(TIMESTAMP '{RETENTION_NOW}') - epoch(fetched_at) <= 30 * 86400
 """,
         "b09_missing_trailers": MODEL + """
-SELECT title_name, content_type, video_id FROM trailer_map
-WHERE video_id NOT IN (SELECT video_id FROM newest)
+, mapped AS (SELECT e.user_id, CAST(e.ts AS DATE) AS day FROM events e JOIN customer c ON c.c_custkey = e.user_id),
+returned AS (SELECT DISTINCT user_id AS video FROM mapped WHERE day = (SELECT MAX(day) FROM mapped))
+SELECT title_name, content_type, video_id FROM trailer_map ANTI JOIN returned USING (video)
+""",
+        "r01_half_exports": MODEL + f"""
+SELECT title_name, content_type, period_label, {text('half_first')} AS period_start,
+       {text("half_first + INTERVAL 6 MONTH - INTERVAL 1 DAY")}[:10] AS period_end, is_available_globally,
+       {text('release_date')} AS release_date, hours_viewed, views, runtime_minutes
+FROM (SELECT *, make_date(CAST(substr(period_label, 1, 4) AS INTEGER),
+                          CASE WHEN substr(period_label, 5) = 'H1' THEN 1 ELSE 7 END, 1) AS half_first FROM works)
+""",
+        "r02_chart_files": MODEL + f"""
+SELECT {text('week')} AS week_start_date, region_name, iso2, title_name, show_title,
+       CASE WHEN content_type = 'Show' THEN title_name ELSE 'N/A' END AS season_title, content_type, language,
+       CAST(weekly_rank AS BIGINT) AS weekly_rank, hours_viewed, views, CAST(NULL AS DOUBLE) AS runtime_hours,
+       CAST(cumulative_weeks AS BIGINT) AS cumulative_weeks_in_top10
+FROM feed
+""",
+        "r03_trailer_map": MODEL + """
+SELECT title_id, title_name, content_type, video_id, 'channel' AS channel,
+       'number ' || video_id || ', "derived"' AS note
+FROM trailer_map
+""",
+        "r04_landed_statistics": MODEL + f"SELECT {TRAILER_COLUMNS} FROM trailers",
+        "d06_unparsed_values": f"""
+WITH raw AS (
+  SELECT p_size, p_size % 17 AS odd, CASE WHEN {KIND} = 'Show' THEN 'TV' ELSE 'Films' END AS kind, p_type FROM part
+)
+SELECT 'half-year' AS feed, 'runtime' AS rule, COUNT(*) FILTER (p_size % 7 = 0 OR p_size % 11 = 0 OR p_size % 13 = 0) AS "values" FROM raw
+UNION ALL SELECT 'half-year', 'hours', COUNT(*) FILTER (odd = 0) FROM raw
+UNION ALL SELECT 'half-year', 'views', 0
+UNION ALL SELECT 'half-year', 'release date', COUNT(*) FILTER (odd = 3) FROM raw
+UNION ALL SELECT 'worldwide', 'category', COUNT(*) FILTER (p_size % 5 = 0 OR p_size % 7 = 0) FROM raw
+UNION ALL SELECT 'country', 'category', COUNT(*) FILTER (p_size % 5 <> 0) FROM raw
 """,
         "s01_runtime_parse": f"""
 SELECT p_partkey,
@@ -535,8 +586,15 @@ SELECT title_id, period_label, COUNT(*) AS works, COUNT(DISTINCT release_date) A
 FROM half GROUP BY title_id, period_label HAVING COUNT(*) > 1
 """,
         "d02_chart_slots": MODEL + f"""
-SELECT {text('date_key')} AS date_key, region_name, content_type, COUNT(*) AS slots_filled
-FROM country_rows GROUP BY date_key, region_name, content_type HAVING COUNT(*) <> 10
+, due AS (
+  SELECT d.date_key, r.region_id, r.region_name, k.content_type
+  FROM dim_date d, dim_region r, (VALUES ('Show'), ('Movie')) k(content_type)
+  WHERE NOT r.is_global AND EXISTS (SELECT 1 FROM weekly w WHERE w.date_key = d.date_key)
+)
+SELECT {text('date_key')} AS date_key, region_name, content_type,
+       (SELECT COUNT(*) FROM weekly w WHERE w.date_key = due.date_key AND w.region_id = due.region_id
+          AND w.content_type = due.content_type) AS slots_filled
+FROM due WHERE slots_filled <> 10
 """,
         "d03_orphans": MODEL + """
 SELECT 'fact_top10_weekly' AS table_name, 'title_id' AS key_name, COUNT(*) AS orphan_rows

@@ -1,5 +1,6 @@
 from datetime import date
 
+from marquee.operators import checks
 from marquee.plans.star import build_from_files
 from marquee.sources import charts, reports
 from marquee.sources.reports import HalfReport
@@ -30,6 +31,31 @@ def write_reports(folder):
     ]
 
 
+def test_exports_are_read_by_place_and_outside_quotes(spark, tmp_path):
+    """Data rows that read like the preamble or the header, line breaks in quotes, grouped numbers."""
+    header = ",Title,Available Globally?,Release Date,Hours Viewed,Runtime,Views"
+    rows = [
+        "What was watched,,,,,,",
+        ",Other,Yes,,500000,1:00,5",
+        header,
+        ',"Two\nlines, ""quoted""",Yes,2024-01-04,"1,234,000",8:30,"12,000"',
+        ",Last,No,soon,12 h,1:2:3,",
+    ]
+    for end in ("\n", "\r\n"):
+        path = tmp_path / f"export{len(end)}.csv"
+        path.write_bytes((PREAMBLE.replace("Notes apply", ",Other,Yes,,500000,1:00,5") + "\n".join([header, *rows]) + "\n").replace("\n", end).encode())
+        raw = reports.read_report_csv(spark, str(path))
+        got = tuples(raw, "Title", "`Hours Viewed`")
+        assert got == [(None, None), ("Other", "500000"), ("Title", "Hours Viewed"), ('Two\nlines, "quoted"', "1,234,000"), ("Last", "12 h")]
+        feed = reports.conform_half(reports.tag_report(raw, HalfReport(str(path), "Show", "2024H1", "2024-01-01", "2024-06-30")))
+        hours = dict(tuples(feed, "title_name", "hours_viewed"))
+        assert hours == {"Other": 5e5, "Title": None, 'Two\nlines, "quoted"': 1234000.0, "Last": None}
+        lost = checks.unparsed(half=raw.filter("Title = 'Last'"))
+        assert sorted(tuples(lost)) == [
+            ("half-year", "hours", 1), ("half-year", "release date", 1), ("half-year", "runtime", 1), ("half-year", "views", 0),
+        ]
+
+
 def write_charts(folder):
     worldwide = folder / "global.tsv"
     worldwide.write_text(

@@ -1,12 +1,14 @@
+import os
 from datetime import date
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marquee import schemas
 from marquee.operators import checks
-from marquee.operators.spread import dense_ids, rank_desc, spread_rank_desc
+from marquee.operators.spread import dense_ids, rank_desc
 from marquee.plans import star as build
-from marquee.plans.star import build_star, export_csv
+from marquee.plans.star import build_star, export_csv, write_weekly
 from tests.fixtures import half_feed, star, tuples, week, weekly_feed
 
 
@@ -37,10 +39,8 @@ def test_spread_rank_equals_the_window(spark):
     )
     window = W.partitionBy("g").orderBy(F.desc_nulls_last("v"))
     plain = rows.withColumn("r", F.rank().over(window).cast("long"))
-    spread = spread_rank_desc(rows, ["g"], "v", "r").select("g", "v", "r")
+    spread = rank_desc(rows, ["g"], "v", "r").select("g", "v", "r")
     assert sorted(tuples(spread), key=repr) == sorted(tuples(plain), key=repr)
-    small = rank_desc(rows, rows.count(), ["g"], "v", "r")
-    assert sorted(tuples(small), key=repr) == sorted(tuples(plain), key=repr)
 
 
 def test_one_name_of_two_types_is_two_titles(spark):
@@ -102,6 +102,8 @@ def test_quality_reports(spark):
         ("Movie", 1), ("Show", 1),
     ]
     assert checks.chart_slots(model.weekly, model.regions, slots=1).isEmpty()
+    half_empty = checks.chart_slots(model.weekly.filter("content_type = 'Show'"), model.regions)
+    assert sorted(tuples(half_empty, "content_type", "slots_filled")) == [("Movie", 0), ("Show", 1)]
     assert sorted(tuples(checks.feed_overlap(model))) == [("Movie", 1, 1, 0), ("Show", 0, 0, 1)]
     assert {row.orphan_rows for row in checks.orphans(model).collect()} == {0}
     broken = model.weekly.withColumn("title_id", F.when(F.col("weekly_rank") > 1, F.col("title_id")))
@@ -140,8 +142,8 @@ def test_build_writes_replaces_and_exports(spark, tmp_path):
     assert back.columns[0] == "date_key" and back.count() == 2 and "year" not in back.columns
 
 
-def test_a_changed_input_is_built_again(spark, smoke_dir, tmp_path):
-    from marquee.plans.warehouse import warehouse
+def test_a_new_version_is_built_again(spark, smoke_dir, tmp_path):
+    from marquee.plans.warehouse import forget, warehouse
     from marquee.sources import shop
 
     for name in shop.TABLES:
@@ -152,6 +154,18 @@ def test_a_changed_input_is_built_again(spark, smoke_dir, tmp_path):
     shop.table(spark, smoke_dir, "lineitem").write.mode("append").parquet(
         shop.table_path(str(tmp_path), "lineitem")
     )
-    second = warehouse(spark, str(tmp_path))
+    second = warehouse(spark, str(tmp_path), "after the append")
     assert second.star.half.agg(F.sum("hours_viewed")).first()[0] == 2 * hours
     assert first.star.half.agg(F.sum("hours_viewed")).first()[0] == hours
+    assert forget(spark, str(tmp_path)) is first and forget(spark, str(tmp_path)) is None
+    first.close()
+    assert not os.path.exists(first.folder.removeprefix("file:"))
+    assert second.star.half.count() > 0
+
+
+def test_one_year_is_written_by_many_tasks(spark, tmp_path):
+    days = [(date(2024, 1, 7 + 7 * (w % 3)), w, w % 50, "Show", None, 1, None, None, 1) for w in range(3000)]
+    write_weekly(spark.createDataFrame(days, schemas.FACT_WEEKLY), str(tmp_path))
+    files = list((tmp_path / "fact_top10_weekly" / "year=2024").glob("*.parquet"))
+    assert len(files) > 4
+    assert spark.read.parquet(str(tmp_path / "fact_top10_weekly")).count() == 3000

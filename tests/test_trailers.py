@@ -1,11 +1,9 @@
 import json
-import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from marquee import schemas
-from marquee.operators import spread
 from marquee.plans import trailers
 from marquee.sources import videos
 from marquee.streaming.snapshots import ingest_landed
@@ -99,7 +97,7 @@ def test_latest_is_one_fetch_for_all(spark):
     assert tuples(trailers.latest_snapshot(rows), "video_id", "view_count") == [("a", 7)]
 
 
-def test_trailers_beside_hours(spark, monkeypatch):
+def test_trailers_beside_hours(spark):
     star_model = model(spark)
     ids = {r.title_name: r.title_id for r in star_model.titles.collect()}
     rows = log(
@@ -127,12 +125,10 @@ def test_trailers_beside_hours(spark, monkeypatch):
         ("Alpha", "Show", 10, 2, 5.0, None, None, 1, 1),
     ]
     assert ask() == expected
-    monkeypatch.setattr(spread, "ONE_TASK_ROWS", 0)
-    assert ask() == expected
 
 
 def test_landed_files_are_taken_once(spark, tmp_path):
-    landed, out, stream = tmp_path / "landed", str(tmp_path / "log"), f"stream-{uuid.uuid4()}"
+    landed, out, taken = tmp_path / "landed", str(tmp_path / "log"), str(tmp_path / "taken")
     landed.mkdir()
     mapped, titles = trailer_map(spark, tmp_path), model(spark).titles
 
@@ -140,12 +136,29 @@ def test_landed_files_are_taken_once(spark, tmp_path):
         line = {"items": list(items), "fetched_at": f"2024-02-{day:02d} 06:00:00"}
         (landed / f"{day}.json").write_text(json.dumps(line))
 
-    def run():
-        ingest_landed(spark, str(landed), out, mapped, titles, name=stream).awaitTermination()
+    def run(checkpoint=taken):
+        ingest_landed(spark, str(landed), out, mapped, titles, checkpoint).awaitTermination()
         rows = trailers.read_log(spark, out).orderBy("fetched_at", "video_id")
         return tuples(rows, "video_id", "view_count", F.dayofmonth("fetched_at"))
 
     land(1, item("v1", 5))
     assert run() == [("v1", 5, 1)]
     land(2, item("v1", 8), item("v2", 1))
-    assert run() == run() == [("v1", 5, 1), ("v1", 8, 2), ("v2", 1, 2)]
+    both = [("v1", 5, 1), ("v1", 8, 2), ("v2", 1, 2)]
+    assert run() == run() == both
+    # a stream that has forgotten, or a second one, finds its rows in the log
+    assert run(str(tmp_path / "other")) == both
+    # the batch job feeds the same log
+    fetch = trailers.read_log(spark, out).filter("day(fetched_at) = 2").drop("fetch_day")
+    later = fetch.withColumn("fetched_at", F.expr("fetched_at + INTERVAL 1 DAY"))
+    trailers.append_snapshot(later, out)
+    trailers.append_missing(later, out)
+    assert run() == [*both, ("v1", 8, 3), ("v2", 1, 3)]
+
+
+def test_a_video_returned_twice_counts_once(spark, tmp_path):
+    items = [item("v1", 5), item("v1", 9), item("v1", 7)]
+    (tmp_path / "response.json").write_text(json.dumps({"items": items}))
+    fetched = videos.read_video_items(spark, str(tmp_path / "response.json"), NOW)
+    rows = trailers.snapshot(fetched, trailer_map(spark, tmp_path), model(spark).titles)
+    assert tuples(rows, "video_id", "view_count") == [("v1", 9)]
