@@ -22,11 +22,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from marquee.llm.common import doc_rows, text_steps, written
+from marquee.llm.common import doc_rows, text_steps
 
 CHUNK_CHARS = 1 << 15
 OVERLAP_CHARS = 1 << 10
@@ -59,6 +58,9 @@ class Tokenizer:
             out[rank] = token
         return out
 
+    def decoded(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.token_bytes.__getitem__, ids))
+
     @functools.cached_property
     def decimals(self) -> list[bytes]:
         return [b"%d" % rank for rank in range(len(self.token_bytes))]
@@ -143,36 +145,74 @@ def _long_pieces(rows: DataFrame, shared, chunk_chars: int, overlap: int) -> Dat
     return sound.union(whole)
 
 
-def encode(
-    docs: DataFrame,
-    vocabulary: Tokenizer,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    chunk_chars: int = CHUNK_CHARS,
-    overlap: int = OVERLAP_CHARS,
-) -> DataFrame:
-    """``doc_id, ids array<int>`` of every row."""
+def _ids(_: Tokenizer, ids: list[np.ndarray]) -> list[pa.Array]:
+    return [_id_lists(ids)]
+
+
+def _digests(vocabulary: Tokenizer, ids: list[np.ndarray]) -> list[pa.Array]:
+    counts, ids_sha, data_sha = [], [], []
+    for some in ids:
+        counts.append(len(some))
+        listed = some.tolist()
+        ids_sha.append(hashlib.sha256(b",".join(map(vocabulary.decimals.__getitem__, listed))).hexdigest())
+        data_sha.append(hashlib.sha256(vocabulary.decoded(listed)).hexdigest())
+    return [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(data_sha, pa.string())]
+
+
+def _encoded(docs: DataFrame, vocabulary: Tokenizer, columns, schema: str, id_col: str, text_col: str, chunk_chars: int, overlap: int) -> DataFrame:
+    """``doc_id`` and what ``columns`` makes of the ids of each row, in the task that has them."""
     rows = doc_rows(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["doc_id", *(field.split()[0] for field in schema.split(", "))]
+    keys = ["doc_key", "text_key"]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batch: pa.RecordBatch) -> list[np.ndarray]:
         encoding = shared.value.encoding
+        return [encoding.encode_to_numpy(text, disallowed_special=()) for text in batch.column("text").to_pylist()]
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):
-            ids = [encoding.encode_to_numpy(text, disallowed_special=()) for text in batch.column("text").to_pylist()]
-            rest = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), _id_lists(ids)], [*rest, "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns(shared.value, encoded(batch))], names)
 
-    short = rows.where(F.char_length("text") <= chunk_chars).select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
-    keys = ["doc_key", "text_key"]
+    def piecewise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_steps(batches):
+            own = [batch.column(c) for c in (*keys, "piece")]
+            yield pa.RecordBatch.from_arrays([*own, _id_lists(encoded(batch))], [*keys, "piece", "ids"])
+
+    def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns(shared.value, list(_arrays(batch.column("ids"))))], names)
+
+    schema = f"doc_id long, {schema}"
+    short = rows.where(F.char_length("text") <= chunk_chars).select("doc_id", "text").mapInArrow(whole, schema)
     long = (
         _long_pieces(rows, shared, chunk_chars, overlap)
-        .mapInArrow(run, "doc_key long, text_key int, piece int, ids array<int>")
+        .mapInArrow(piecewise, "doc_key long, text_key int, piece int, ids array<int>")
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("pieces"))
         .select(*keys, F.flatten("pieces.ids").alias("ids"))
     )
     long_rows = rows.where(F.char_length("text") > chunk_chars).select("doc_id", *keys)
-    return short.union(long_rows.join(long, keys).select("doc_id", "ids"))
+    return short.union(long_rows.join(long, keys).select("doc_id", "ids").mapInArrow(joined, schema))
+
+
+def _arrays(column: pa.Array) -> Iterator[np.ndarray]:
+    bounds = column.offsets.to_numpy()
+    values = column.values.to_numpy()
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        yield values[low:high]
+
+
+def encode(
+    docs: DataFrame,
+    vocabulary: Tokenizer,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_chars: int = CHUNK_CHARS,
+    overlap: int = OVERLAP_CHARS,
+) -> DataFrame:
+    """``doc_id, ids array<int>`` of every row."""
+    return _encoded(docs, vocabulary, _ids, "ids array<int>", id_col, text_col, chunk_chars, overlap)
 
 
 def decode(encoded: DataFrame, vocabulary: Tokenizer) -> DataFrame:
@@ -180,37 +220,24 @@ def decode(encoded: DataFrame, vocabulary: Tokenizer) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.token_bytes.__getitem__
         for batch in batches:
-            data = [b"".join(map(token, ids)) for ids in _lists(batch.column("ids"))]
+            data = [shared.value.decoded(ids.tolist()) for ids in _arrays(batch.column("ids"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(data, pa.binary())], ["doc_id", "ids", "data"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, data binary")
 
 
-def _lists(column: pa.Array) -> Iterator[list[int]]:
-    bounds = column.offsets.to_numpy()
-    values = column.values.to_numpy()
-    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        yield values[low:high].tolist()
-
-
-def digest(docs: DataFrame, vocabulary: Tokenizer) -> DataFrame:
-    """Per document its number of ids and the digests of ids and of decoded bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def digest(
+    docs: DataFrame,
+    vocabulary: Tokenizer,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_chars: int = CHUNK_CHARS,
+    overlap: int = OVERLAP_CHARS,
+) -> DataFrame:
+    """Per document its number of ids and the digests of the ids and of the bytes they decode to.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimal = shared.value.decimals.__getitem__
-        for batch in batches:
-            counts, ids_sha, data_sha = [], [], []
-            for ids, data in zip(_lists(batch.column("ids")), batch.column("data")):
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(b",".join(map(decimal, ids))).hexdigest())
-                data_sha.append(hashlib.sha256(data.as_buffer()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(data_sha, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return decode(encode(docs, vocabulary), vocabulary).mapInArrow(run, schema)
+    Encoding and decoding as above, in one pass, so that the ids need not leave their task.
+    """
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _encoded(docs, vocabulary, _digests, schema, id_col, text_col, chunk_chars, overlap)

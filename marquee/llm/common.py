@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -15,6 +16,9 @@ from marquee.session import shared_dir
 
 # Bytes of text that a task turns into arrays at once.
 TEXT_STEP = 4 << 20
+# Bytes of rows that go to a Python worker at once, where the session sets no lower bound.
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def doc_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
@@ -22,12 +26,20 @@ def doc_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col), F.lit("no id")))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches are cut by bytes, since a batch of so many rows may hold any size of text."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", spark.conf.get(_BATCH_SETTING).lower()).groups()
+    if not 0 < int(number) << 10 * " kmgtp".index(unit or " ") <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def doc_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, doc_key, text_key, text`` of every row; a null text is empty.
 
     Rows are one document if they agree in id and text. Other columns of the
     input are not read, so their names cannot clash.
     """
+    bound_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         doc_key(id_col, text_col).alias("doc_key"),
