@@ -183,7 +183,7 @@ def test_movers_count_consecutive_weeks_only(spark):
     args = (model.weekly, model.regions, model.titles)
     up = tuples(kpis.movers(*args), "region_name", "title_name", "rank_improvement")
     assert up == [("Global", "Up", 8), ("Peru", "Up", 4), ("Peru", "Same", 0), ("Peru", "Down", -1)]
-    assert tuples(kpis.movers_two_weeks(*args), "region_name", "title_name", "rank_improvement") == up
+    assert tuples(kpis.movers_by_lag(*args), "region_name", "title_name", "rank_improvement") == up
     down = tuples(kpis.movers(*args, down=True, include_global=False), "title_name")
     assert down == [("Down",), ("Same",), ("Up",)]
 
@@ -202,7 +202,7 @@ def test_states_cover_the_chart_and_both_mover_forms_agree(smoke):
     rows = movement.in_week(kpis.countries(model.weekly, model.regions), movement.latest(model.weekly))
     states = claims.movement_states(*args).agg(F.sum("chart_rows")).first()[0]
     assert states == rows.count()
-    one, two = kpis.movers(*args, limit=None), kpis.movers_two_weeks(*args, limit=None)
+    one, two = kpis.movers(*args, limit=None), kpis.movers_by_lag(*args, limit=None)
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
 
 
