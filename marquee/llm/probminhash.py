@@ -13,11 +13,17 @@ shingle stops as soon as its next arrival comes later than all registers of its
 filled. Registers of two texts agree with probability J.
 
 Search: texts of equal words are one node (the least document id). Nodes that agree in all
-registers of a band meet in its bucket. First every node is compared with the
-bucket's least; then, as links make classes, the classes of a bucket are compared by one node each; last,
-all pairs of a bucket that are still in different classes, unless their signatures
-rule out the threshold by ``SLACK``. Pairs within a class need no comparison, so a large group
-of copies costs a number of pairs proportional to it. With 24 bands of 4
+registers of a band meet in its bucket. First every node is compared with the bucket's
+centre, the node whose buckets are largest, which is how the original of a group of copies stands out; then, as links make
+classes, the classes of a bucket are compared by their centres; last, all pairs of a bucket that are
+still in different classes, unless the threshold is out of reach. Pairs within a class need no comparison, so a large group
+of copies costs a number of pairs proportional to it. Out of reach: signatures that agree ``DEVIATIONS`` standard
+deviations less than expected at the threshold; or shingles that no other text left to compare has, which no partner can share:
+with total weight X, of it U of such shingles, largest weight m, and at most c shingles in common,
+
+    J <= (X - U) / (X + V / m'),  V = max(U', X' - c m'),
+
+where the primes mark the other text, and the same with the texts exchanged. With 24 bands of 4
 registers a pair at 0.8 meets with probability 1 - 3e-6.
 
 Rows: a null, empty or blank text has no words and is a class of its own; a text of fewer
@@ -32,9 +38,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from marquee.llm.common import doc_key, doc_rows, text_steps, unused, written
 from marquee.llm.components import components
@@ -44,8 +49,14 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 BAND_ROWS = 4
-# Signatures that agree in a share this much below the threshold are not compared exactly: six standard deviations at 0.8.
-SLACK = 0.25
+# Registers of a signature; the bands use the first ones, estimates all. A multiple of 16.
+REGISTERS = 192
+# Signatures that agree less than a pair at the threshold does, by so many standard deviations, are not compared exactly.
+DEVIATIONS = 5.0
+# Bits of a register that the join compares, packed into longs.
+NIBBLE, A_LONG = 4, 16
+# Room for the rounding of sums of weights.
+EPSILON = 1e-9
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -110,31 +121,36 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_key, content, bands, signature``: a digest of the words, the band hashes, and 16 bits of each register."""
+    """``doc_key, content, bands, signature, nibbles``: a digest of the words, the band hashes, and 16 and 4 bits of each register."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):
             words = split_words(batch.column("text"), NOT_SPACE, lower=True)
             n = batch.num_rows
-            signature = signatures(*shingles(words, shingle), n, bands * rows)
+            signature = signatures(*shingles(words, shingle), n, REGISTERS)
             content = [
                 hashlib.blake2b(words.span(a, b), digest_size=16).digest() if b > a else None
                 for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())
             ]
             flat = pa.array(_bands(signature, bands, rows).reshape(-1))
-            bits = mix(signature).astype("<u2").tobytes()
-            width = 2 * bands * rows
+            short = mix(signature)
+            bits = short.astype("<u2").tobytes()
+            width = 2 * REGISTERS
+            places = np.arange(A_LONG, dtype=np.uint64) * np.uint64(NIBBLE)
+            nibbles = (short >> np.uint64(60)).reshape(n, -1, A_LONG) << places
+            longs = REGISTERS // A_LONG
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_key"),
                     pa.array(content, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat),
                     pa.array([bits[i * width : (i + 1) * width] for i in range(n)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * longs), pa.array(nibbles.sum(2).astype(np.uint64).view(np.int64).reshape(-1))),
                 ],
-                ["doc_key", "content", "bands", "signature"],
+                ["doc_key", "content", "bands", "signature", "nibbles"],
             )
 
-    schema = "doc_key long, content binary, bands array<long>, signature binary"
+    schema = "doc_key long, content binary, bands array<long>, signature binary, nibbles array<long>"
     return doc_rows(docs, id_col, text_col).select("doc_key", "text").mapInArrow(run, schema)
 
 
@@ -158,6 +174,25 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
     return float((1 / (upto_a / a + from_b / b)).sum())
 
 
+def _least_agreement(threshold: float, bits: int) -> float:
+    """The share of registers, compared by some bits, in which a pair at the threshold agrees at least."""
+    expected = threshold + (1 - threshold) / 2**bits
+    return expected - DEVIATIONS * (expected * (1 - expected) / REGISTERS) ** 0.5
+
+
+def _alike_in_join(x: str, y: str, threshold: float) -> str:
+    """The same as SQL over ``nibbles``, cheap enough for every pair of a bucket."""
+    ones = sum(1 << (NIBBLE * i) for i in range(A_LONG))
+
+    def differing(i: int) -> str:
+        d = f"({x}.nibbles[{i}] ^ {y}.nibbles[{i}])"
+        folded = " | ".join([d, *(f"shiftrightunsigned({d}, {k})" for k in range(1, NIBBLE))])
+        return f"bit_count(({folded}) & {ones}L)"
+
+    most = int((1 - _least_agreement(threshold, NIBBLE)) * REGISTERS)
+    return f"{' + '.join(differing(i) for i in range(REGISTERS // A_LONG))} <= {most}"
+
+
 def _agreement(left: pa.Array, right: pa.Array, registers: int) -> np.ndarray:
     a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(-1, registers) for x in (left, right))
     return (a == b).mean(axis=1)
@@ -165,7 +200,7 @@ def _agreement(left: pa.Array, right: pa.Array, registers: int) -> np.ndarray:
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """The pairs ``a, b`` that are similar enough."""
-    least = threshold - SLACK
+    least = _least_agreement(threshold, 16)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches, "text_b", 1 << 20):
@@ -192,19 +227,68 @@ def _alike(pairs: DataFrame, signatures_of: DataFrame, threshold: float) -> Data
             if batch.num_rows:
                 width = len(batch.column("signature_a")[0].as_buffer()) // 2
                 alike = _agreement(batch.column("signature_a"), batch.column("signature_b"), width)
-                yield batch.select(["a", "b"]).filter(pa.array(alike >= threshold - SLACK))
+                yield batch.select(["a", "b"]).filter(pa.array(alike >= _least_agreement(threshold, 16)))
 
     sides = [signatures_of.select(F.col("node").alias(s), F.col("signature").alias(f"signature_{s}")) for s in "ab"]
     return pairs.join(sides[1], "b").join(sides[0], "a").mapInArrow(run, "a long, b long").distinct()
 
 
 def _classed(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """``band, node, class`` of the buckets that hold several classes."""
-    classed = crowded.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("class"))
+    """``band, node, score, class, least`` of the buckets that hold several classes."""
+    classed = crowded.join(roots, "node", "left").select("band", "node", "score", F.coalesce("root", "node").alias("class"))
     mixed = classed.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most")
     return classed.join(mixed.select("band", "least"), "band")
 
 
+def _centre() -> Column:
+    """The node of most score, of equal ones the least id."""
+    return -F.max(F.struct("score", (-F.col("node")).alias("minus")))["minus"]
+
+
+def _crowded(banded: DataFrame) -> DataFrame:
+    """``band, node, score`` of the buckets that hold several nodes; ``score`` is the size of all the node's buckets."""
+    sizes = banded.groupBy("band").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    sized = written(banded.join(sizes, "band"), "buckets")
+    scores = sized.groupBy("node").agg(F.sum("nodes").alias("score"))
+    return written(sized.join(scores, "node").select("band", "node", "score"), "scored")
+
+
+def _reach(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """``node, n, total, most, own_n, own`` of each text of the nodes: number, sum and largest weight of its shingles, and number and sum of those no other text has."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_steps(batches):
+            text, value, weight = shingles(split_words(batch.column("text"), NOT_SPACE, lower=True), shingle)
+            row = pa.array(text)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(row), batch.column("part").take(row), pa.array(value.view(np.int64)), pa.array(weight)],
+                ["node", "part", "shingle", "weight"],
+            )
+
+    key = ["node", "part"]
+    wanted = texts.join(nodes, "node", "left_semi").select("node", F.xxhash64("text").alias("part"), "text")
+    each = written(wanted.mapInArrow(run, "node long, part long, shingle long, weight double"), "shingles")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("texts"), *(F.min(c).alias(c) for c in [*key, "weight"])).where("texts = 1")
+    own = alone.groupBy(*key).agg(F.count("*").alias("own_n"), F.sum("weight").alias("own"))
+    whole = each.groupBy(*key).agg(F.count("*").alias("n"), F.sum("weight").alias("total"), F.max("weight").alias("most"))
+    return whole.join(own, key, "left").fillna(0, ["own_n", "own"]).drop("part")
+
+
+def _bound(one: str, other: str) -> str:
+    """An upper bound of the similarity of two texts, as SQL over the columns of :func:`_reach`."""
+    common = f"least({one}.n - {one}.own_n, {other}.n - {other}.own_n)"
+    apart = f"greatest({other}.own, {other}.total - {common} * {other}.most)"
+    return f"({one}.total - {one}.own) / ({one}.total + {apart} / {other}.most)"
+
+
+def _joined(roots: DataFrame, pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """The classes, joined where a pair is similar enough."""
+    if pairs.isEmpty():
+        return roots
+    links = written(_verified(pairs, texts, shingle, threshold), "links")
+    return roots if links.isEmpty() else components(links.union(roots.toDF("a", "b")))
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -215,6 +299,8 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, doc_key, class_id`` of every row; ``class_id`` is the least id of those linked to it, directly or in steps."""
+    if bands * band_rows > REGISTERS:
+        raise ValueError(f"the bands ask for more than {REGISTERS} registers")
     sketches = written(sketch(docs, shingle, bands, band_rows, id_col, text_col), "sketches")
     worded = sketches.where("content is not null")
     same_words = worded.groupBy("content").agg(F.min("doc_key").alias("node"))
@@ -225,35 +311,33 @@ def near_duplicates(
 
     nodes = worded.join(same_words, "content").where("doc_key = node")
     banded = nodes.select("node", F.explode("bands").alias("band")).distinct()
-    shared = banded.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
-    crowded = written(banded.join(shared.select("band", "lead"), "band"), "buckets")
+    crowded = _crowded(banded)
     wanted = crowded.select("node").distinct()
-    signed = nodes.select("node", "signature").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    signed = nodes.select("node", "signature", "nibbles").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     text = doc_rows(docs, id_col, text_col).select(F.col("doc_key").alias("node"), "text")
     texts = written(text.join(signed, "node").distinct(), "texts")
 
-    pairs = crowded.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_verified(pairs, texts, shingle, threshold).union(same_id), "links")
-    roots = written(components(links), "roots")
+    led = crowded.join(crowded.groupBy("band").agg(_centre().alias("lead")), "band").where("node != lead")
+    pairs = written(led.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "pairs")
+    roots = components(_verified(pairs, texts, shingle, threshold).union(same_id))
 
     mixed = _classed(crowded, roots)
-    leads = mixed.where("class != least").groupBy("band", "least", "class").agg(F.min("node").alias("b"))
-    bases = mixed.where("class = least").groupBy("band").agg(F.min("node").alias("a"))
+    leads = mixed.where("class != least").groupBy("band", "class").agg(_centre().alias("b"))
+    bases = mixed.where("class = least").groupBy("band").agg(_centre().alias("a"))
     pairs_by_class = leads.join(bases, "band").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = written(_alike(pairs_by_class.join(pairs, ["a", "b"], "left_anti"), texts, threshold), "pairs")
-    if not more.isEmpty():
-        links = written(links.union(_verified(more, texts, shingle, threshold)), "links")
-        roots = written(components(links), "roots")
-
-    mixed = _classed(crowded, roots).select("band", "node", "class")
-    other = mixed.select("band", F.col("node").alias("other"), F.col("class").alias("other_class"))
-    rest = mixed.join(other, "band").where("class < other_class")
-    rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    roots = _joined(roots, more, texts, shingle, threshold)
+
+    mixed = written(_classed(crowded, roots).select("band", "node", "class"), "mixed")
+    reach = _reach(mixed.select("node").distinct(), texts, shingle).where(f"total - own >= {threshold - EPSILON} * total")
+    marked = texts.select("node", "nibbles").dropDuplicates(["node"])
+    left = written(mixed.join(reach, "node").join(marked, "node"), "left")
+    near = f"x.class < y.class and {_alike_in_join('x', 'y', threshold)} and {_bound('x', 'y')} >= {threshold - EPSILON} and {_bound('y', 'x')} >= {threshold - EPSILON}"
+    rest = left.alias("x").join(left.alias("y"), F.expr(f"x.band = y.band and {near}"))
+    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     rest = rest.join(pairs, ["a", "b"], "left_anti").join(more, ["a", "b"], "left_anti")
-    rest = written(_alike(rest, texts, threshold), "pairs")
-    if not rest.isEmpty():
-        links = links.union(_verified(rest, texts, shingle, threshold))
-        roots = written(components(links), "roots")
+    rest = written(rest, "pairs")
+    roots = _joined(roots, rest, texts, shingle, threshold)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc_key(id_col, text_col).alias("doc_key"))
     class_id = F.coalesce("root", "node", "doc_key").alias("class_id")

@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -115,14 +117,16 @@ def shingle_weights(text, n=5):
     from math import log2
 
     own = [w.translate(UPPER) for w in words(text)]
-    grams = [tuple(own[i : i + n]) for i in range(max(1, len(own) - n + 1))] if own else []
-    return {g: 1 + log2(grams.count(g)) for g in set(grams)}
+    grams = Counter(tuple(own[i : i + n]) for i in range(max(1, len(own) - n + 1))) if own else {}
+    return {g: 1 + log2(often) for g, often in grams.items()}
 
 
 def probability_jaccard(x, y):
-    return sum(
-        1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in x.keys() | y.keys()) for i in x.keys() & y.keys()
-    )
+    """The definition, term by term."""
+    every = sorted(x.keys() | y.keys())
+    a, b = (np.array([w.get(g, 0.0) for g in every]) for w in (x, y))
+    common = (a > 0) & (b > 0)
+    return float((1 / np.maximum(a / a[common, None], b / b[common, None]).sum(axis=1)).sum())
 
 
 def classes(docs, threshold=0.8):
@@ -134,7 +138,12 @@ def classes(docs, threshold=0.8):
             i = root[i]
         return i
 
-    weighed = [(i, shingle_weights(text)) for i, text in docs]
+    first: dict[str, int] = {}
+    for i, text in docs:
+        same = first.setdefault(" ".join(words((text or "").translate(UPPER))) or f"none {i}", i)
+        low, high = sorted((find(same), find(i)))
+        root[high] = low
+    weighed = [(i, shingle_weights(text)) for i, text in docs if i in first.values()]
     for k, (a, x) in enumerate(weighed):
         for b, y in weighed[:k]:
             if x and y and x.keys() & y.keys() and probability_jaccard(x, y) >= threshold:
