@@ -35,8 +35,8 @@ GRAM = 3
 LONGEST = 64
 # Buckets for each shuffle partition: a task works on one bucket at a time.
 BUCKETS_A_TASK = 8
-BATCH_BYTES = 16 << 20
-_CODEC = "zstd"
+BATCH_BYTES = 8 << 20
+_CODEC, _LEVEL = "zstd", 6
 
 
 def _least(values: np.ndarray, n: int) -> np.ndarray:
@@ -81,7 +81,7 @@ def _pack(arrays: list[np.ndarray], strings: bytes) -> bytes:
     """Arrays and packed strings as one compressed block."""
     head = np.array([len(a) for a in arrays] + [len(strings)], "<i8").tobytes()
     raw = head + b"".join(a.tobytes() for a in arrays) + strings
-    return np.array([len(raw)], "<i8").tobytes() + pa.Codec(_CODEC, 1).compress(raw, asbytes=True)
+    return np.array([len(raw)], "<i8").tobytes() + pa.Codec(_CODEC, _LEVEL).compress(raw, asbytes=True)
 
 
 _TYPES = [np.dtype(t) for t in ("<i8", "<i4", "<u2", "<i4", "u1", "<u2", "<i4", "u1")]
