@@ -33,7 +33,7 @@ QUERIES: dict[str, Query] = {
     "op5_substring_dedup": lambda s, d: substring.digest(documents(s, d)),
     "op6_decontamination": lambda s, d: decontamination.digest(documents(s, d), benchmark(s, d)),
     "op7_quality_rules": lambda s, d: quality.digest(documents(s, d)),
-    "op8_tool_calls": lambda s, d: tool_calls.digest(conversations(s, d)),
+    "op8_tool_calls": lambda s, d: tool_calls.every_turn(conversations(s, d)),
     "op9_line_dedup": lambda s, d: lines.digest(documents(s, d)),
     "op10_secret_scan": lambda s, d: secret_scan.digest(documents(s, d)),
 }

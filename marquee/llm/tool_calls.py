@@ -10,7 +10,8 @@ white space, no escapes beyond those JSON asks for.
 
 Status, the first that holds: ``orphan_result`` (no such call), ``no_id``, ``duplicate_call`` (not the first by
 turn, then arguments), ``cyclic`` (builds on itself), ``dangling`` (builds on a call that is not there), ``invalid_arguments``,
-``no_result``, ``ok``. Rows: null conversation or id cannot be linked; null or malformed
+``no_result``, ``ok``. Turns of a conversation that are neither calls nor results are ``unlinked``; their JSON
+holds their role, and their text as the result. Rows: null conversation or id cannot be linked; null or malformed
 arguments are invalid; null content is a result whose text is null; repeated rows are duplicates.
 """
 
@@ -105,7 +106,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> Da
     answers = (
         results.where(has_id)
         .groupBy(*KEYS)
-        .agg(F.min(F.struct("turn", "content")).alias("result"), F.count("*").alias("n_results"))
+        .agg(F.min(F.struct("turn", "content")).alias("first"), F.count("*").alias("n_results"))
+        .select(*KEYS, F.col("first.content").alias("result"), "n_results")
     )
     joined = written(own.join(answers, KEYS, "full").join(depths(own.select(*KEYS, "after")), KEYS, "left"), "linked")
     behind = F.coalesce("depth", F.lit(2**62)).alias("depth")  # calls of a cycle come last
@@ -124,18 +126,27 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> Da
         .unionByName(bare, allowMissingColumns=True)
         .unionByName(lost, allowMissingColumns=True)
     )
-    fields = ["conv_id", "call_id", "turn", "name", "arguments", "after", "n_calls", "result", "n_results", "depth", "missing", "position", "seen"]
+    return _finished(rows, schemas)
+
+
+def _finished(rows: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
+    """The rows judged and written as JSON; columns that they lack are null."""
+    rows = rows.select(*(F.col(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in _FIELDS.items()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_pylist([_row(r, schemas) for r in batch.to_pylist()], _ROW)
 
-    return rows.select(*fields).mapInArrow(
+    return rows.mapInArrow(
         run,
         "conv_id long, call_id string, turn long, name string, position long, depth long, n_results long, status string, errors array<string>, json string",
     )
 
 
+_FIELDS = {
+    "conv_id": "long", "call_id": "string", "turn": "long", "name": "string", "arguments": "string", "after": "string", "n_calls": "long",
+    "result": "string", "n_results": "long", "depth": "long", "missing": "boolean", "position": "long", "seen": "string", "role": "string",
+}
 _ROW = pa.schema(
     [
         ("conv_id", pa.int64()), ("call_id", pa.string()), ("turn", pa.int64()), ("name", pa.string()), ("position", pa.int64()),
@@ -168,12 +179,13 @@ def _row(row: dict[str, Any], schemas: dict[str, Schema]) -> dict[str, Any]:
         status = "invalid_arguments"
     else:
         status = "ok" if row["n_results"] else "no_result"
-    result = row["result"]
     shown = {k: row[k] for k in ("conv_id", "call_id", "name", "after", "position")} | {
         "arguments": arguments,
-        "result": result and result["content"],
+        "result": row["result"],
         "status": status,
     }
+    if status == "unlinked":
+        shown["role"] = row["role"]
     kept = {k: row[k] for k in ("conv_id", "call_id", "turn", "name", "position", "depth")}
     return kept | {"n_results": row["n_results"] or 0, "status": status, "errors": errors, "json": canonical(shown)}
 
@@ -188,26 +200,30 @@ TOOLS: dict[str, Schema] = {
     }
     for name in ("search", "summarise", "translate")
 }
-QUERY_WORDS = 8
+
+
+def _turns(conversations: DataFrame) -> DataFrame:
+    return conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
 
 
 def traffic(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results read from plain conversations.
 
-    A user turn is a call, its tool and its faults picked by a checksum of its text: a tenth states
+    A user turn is a call that asks for its whole text, its tool and its faults picked by a checksum of its text: a tenth states
     the limit as text and a tenth leaves out the query. It builds on the call two turns before. An
     assistant turn is the result of the call one turn before.
     """
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    rows = _turns(conversations)
 
     def named(turn: Column) -> Column:
         return F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn)
 
-    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
-    pick = F.crc32(F.coalesce("text", F.lit("")))
+    text = F.coalesce("text", F.lit(""))
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    pick = F.crc32(text)
     limit = F.to_json(F.struct(F.size(words).alias("limit")))
-    as_text = F.to_json(F.struct(F.array_join(F.slice(words, 1, QUERY_WORDS), " ").alias("query"), F.size(words).cast("string").alias("limit")))
-    whole = F.to_json(F.struct(F.array_join(F.slice(words, 1, QUERY_WORDS), " ").alias("query"), F.size(words).alias("limit")))
+    as_text = F.to_json(F.struct(text.alias("query"), F.size(words).cast("string").alias("limit")))
+    whole = F.to_json(F.struct(text.alias("query"), F.size(words).alias("limit")))
     calls = rows.where("role = 'user'").select(
         "conv_id",
         named(F.col("turn")).alias("call_id"),
@@ -222,5 +238,17 @@ def traffic(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def unlinked(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, result`` of turns that are neither calls nor results; ``result`` is their text."""
+    other = ~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))
+    return _turns(conversations).where(other).select("conv_id", "turn", "role", F.col("text").alias("result"), F.lit("unlinked").alias("seen"))
+
+
 def digest(conversations: DataFrame) -> DataFrame:
+    """The calls and results of :func:`traffic`, linked."""
     return link(*traffic(conversations), TOOLS)
+
+
+def every_turn(conversations: DataFrame) -> DataFrame:
+    """:func:`digest` and the turns of every other or null role, as ``unlinked``."""
+    return digest(conversations).unionByName(_finished(unlinked(conversations), TOOLS))

@@ -99,3 +99,17 @@ def test_digest_of_smoke_conversations(spark):
 def test_no_rows(spark):
     assert link(spark, []) == []
     assert [r.status for r in link(spark, [], [(1, "a", 0, None)])] == ["orphan_result"]
+
+
+def test_whole_texts_and_turns_of_every_role(spark):
+    long = "  many\twords " * 300
+    rows = [(1, 0, "system", "be brief"), (1, 1, "user", long), (1, 2, "assistant", "yes"), (1, 3, None, "who"), (1, 4, "tool", None), (None, 0, "system", "x")]
+    rows += [(2, i, "user", f"{long}{i}") for i in range(30)]
+    got = tool_calls.every_turn(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    other = sorted((r.conv_id or 0, r.turn, json.loads(r.json)["role"] or "", json.loads(r.json)["result"] or "") for r in got if r.status == "unlinked")
+    assert other == [(0, 0, "system", "x"), (1, 0, "system", "be brief"), (1, 3, "", "who"), (1, 4, "tool", "")]
+    assert len(got) == len(rows) - 1  # the answer is in the row of its call
+    texts = {(conv, turn): text for conv, turn, _, text in rows}
+    asked = {(r.conv_id, r.turn): json.loads(r.json)["arguments"].get("query") for r in got if r.call_id}
+    assert {k: v for k, v in asked.items() if v is not None} == {k: texts[k] for k, v in asked.items() if v is not None}
+    assert len([v for v in asked.values() if v]) > 20
