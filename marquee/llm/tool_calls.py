@@ -1,14 +1,15 @@
 """Tool-call linking: results joined to calls by identifier, calls ordered, arguments validated.
 
 A call has an id within its conversation, a tool, JSON arguments, and may build on one
-earlier call, ``after``. Results are joined by (conversation, id), the first by turn if there
-are several. The order is topological: a call's depth is the number of calls it builds on, one on another, found
+earlier call, ``after``. Results are joined by (conversation, id). Of several calls or results of one id
+the first by turn are linked; the others are rows of their own content, with their rank within the id.
+The order is topological: a call's depth is the number of calls it builds on, one on another, found
 by pointer doubling, so a chain of n calls takes log2(n) rounds however long the conversation is.
 Positions within a conversation come from a range-partitioned numbering, so one
 conversation may hold any share of all calls. Each call is one row of canonical JSON: keys sorted, no
 white space, no escapes beyond those JSON asks for.
 
-Status, the first that holds: ``orphan_result`` (no such call), ``no_id``, ``duplicate_call`` (not the first by
+Status, the first that holds: ``orphan_result`` (no such call), ``further_result`` (not the first of its call), ``no_id``, ``duplicate_call`` (not the first by
 turn, then arguments), ``cyclic`` (builds on itself), ``dangling`` (builds on a call that is not there), ``invalid_arguments``,
 ``no_result``, ``ok``. Turns of a conversation that are neither calls nor results are ``unlinked``; their JSON
 holds their role, and their text as the result. Rows: null conversation or id cannot be linked; null or malformed
@@ -93,42 +94,52 @@ def depths(nodes: DataFrame) -> DataFrame:
     return state.withColumn("depth", F.when(F.col("to").isNull(), F.col("depth"))).drop("to")
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
-    """``conv_id, call_id, turn, name, position, depth, n_results, status, errors, json`` of every call and every orphan result.
+def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The rows with ``rank``, the place in ``order`` among the ``n`` rows of their id; equal rows are numbered too, wherever they lie."""
+    numbered = dense_ids(rows.withColumn("tie", F.rand(0)), [*KEYS, *order, "tie"], "number")
+    of_id = numbered.groupBy(*KEYS).agg(F.min("number").alias("least"), F.count("*").alias("n"))
+    rank = (F.col("number") - F.col("least") + 1).alias("rank")
+    return written(numbered.join(of_id, KEYS).select(*rows.columns, rank, "n"), "ranked")
+
+
+def link_all(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
+    """``conv_id, call_id, turn, name, position, depth, rank, n_results, status, errors, json`` of every call, and of every result that is not its call's first.
 
     ``calls``: conv_id, call_id, turn, name, arguments, after. ``results``: conv_id, call_id, turn, content.
     """
     calls = calls.select("conv_id", "call_id", "turn", "name", "arguments", "after")
+    results = results.select("conv_id", "call_id", "turn", F.col("content").alias("result"))
     has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
-    place = F.struct("turn", "arguments", "name", "after")
-    grouped = calls.where(has_id).groupBy(*KEYS).agg(F.min(place).alias("call"), F.count("*").alias("n_calls"))
-    own = written(grouped.select(*KEYS, "call.*", "n_calls"), "calls")
-    answers = (
-        results.where(has_id)
-        .groupBy(*KEYS)
-        .agg(F.min(F.struct("turn", "content")).alias("first"), F.count("*").alias("n_results"))
-        .select(*KEYS, F.col("first.content").alias("result"), "n_results")
-    )
-    joined = written(own.join(answers, KEYS, "full").join(depths(own.select(*KEYS, "after")), KEYS, "left"), "linked")
+    called = _ranked(calls.where(has_id), ["turn", "arguments", "name", "after"]).withColumnRenamed("n", "n_calls")
+    own = called.where("rank = 1")
+    answered = _ranked(results.where(has_id), ["turn", "result"]).withColumnRenamed("n", "n_results")
+    answers = answered.where("rank = 1").select(*KEYS, "result", "n_results", F.col("turn").alias("result_turn"))
+    joined = own.drop("rank").join(answers, KEYS, "full").join(depths(own.select(*KEYS, "after")), KEYS, "left")
+    joined = written(joined.withColumn("turn", F.when(F.col("n_calls").isNull(), F.col("result_turn")).otherwise(F.col("turn"))).drop("result_turn"), "linked")
     behind = F.coalesce("depth", F.lit(2**62)).alias("depth")  # calls of a cycle come last
     placed = joined.where("n_calls is not null").select("conv_id", behind, "turn", "call_id")
     numbered = dense_ids(placed, ["conv_id", "depth", "turn", "call_id"], "number")
     first = numbered.groupBy("conv_id").agg(F.min("number").alias("first"))
     position = numbered.join(first, "conv_id").select(*KEYS, (F.col("number") - F.col("first")).alias("position"))
-    linked = joined.join(position, KEYS, "left").withColumn("seen", F.lit("own"))
-    # calls that are not the first of their id, and those without one
-    copies = own.where("n_calls > 1").select(*KEYS, F.explode(F.sequence(F.lit(2), F.col("n_calls"))).alias("copy"))
-    extra = copies.select(*KEYS, F.lit("duplicate_call").alias("seen"))
-    bare = calls.where(~has_id).select("conv_id", "call_id", "turn", "name", "arguments", F.lit("no_id").alias("seen"))
-    lost = results.where(~has_id).select("conv_id", "call_id", F.lit("orphan_result").alias("seen"))
-    rows = (
-        linked.unionByName(extra, allowMissingColumns=True)
-        .unionByName(bare, allowMissingColumns=True)
-        .unionByName(lost, allowMissingColumns=True)
-    )
+    linked = joined.join(position, KEYS, "left").withColumns({"seen": F.lit("own"), "rank": F.lit(1).cast("long")})
+    # calls and results that are not the first of their id, and those without one
+    extra = called.where("rank > 1").withColumn("seen", F.lit("duplicate_call"))
+    seen = F.when(F.col("there"), F.lit("further_result")).otherwise(F.lit("orphan_result")).alias("seen")
+    there = own.select(*KEYS, F.lit(True).alias("there"))
+    further = answered.where("rank > 1").join(there, KEYS, "left").select(*KEYS, "turn", "result", "rank", "n_results", seen)
+    bare = calls.where(~has_id).withColumn("seen", F.lit("no_id"))
+    lost = results.where(~has_id).withColumn("seen", F.lit("orphan_result"))
+    rows = linked
+    for more in (extra, further, bare, lost):
+        rows = rows.unionByName(more, allowMissingColumns=True)
     return _finished(rows, schemas)
 
 
+def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
+    """:func:`link_all` without the further results of calls, which ``n_results`` counts."""
+    return link_all(calls, results, schemas).where("status != 'further_result'")
+
+
 def _finished(rows: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
     """The rows judged and written as JSON; columns that they lack are null."""
     rows = rows.select(*(F.col(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in _FIELDS.items()))
@@ -139,18 +150,18 @@ def _finished(rows: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
 
     return rows.mapInArrow(
         run,
-        "conv_id long, call_id string, turn long, name string, position long, depth long, n_results long, status string, errors array<string>, json string",
+        "conv_id long, call_id string, turn long, name string, position long, depth long, rank long, n_results long, status string, errors array<string>, json string",
     )
 
 
 _FIELDS = {
     "conv_id": "long", "call_id": "string", "turn": "long", "name": "string", "arguments": "string", "after": "string", "n_calls": "long",
-    "result": "string", "n_results": "long", "depth": "long", "missing": "boolean", "position": "long", "seen": "string", "role": "string",
+    "result": "string", "n_results": "long", "depth": "long", "missing": "boolean", "position": "long", "rank": "long", "seen": "string", "role": "string",
 }
 _ROW = pa.schema(
     [
         ("conv_id", pa.int64()), ("call_id", pa.string()), ("turn", pa.int64()), ("name", pa.string()), ("position", pa.int64()),
-        ("depth", pa.int64()), ("n_results", pa.int64()), ("status", pa.string()), ("errors", pa.list_(pa.string())), ("json", pa.string()),
+        ("depth", pa.int64()), ("rank", pa.int64()), ("n_results", pa.int64()), ("status", pa.string()), ("errors", pa.list_(pa.string())), ("json", pa.string()),
     ]
 )
 
@@ -159,7 +170,7 @@ def _row(row: dict[str, Any], schemas: dict[str, Schema]) -> dict[str, Any]:
     errors: list[str] = []
     arguments = None
     is_call = row["n_calls"] is not None
-    if is_call or row["seen"] == "no_id":
+    if is_call or row["seen"] in ("no_id", "duplicate_call"):
         try:
             arguments = json.loads(row["arguments"] or "", parse_constant=_bare)
         except ValueError:
@@ -186,7 +197,7 @@ def _row(row: dict[str, Any], schemas: dict[str, Schema]) -> dict[str, Any]:
     }
     if status == "unlinked":
         shown["role"] = row["role"]
-    kept = {k: row[k] for k in ("conv_id", "call_id", "turn", "name", "position", "depth")}
+    kept = {k: row[k] for k in ("conv_id", "call_id", "turn", "name", "position", "depth", "rank")}
     return kept | {"n_results": row["n_results"] or 0, "status": status, "errors": errors, "json": canonical(shown)}
 
 
@@ -246,7 +257,7 @@ def unlinked(conversations: DataFrame) -> DataFrame:
 
 def digest(conversations: DataFrame) -> DataFrame:
     """The calls and results of :func:`traffic`, linked."""
-    return link(*traffic(conversations), TOOLS)
+    return link_all(*traffic(conversations), TOOLS)
 
 
 def every_turn(conversations: DataFrame) -> DataFrame:

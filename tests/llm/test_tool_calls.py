@@ -113,3 +113,23 @@ def test_whole_texts_and_turns_of_every_role(spark):
     asked = {(r.conv_id, r.turn): json.loads(r.json)["arguments"].get("query") for r in got if r.call_id}
     assert {k: v for k, v in asked.items() if v is not None} == {k: texts[k] for k, v in asked.items() if v is not None}
     assert len([v for v in asked.values() if v]) > 20
+
+
+def test_repeated_ids_keep_their_content(spark):
+    calls = [(1, "a", 0, "f", '{"x": 1}', None), (1, "a", 2, "f", '{"x": "2"}', "b"), (1, "a", 2, "f", '{"x": "2"}', "b"), (1, "b", 1, "f", '{"x": 5}', None)]
+    results = [(1, "a", 1, "one"), (1, "a", 3, "two"), (1, "a", 3, "two"), (1, "z", 4, "lost"), (1, "z", 5, "lost too"), (1, None, 6, "no id")]
+    calls, results = spark.createDataFrame(calls, CALL), spark.createDataFrame(results, RESULT)
+    got = [(r, json.loads(r.json)) for r in tool_calls.link_all(calls, results, SCHEMAS).collect()]
+    seen = sorted((r.status, r.turn, r.rank or 0, r.name or "", str(j["arguments"]), j["after"] or "", j["result"] or "", len(r.errors)) for r, j in got)
+    assert seen == [
+        ("duplicate_call", 2, 2, "f", "{'x': '2'}", "b", "", 1),
+        ("duplicate_call", 2, 3, "f", "{'x': '2'}", "b", "", 1),
+        ("further_result", 3, 2, "", "None", "", "two", 0),
+        ("further_result", 3, 3, "", "None", "", "two", 0),
+        ("no_result", 1, 1, "f", "{'x': 5}", "", "", 0),
+        ("ok", 0, 1, "f", "{'x': 1}", "", "one", 0),
+        ("orphan_result", 4, 1, "", "None", "", "lost", 0),
+        ("orphan_result", 5, 2, "", "None", "", "lost too", 0),
+        ("orphan_result", 6, 0, "", "None", "", "no id", 0),
+    ]
+    assert len(tool_calls.link(calls, results, SCHEMAS).collect()) == 7
