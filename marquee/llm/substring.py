@@ -36,6 +36,8 @@ LONGEST = 64
 # Buckets for each shuffle partition: a task works on one bucket at a time.
 BUCKETS_A_TASK = 8
 BATCH_BYTES = 8 << 20
+# Between packed strings: white space other than the space that joins words, as words may hold any other byte.
+_BETWEEN = b"\n"
 _CODEC, _LEVEL = "zstd", 6
 
 
@@ -139,7 +141,7 @@ def _blocks(batch: pa.RecordBatch, buckets: int, window: int, gram: int) -> Iter
             raise ValueError("more than 65,535 documents in a batch")
         is_sent = first[some]
         arrays = [doc[docs].astype("<i8"), text_key[docs].astype("<i4"), at[is_sent], offset[sent], count[sent].astype("u1"), at[~is_sent], offset[settled], count[settled].astype("u1")]
-        yield int(bucket[some[0]]), _pack(arrays, b"\x00".join([strings[i] for i in number[sent].tolist()]))
+        yield int(bucket[some[0]]), _pack(arrays, _BETWEEN.join([strings[i] for i in number[sent].tolist()]))
 
 
 def _marks(blocks: Iterable[bytes], window: int) -> Iterator[tuple[int, int, int, int]]:
@@ -153,7 +155,7 @@ def _marks(blocks: Iterable[bytes], window: int) -> Iterator[tuple[int, int, int
             yield *keys[i], at, at + n + window - 1
         if not len(of):
             continue
-        for string, i, at, n in zip(packed.split(b"\x00"), of.tolist(), start.tolist(), count.tolist()):
+        for string, i, at, n in zip(packed.split(_BETWEEN), of.tolist(), start.tolist(), count.tolist()):
             place = (*keys[i], at)
             other = earliest.setdefault(string, place)
             if other != place:

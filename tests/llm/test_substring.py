@@ -46,3 +46,10 @@ def test_null_ids_and_one_id_with_two_texts(spark):
 
 def test_no_documents(no_docs):
     assert substring.digest(no_docs).collect() == []
+
+
+def test_words_that_hold_nul(spark):
+    odd = " ".join(f"n\x00{i}" for i in range(45)) + " \x00 \x00\x00 " + numbered(3, 30)
+    docs = [(1, odd), (2, f"{numbered(1, 30)} {odd}"), (3, numbered(3, 30)), (4, f"{numbered(2, 25)} \x00 {numbered(1, 30)}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    assert rows_of(substring.digest(df)) == expected(brute.substring(docs))
