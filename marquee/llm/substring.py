@@ -2,7 +2,9 @@
 
 Windows travel as super-k-mers. The minimiser of a window is the smallest hash
 of the ``gram``-word runs in it; consecutive windows with one minimiser are one packed
-string, sent to the bucket of that minimiser, so equal windows meet in one bucket. There
+string, sent to the bucket of that minimiser, so equal windows meet in one bucket. Minimisers fall into
+cells by hash, whose bytes are counted first: buckets are runs of cells of at most ``BUCKET_BYTES``, and a cell of more
+is split over several buckets by the hash of the whole window, its windows one by one. In a bucket
 the windows are sorted by hash; those that share a hash are compared as
 bytes, and all but the earliest are marked. The marks go back to their document as spans of words.
 
@@ -19,6 +21,8 @@ different texts the one with the smaller text hash comes first; null ids stay nu
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import batched
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,12 @@ WINDOW = 20
 GRAM = 3
 # Windows of one super-k-mer, at most: long runs of one minimiser are cut.
 LONGEST = 64
-# Buckets for each shuffle partition: a task works on one bucket at a time.
+# Buckets for each shuffle partition, at least: a task works on one bucket at a time.
 BUCKETS_A_TASK = 8
+BUCKET_BYTES = 8 << 20
+CELLS = 1 << 16
+# Marks that leave a bucket at once.
+MARKS = 1 << 16
 BATCH_BYTES = 8 << 20
 # Between packed strings: white space other than the space that joins words, as words may hold any other byte.
 _BETWEEN = b"\n"
@@ -101,8 +109,36 @@ def _unpack(block: bytes) -> tuple[list[np.ndarray], bytes]:
     return arrays, raw[at:]
 
 
-def _blocks(batch: pa.RecordBatch, buckets: int, window: int, gram: int) -> Iterator[tuple[int, bytes]]:
-    """The super-k-mers of a batch, one block for each bucket."""
+class _Strings(NamedTuple):
+    """Super-k-mers of a batch: first word, windows, cell, and whether no earlier one is the same string, of bytes ``low`` to ``high``."""
+
+    doc: np.ndarray
+    text_key: np.ndarray
+    words: Words
+    hashes: np.ndarray
+    raw: bytes
+    start: np.ndarray
+    count: np.ndarray
+    cell: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    first: np.ndarray
+
+
+def _unseen(raw: bytes, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Whether each string stands for the first time."""
+    seen: set[bytes] = set()
+    first = np.ones(len(low), bool)
+    for i, (a, b) in enumerate(zip(low.tolist(), high.tolist())):
+        string = raw[a:b]
+        if string in seen:
+            first[i] = False
+        else:
+            seen.add(string)
+    return first
+
+
+def _strings(batch: pa.RecordBatch, window: int, gram: int) -> _Strings:
     order = pc.sort_indices(pa.Table.from_batches([batch.select(["doc_key", "text_key"])]), [("doc_key", "ascending"), ("text_key", "ascending")])
     batch = batch.take(order)
     doc, text_key = batch.column("doc_key").to_numpy(), batch.column("text_key").to_numpy()
@@ -111,25 +147,68 @@ def _blocks(batch: pa.RecordBatch, buckets: int, window: int, gram: int) -> Iter
     if not new.all():  # repeated rows are one document
         batch, doc, text_key = batch.filter(pa.array(new)), doc[new], text_key[new]
     words = split_words(batch.column("text"), NOT_SPACE)
-    start, count, least = super_kmers(words, word_hashes(words), window, gram)
-    if not len(start):
-        return
+    hashes = word_hashes(words)
+    start, count, least = super_kmers(words, hashes, window, gram)
     raw = words.data.tobytes()
     last = start + count + window - 2
     low, high = words.start[start], words.start[last] + words.length[last]
-    seen: set[bytes] = set()
-    strings, first = [], np.ones(len(start), bool)
-    for i, (a, b) in enumerate(zip(low.tolist(), high.tolist())):
-        string = raw[a:b]
-        if string in seen:
-            first[i] = False
-        else:
-            seen.add(string)
-            strings.append(string)
-    row = np.searchsorted(words.first, start, "right") - 1
+    cell = (mix(least) % np.uint64(CELLS)).astype(np.int64)
+    return _Strings(doc, text_key, words, hashes, raw, start, count, cell, low, high, _unseen(raw, low, high))
+
+
+def _sizes(batch: pa.RecordBatch, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of a batch, the bytes of their different strings, and those of the windows of these one by one."""
+    s = _strings(batch, window, gram)
+    size = (s.high - s.low)[s.first]
+    apart = size * s.count[s.first] * window // (s.count[s.first] + window - 1)
+    cells, at = np.unique(s.cell[s.first], return_inverse=True)
+    return cells, np.bincount(at, size, len(cells)).astype(np.int64), np.bincount(at, apart, len(cells)).astype(np.int64)
+
+
+def bucket_plan(sizes: np.ndarray, apart: np.ndarray, least_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """First bucket of each cell and how many it is split over, of the bytes of its strings and of its single windows."""
+    most = max(1, min(BUCKET_BYTES, int(sizes.sum()) // least_buckets))
+    base, parts = np.zeros(len(sizes), np.int32), np.ones(len(sizes), np.int32)
+    bucket = held = 0
+    for cell, (size, single) in enumerate(zip(sizes.tolist(), apart.tolist())):
+        if held and held + size > most:
+            bucket, held = bucket + 1, 0
+        base[cell] = bucket
+        held += size
+        if size > BUCKET_BYTES:
+            parts[cell] = -(-single // BUCKET_BYTES)
+            bucket, held = bucket + int(parts[cell]), 0
+    return base, parts
+
+
+def _blocks(batch: pa.RecordBatch, base: np.ndarray, parts: np.ndarray, window: int, gram: int) -> Iterator[tuple[int, bytes]]:
+    """The super-k-mers of a batch, one block for each bucket."""
+    s = _strings(batch, window, gram)
+    if not len(s.start):
+        return
+    doc, words = s.doc, s.words
+    row = np.searchsorted(words.first, s.start, "right") - 1
+    start, count, low, high, first = s.start, s.count, s.low, s.high, s.first
+    # what is settled needs no other string: in a split cell it goes by its document
+    by_doc = mix(doc[row].astype(np.int64).view(np.uint64)) % parts[s.cell].astype(np.uint64)
+    bucket = base[s.cell] + by_doc.astype(np.int64)
+    split = np.flatnonzero(first & (parts[s.cell] > 1))
+    if len(split):
+        n = count[split]
+        of = np.repeat(split, n)
+        begin = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        part = (mix(gram_hashes(s.hashes, window)[begin]) % parts[s.cell[of]].astype(np.uint64)).astype(np.int64)
+        begin_low, begin_high = words.start[begin], words.start[begin + window - 1] + words.length[begin + window - 1]
+        unseen = _unseen(s.raw, begin_low, begin_high)
+        part = np.where(unseen, part, by_doc[of].astype(np.int64))
+        whole = np.ones(len(start), bool)
+        whole[split] = False
+        bucket = np.concatenate([bucket[whole], base[s.cell[of]] + part])
+        row, start = np.concatenate([row[whole], row[of]]), np.concatenate([start[whole], begin])
+        count = np.concatenate([count[whole], np.ones(len(of), count.dtype)])
+        low, high = np.concatenate([low[whole], begin_low]), np.concatenate([high[whole], begin_high])
+        first = np.concatenate([first[whole], unseen])
     offset = (start - words.first[row]).astype("<i4")
-    bucket = (mix(least) % np.uint64(buckets)).astype(np.int64)
-    number = np.cumsum(first) - 1
     by_bucket = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1))
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by_bucket)]):
@@ -140,8 +219,8 @@ def _blocks(batch: pa.RecordBatch, buckets: int, window: int, gram: int) -> Iter
         if at is None:
             raise ValueError("more than 65,535 documents in a batch")
         is_sent = first[some]
-        arrays = [doc[docs].astype("<i8"), text_key[docs].astype("<i4"), at[is_sent], offset[sent], count[sent].astype("u1"), at[~is_sent], offset[settled], count[settled].astype("u1")]
-        yield int(bucket[some[0]]), _pack(arrays, _BETWEEN.join([strings[i] for i in number[sent].tolist()]))
+        arrays = [doc[docs].astype("<i8"), s.text_key[docs].astype("<i4"), at[is_sent], offset[sent], count[sent].astype("u1"), at[~is_sent], offset[settled], count[settled].astype("u1")]
+        yield int(bucket[some[0]]), _pack(arrays, _BETWEEN.join([s.raw[i:j] for i, j in zip(low[sent].tolist(), high[sent].tolist())]))
 
 
 def _marks(blocks: Iterable[bytes], window: int) -> Iterator[tuple[int, int, int, int]]:
@@ -214,11 +293,21 @@ def repeated_spans(
         raise ValueError("window must hold a gram")
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = tasks * BUCKETS_A_TASK
+    texts = doc_rows(docs, id_col, text_col).select("doc_key", "text_key", "text")
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_steps(batches, limit=BATCH_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _sizes(batch, window, gram)], ["cell", "bytes", "apart"])
+
+    measured = texts.mapInArrow(measure, "cell long, bytes long, apart long").groupBy("cell").agg(F.sum("bytes"), F.sum("apart"))
+    sizes, apart = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
+    for cell, size, single in measured.collect():  # at most one row for each cell
+        sizes[cell], apart[cell] = size, single
+    base, parts = bucket_plan(sizes, apart, tasks * BUCKETS_A_TASK)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches, limit=BATCH_BYTES):
-            pairs = list(_blocks(batch, buckets, window, gram))
+            pairs = list(_blocks(batch, base, parts, window, gram))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in pairs], pa.int32()), pa.array([x for _, x in pairs], pa.binary())], ["bucket", "block"]
             )
@@ -239,12 +328,11 @@ def repeated_spans(
                     yield held[1]
                     held = next(stream, None)
 
-            marks = list(zip(*_marks(own(), window)))
-            if marks:
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(marks, kinds)], ["doc_key", "text_key", "begin", "end"])
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            for marks in batched(_marks(own(), window), MARKS):
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*marks), kinds)], ["doc_key", "text_key", "begin", "end"])
 
-    blocks = doc_rows(docs, id_col, text_col).select("doc_key", "text_key", "text").mapInArrow(pack, "bucket int, block binary")
+    blocks = texts.mapInArrow(pack, "bucket int, block binary")
     sorted_blocks = blocks.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     return sorted_blocks.mapInArrow(sort, "doc_key long, text_key int, begin int, end int")
 

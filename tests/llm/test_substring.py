@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from marquee.llm import substring
 from tests.llm import brute
 from tests.llm.conftest import EDGE_DOCS, expected, numbered, rows_of
@@ -53,3 +55,19 @@ def test_words_that_hold_nul(spark):
     docs = [(1, odd), (2, f"{numbered(1, 30)} {odd}"), (3, numbered(3, 30)), (4, f"{numbered(2, 25)} \x00 {numbered(1, 30)}")]
     df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
     assert rows_of(substring.digest(df)) == expected(brute.substring(docs))
+
+
+def test_cells_over_a_size_are_split_by_window(spark, monkeypatch):
+    """One trigram in different contexts, and one passage in them: single windows and settled ones spread over buckets."""
+    monkeypatch.setattr(substring, "BUCKET_BYTES", 400)
+    monkeypatch.setattr(substring, "MARKS", 7)
+    monkeypatch.setattr(substring, "CELLS", 16)
+    docs = [(i, f"{numbered(i, 25)} all rights reserved {numbered(i % 9, 25)} {numbered(-1, 20)} {numbered(i + 500, 3)}") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert rows_of(substring.digest(df)) == expected(brute.substring(docs))
+
+
+def test_no_bucket_is_planned_over_the_size():
+    sizes = np.array([substring.BUCKET_BYTES // 3] * 10 + [substring.BUCKET_BYTES * 5, 1])
+    base, parts = substring.bucket_plan(sizes, sizes * 2, 2)
+    assert base.tolist() == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3, 4, 14] and parts.tolist() == [1] * 10 + [10, 1]
