@@ -35,5 +35,5 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": lambda s, d: quality.digest(documents(s, d)),
     "op8_tool_calls": lambda s, d: tool_calls.every_turn(conversations(s, d)),
     "op9_line_dedup": lambda s, d: lines.digest(documents(s, d)),
-    "op10_secret_scan": lambda s, d: secret_scan.digest(documents(s, d)),
+    "op10_secret_scan": lambda s, d: secret_scan.digest(documents(s, d), digitless_keys=True),
 }

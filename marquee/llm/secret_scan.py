@@ -1,6 +1,7 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is a run of at least ``MIN_CHARS`` characters of keys and tokens that holds a digit.
+A candidate is a run of at least ``MIN_CHARS`` characters of keys and tokens that holds a digit or, where asked for, a known
+key; a word may hold any number of them. Of ``name=value`` it is the value, if that is a candidate.
 The forest sees its length, its character classes and their transitions, how much of it
 corpus words cover, path marks in it and in the path of the document, and the words
 beside it. The dictionary is the lower-case words found in at least ``DICTIONARY_DOCS``
@@ -31,11 +32,24 @@ MIN_FRAGMENT = 3
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 20, 6, 11
 SPACES = r"[\x20\x09-\x0D]+"
-CORE = rf"(?=[A-Za-z+/=_.@-]*[0-9])[A-Za-z0-9+/=_.@-]{{{MIN_CHARS},}}"
+_RUN = "[A-Za-z0-9+/=_.@-]"
+_DIGIT = "(?=[A-Za-z+/=_.@-]*[0-9])"
+CORE = rf"(?<!{_RUN}){_DIGIT}{_RUN}{{{MIN_CHARS},}}"
 
 # Formats that are secrets, or are not, whatever stands beside them.
-KEY_FORMATS = [r"^(AKIA|ASIA)[A-Z0-9]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36,}$", r"^xox[abprs]-[A-Za-z0-9-]{10,}$", r"^AIza[A-Za-z0-9_-]{35}$"]
-HARMLESS_FORMATS = [r"@", r"^[0-9._+/=-]+$", r"^[a-z]+([.][a-z0-9]+)+$", r"^/?([a-z]+/)+[a-z]*$"]
+_KEY_SHAPES = [
+    "(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "gh[pousr]_[A-Za-z0-9]{36,}",
+    "xox[abprs]-[A-Za-z0-9-]{10,}",
+    "AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])",
+]
+KEY_FORMATS = [rf"(?<![A-Za-z0-9]){shape}" for shape in _KEY_SHAPES]
+SHORTEST_KEY = 15
+# Candidates, and known keys without a digit.
+CORE_OR_KEY = rf"(?<!{_RUN})(?:{_DIGIT}{_RUN}{{{MIN_CHARS},}}|(?={_RUN}*?(?:{'|'.join(KEY_FORMATS)})){_RUN}{{{SHORTEST_KEY},}})"
+NAME = r"^[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])"
+EMAIL = r"^[A-Za-z0-9._+-]+@[A-Za-z0-9-]+[.][A-Za-z0-9.-]+$"
+HARMLESS_FORMATS = [r"^[0-9._+/=-]+$", r"^[a-z]+([.][a-z0-9]+)+$", r"^/?([a-z]+/)+[a-z]*$"]
 HEX_DIGEST = r"^[0-9a-f]{32,}$"
 # Words that name a secret, and signs that assign one.
 NAMING = r"(?i)(token|secret|passw|api_?key|apikey|auth|credential|access_?key)"
@@ -45,8 +59,15 @@ TEST_PATH = r"(?i)(test|example|sample|fixture|doc)"
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """``doc_id, path, position, token, core, before1, before2, after``; position is the number of the word."""
+def candidates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", digitless_keys: bool = False
+) -> DataFrame:
+    """``doc_id, path, position, part, token, lead, core, before1, before2, after``.
+
+    ``position`` is the number of the word and ``part`` that of the candidate in it, ``lead`` what stands between the
+    candidate before and this one, ``token`` the same with this one and, behind the last, the rest of the word.
+    """
+    pattern, least = (CORE_OR_KEY, SHORTEST_KEY) if digitless_keys else (CORE, MIN_CHARS)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(path_col).cast("string").alias("path"),
@@ -55,7 +76,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words = F.col("words")
     places = rows.withColumn(
         "places",
-        F.array_compact(F.transform(words, lambda w, i: F.when((F.length(w) >= MIN_CHARS) & w.rlike(CORE), i))),
+        F.array_compact(F.transform(words, lambda w, i: F.when((F.length(w) >= least) & w.rlike(pattern), i))),
     )
     found = places.select(
         "doc_id",
@@ -72,7 +93,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ).alias("found"),
     )
     each = found.select("doc_id", "path", F.explode("found").alias("f")).select("doc_id", "path", "f.*")
-    return each.withColumn("core", F.regexp_extract("token", CORE, 0))
+    split = each.withColumns({"runs": F.regexp_extract_all("token", F.lit(pattern), F.lit(0)), "gaps": F.split("token", pattern, -1)})
+    zipped = F.arrays_zip("runs", "gaps", F.slice("gaps", F.lit(2), F.size("runs")).alias("rests"))
+    beside = ["doc_id", "path", "position", "before1", "before2", "after"]
+    parts = split.select(*beside, F.size("runs").alias("n"), F.posexplode(zipped).alias("part", "p")).where("part < n")
+    run, lead = F.col("p.runs"), F.col("p.gaps")
+    rest = F.when(F.col("part") == F.col("n") - 1, F.col("p.rests")).otherwise("")
+    value = F.regexp_replace(run, NAME, "")
+    core = F.when(value.rlike(pattern), value).otherwise(run)
+    return parts.select(*beside, "part", F.concat(lead, run, rest).alias("token"), lead.alias("lead"), core.alias("core"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", min_docs: int = DICTIONARY_DOCS) -> DataFrame:
@@ -113,7 +142,7 @@ def features() -> dict[str, Column]:
         "dots": _share(core, ".@"),
         "test_path": _flag(F.col("path").rlike(TEST_PATH)),
         "quoted": _flag(F.col("token").rlike("^[\"'`]")),
-        "assigned": _flag(F.col("before1").rlike(ASSIGNING) | F.col("token").rlike(r"^[A-Za-z_]+[=:]")),
+        "assigned": _flag(F.col("before1").rlike(ASSIGNING) | F.col("token").rlike(r"^[^A-Za-z0-9]*[A-Za-z_][A-Za-z0-9_-]*[\"']?[=:]")),
         "named": _flag(F.col("before1").rlike(NAMING) | F.col("before2").rlike(NAMING) | F.col("token").rlike(NAMING)),
         "word_before": _flag(F.col("before1").rlike(letters)),
         "word_after": _flag(F.col("after").rlike(letters)),
@@ -131,19 +160,28 @@ def format_label() -> Column:
         return out
 
     digest = core.rlike(HEX_DIGEST) & (F.col("assigned") > 0) & (F.col("named") > 0)
-    return F.when(any_of(KEY_FORMATS) | digest, 1.0).when(any_of(HARMLESS_FORMATS), 0.0)
+    # behind a colon an address may be a password and its host
+    address = core.rlike(EMAIL) & (~F.col("lead").rlike(":$") | F.col("lead").rlike("(?i)mailto:$"))
+    return F.when(any_of(KEY_FORMATS) | digest, 1.0).when(any_of(HARMLESS_FORMATS) | address, 0.0)
 
 
-def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """``doc_id, position, core, score, is_secret`` of every candidate.
+def scan(
+    docs: DataFrame,
+    labelled: DataFrame | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    path_col: str = "source",
+    digitless_keys: bool = False,
+) -> DataFrame:
+    """``doc_id, position, part, core, score, is_secret`` of every candidate.
 
     ``labelled``: ``core, label`` of reviewed findings; by format where it is not given.
     """
-    found = written(candidates(docs, id_col, text_col, path_col), "candidates")
+    found = written(candidates(docs, id_col, text_col, path_col, digitless_keys), "candidates")
     cover = covered(found.select("core").distinct(), dictionary(docs, text_col))
     names = list(features())
     # the shape features keep their names apart from the columns they are made of
-    measured = found.join(cover, "core", "left").select("doc_id", "position", "core", *(c.alias(n) for n, c in features().items()))
+    measured = found.join(cover, "core", "left").select("doc_id", "position", "part", "lead", "core", *(c.alias(n) for n, c in features().items()))
     if labelled is None:
         with_label = measured.withColumn("label", format_label())
     else:
@@ -161,10 +199,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
         model = forest.fit(vectors.transform(known.coalesce(1)))
         scored = model.transform(vectors.transform(with_label)).withColumn("score", F.round(vector_to_array("probability")[1], 6))
     is_secret = F.coalesce(F.col("label") == 1, F.col("score") >= 0.5, F.lit(True))
-    return scored.select("doc_id", "position", "core", "score", is_secret.alias("is_secret"))
+    return scored.select("doc_id", "position", "part", "core", "score", is_secret.alias("is_secret"))
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, digitless_keys: bool = False) -> DataFrame:
     """The secrets that remain, by digest, so that the result does not carry them."""
-    kept = scan(docs).where("is_secret")
+    kept = scan(docs, digitless_keys=digitless_keys).where("is_secret")
     return kept.select("doc_id", "position", F.length("core").alias("n_chars"), F.sha2("core", 256).alias("secret_sha256"), "score")
