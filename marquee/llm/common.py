@@ -5,11 +5,11 @@ from __future__ import annotations
 import atexit
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.session import shared_dir
@@ -84,6 +84,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# ``monotonically_increasing_id`` holds the slice above this bit and the place inside it below.
+_SLICE_BIT = 33
+
+
+def numbered(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """The rows with their place 1, 2, ... in ``order``, sorted by range, so that no task sees more than a slice.
+
+    Bounds of ranges are sampled; the placed rows are written, so that all that follows sees the same.
+    """
+    at, part, offset = (unused(rows, n) for n in ("at", "part", "offset"))
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    placed = written(placed, "placed").withColumn(part, F.shiftright(at, _SLICE_BIT))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row a slice
+    counts = placed.groupBy(part).agg(F.count("*").alias("n"))
+    offsets = counts.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(offset))
+    place = F.col(offset) + F.col(at) - F.shiftleft(part, _SLICE_BIT) + 1
+    return placed.join(F.broadcast(offsets), part).select(*rows.columns, place.alias(name))
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts behind one another, and the offsets of each."""
     if texts.null_count:

@@ -6,6 +6,8 @@ and forests; tests hold those against plain versions.
 
 from __future__ import annotations
 
+from marquee.llm import curriculum
+
 SPACES = r"[^\x20\x09-\x0D]+"
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -179,10 +181,139 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(gone) AS BIGINT) AS n_dropped,
 FROM f GROUP BY doc_id
 """
 
+OP11 = """
+WITH RECURSIVE step(b, k, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8
+), tab AS (SELECT list(v ORDER BY b) AS t FROM step WHERE k = 8),
+crc(conv_id, i, c) AS (
+  SELECT DISTINCT conv_id, 0, 4294967295 FROM conversations
+  UNION ALL
+  SELECT conv_id, i + 1, xor(c >> 8, t[(xor(c, ascii(substr(CAST(conv_id AS VARCHAR), i + 1, 1))) & 255) + 1])
+  FROM crc, tab WHERE i < length(CAST(conv_id AS VARCHAR))
+), fam AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS head, xor(c, 4294967295) % 4 AS h
+  FROM crc WHERE i = length(CAST(conv_id AS VARCHAR))
+), turns AS (
+  SELECT conv_id, coalesce(text, '') AS text, md5(coalesce(role, '') || '|' || coalesce(text, '')) AS id,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || '|' || coalesce(text, ''))) AS i
+  FROM conversations
+), rebuilt AS (
+  SELECT f.conv_id, t.i, 0 AS own, t.id, t.text FROM fam f JOIN turns t ON t.conv_id = f.head AND t.i <= f.h
+  UNION ALL
+  SELECT f.conv_id, t.i, 1, t.id, t.text FROM fam f JOIN turns t ON t.conv_id = f.conv_id AND t.i > f.h
+), paths AS (
+  SELECT conv_id, row_number() OVER w AS d, string_agg(id, '') OVER w AS path,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, i)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM fam
+), sizes AS (SELECT conv_id, max(d) AS last FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, min(d) AS depth, min(conv_id) AS conv_id, count(*) AS n, max(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = last), '')) AS ends
+  FROM paths JOIN sizes USING (conv_id) GROUP BY path
+), family AS (
+  SELECT n.path, n.depth, n.conv_id, n.n, n.words, n.ends, left(n.path, length(n.path) - 32) AS up,
+         (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND left(c.path, length(n.path)) = n.path) AS children
+  FROM nodes n
+), below AS (
+  SELECT a.path, sum(CASE WHEN b.children = 0 THEN 1 ELSE 0 END) AS leaves, sum((b.n - 1) * b.words) AS saved
+  FROM family a JOIN (SELECT *, unnest(range(0, depth + 1)) AS k FROM family) b ON a.path = left(b.path, CAST(32 * b.k AS INTEGER))
+  GROUP BY a.path
+)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n AS n_convs, f.children AS n_children,
+       CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+FROM family f JOIN below b USING (path) LEFT JOIN nodes p ON f.depth > 0 AND p.path = f.up
+"""
+
+
+def _time_of(demand: str, schedule: curriculum.Schedule) -> str:
+    """The inverse of a schedule's integral, stretch by stretch."""
+    *parts, end = curriculum.segments(schedule)
+    cases = []
+    for start, length, weight, slope, before in parts:
+        area = f"greatest({demand} * {end[4]}::DOUBLE - {before}::DOUBLE, 0.0::DOUBLE)"
+        root = f"sqrt(greatest({weight * weight}::DOUBLE + {area} * {2 * slope}::DOUBLE, 0.0::DOUBLE))"
+        x = f"coalesce({area} * 2.0::DOUBLE / nullif({weight}::DOUBLE + {root}, 0.0::DOUBLE), 0.0::DOUBLE)"
+        after = before + (weight + slope * length / 2) * length
+        cases.append(f"WHEN {demand} * {end[4]}::DOUBLE <= {after}::DOUBLE THEN {start}::DOUBLE + least({x}, {length}::DOUBLE)")
+    return f"CASE {' '.join(cases)} ELSE {end[0]}::DOUBLE END"
+
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{SPACES}')) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'no id ' || coalesce(text, ''))), 1, 15) AS BIGINT) AS key
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") AS place FROM d GROUP BY source
+), w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(place - 1) % 3 + 1] AS weight, 2 * source_size AS most FROM s),
+-- sources stop in the order of how soon the level reaches their most; the level is the one at which the next does not stop
+r AS (
+  SELECT *, 1.5 * sum(source_size) OVER () AS wanted, coalesce(sum(most) OVER up, 0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER up, 0) AS free,
+         row_number() OVER (ORDER BY most / weight, place) AS k
+  FROM w WINDOW up AS (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), lv AS (
+  SELECT min_by((wanted - held)::DOUBLE / free, k) AS level FROM r WHERE weight * ((wanted - held)::DOUBLE / free) < most
+), t AS (
+  SELECT w.*, CASE WHEN level IS NULL OR weight * level >= most THEN CAST(most AS DOUBLE) ELSE weight * level END AS target FROM w, lv
+), b AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.place, CAST(round(t.target) AS BIGINT) AS stop,
+         CAST(sum(d.size) OVER (PARTITION BY t.place ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), p AS (SELECT *, start / target AS demand FROM b)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(greatest(least(size, stop - start), 0) + greatest(least(size, stop - start - source_size), 0) AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND start < stop THEN CASE (place - 1) % 3
+         {" ".join(f"WHEN {i} THEN {_time_of('demand', schedule)}" for i, schedule in enumerate(curriculum.SCHEDULES))} END END AS position
+FROM p
+"""
+
+OP13 = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{SPACES}') AS ws FROM documents
+), f AS (
+  SELECT t.doc_id, part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+         [len(ws) < 100, 100 * len(list_distinct(ws)) < 80 * len(ws),
+          100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text), regexp_matches(text, '[#$%&*|]'),
+          coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM t LEFT JOIN (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+  ) l ON l.doc_id = t.doc_id
+), c AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 3, 4, 5]) AS i),
+o AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS ix
+  FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), st AS (
+  SELECT filter_order, step, ix[step] AS i, ix[1:step - 1] AS before FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), j AS (
+  SELECT part, filter_order, step, i, n, good, toxic, fails[i] AS failed, len(list_filter(fails, lambda z: z)) AS n_fails,
+         len(list_filter(before, lambda k: fails[k])) > 0 AS gone
+  FROM c, st
+), g AS (
+  SELECT part, filter_order, step, i,
+         coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND failed), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND failed), 0) AS redundant, coalesce(sum(n) FILTER (failed AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (NOT gone AND failed AND good), 0) AS good_lost, coalesce(sum(n) FILTER (NOT gone AND failed AND toxic), 0) AS toxic_lost
+  FROM j GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, substr('ABCDE', i, 1) AS filter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, i) AS BIGINT) AS shapley
+FROM g
+"""
+
 ORACLES: dict[str, str] = {
     "op3_warc_revisits": OP3,
     "op5_substring_dedup": OP5,
     "op6_decontamination": OP6,
     "op7_quality_rules": OP7,
     "op9_line_dedup": OP9,
+    "op11_prefix_trie": OP11,
+    "op12_curriculum_mix": OP12,
+    "op13_filter_audit": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, decontamination, lines, probminhash, quality, secret_scan, substring, tool_calls, urls, warc
+from marquee.llm import bpe, curriculum, decontamination, lines, prefix_trie, probminhash, quality, secret_scan, substring, survival, tool_calls, urls, warc
 from marquee.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,7 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-documents, pages, benchmark, conversations = (_table(t) for t in ("documents", "pages", "benchmark", "conversations"))
+documents, pages, benchmark, labels, conversations = (_table(t) for t in ("documents", "pages", "benchmark", "labels", "conversations"))
 
 
 def vocabulary() -> bpe.Tokenizer:
@@ -36,4 +36,7 @@ QUERIES: dict[str, Query] = {
     "op8_tool_calls": lambda s, d: tool_calls.every_turn(conversations(s, d)),
     "op9_line_dedup": lambda s, d: lines.digest(documents(s, d)),
     "op10_secret_scan": lambda s, d: secret_scan.digest(documents(s, d), digitless_keys=True),
+    "op11_prefix_trie": lambda s, d: prefix_trie.digest(conversations(s, d)),
+    "op12_curriculum_mix": lambda s, d: curriculum.digest(documents(s, d)),
+    "op13_filter_audit": lambda s, d: survival.digest(documents(s, d), labels(s, d)),
 }

@@ -1,0 +1,113 @@
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.llm import curriculum
+from tests.llm.conftest import EDGE_DOCS, rows_of
+
+SIZE = r"[^\x20\x09-\x0D]+"
+
+
+def want_targets(sizes, share=1.5, cap=2):
+    """``size, target`` of each source: the excess of full sources is given on until none is above."""
+    of = Counter()
+    for source, size in sizes:
+        of[source] += size
+    names = sorted((s for s in of if s is not None), key=lambda s: s.encode()) + [None] * (None in of)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    full: set = set()
+    while True:
+        free = sum(weight[s] for s in names if s not in full)
+        left = share * sum(of.values()) - sum(cap * of[s] for s in full)
+        more = {s for s in names if s not in full and weight[s] * left / free > cap * of[s]}
+        if not more:
+            return {s: (of[s], float(cap * of[s]) if s in full else weight[s] * left / free) for s in names}
+        full |= more
+
+
+def check(docs, got):
+    """``docs``: id, text, source. ``got``: rows of the digest."""
+    size = {i: len(re.findall(SIZE, text or "")) for i, text, _ in docs}
+    source = {i: s for i, _, s in docs}
+    targets = want_targets([(s, size[i]) for i, _, s in docs])
+    taken = Counter()
+    assert sorted(r.doc_id for r in got) == sorted(size)
+    for r in got:
+        assert r.size == size[r.doc_id] and 0 <= r.taken <= 2 * r.size
+        assert (r.source_size, r.target) == (targets[source[r.doc_id]][0], pytest.approx(targets[source[r.doc_id]][1]))
+        assert (r.position is None) == (r.taken == 0)
+        taken[source[r.doc_id]] += r.taken
+    assert all(abs(taken[s] - target) <= 0.5 for s, (_, target) in targets.items())
+
+
+def test_smoke_documents(smoke_docs):
+    got = curriculum.digest(smoke_docs).collect()
+    check([(r.doc_id, r.text, r.source) for r in smoke_docs.collect()], got)
+    places = [-1 if r.position is None else r.position for r in got]
+    assert places == sorted(places)  # the rows come in the order of training
+
+
+def test_edge_cases(edge_docs):
+    rows = {(i, text): None if i % 4 == 0 else "web" for i, text in EDGE_DOCS}
+    got = curriculum.digest(edge_docs.dropDuplicates(["doc_id", "text"])).collect()
+    check([(i, text, source) for (i, text), source in rows.items()], got)
+    assert len(curriculum.digest(edge_docs).collect()) == len(EDGE_DOCS)
+
+
+def test_no_documents_and_no_words(no_docs, spark):
+    assert curriculum.digest(no_docs).collect() == []
+    blank = spark.createDataFrame([(1, " ", "a"), (2, None, None)], "doc_id long, text string, source string")
+    assert rows_of(curriculum.digest(blank)) == [(1, 0, 0, 0.0, 0, None), (2, 0, 0, 0.0, 0, None)]
+
+
+def test_reruns_agree_however_rows_lie(spark, smoke_docs, set_conf, monkeypatch):
+    first = rows_of(curriculum.digest(smoke_docs))
+    monkeypatch.setattr(curriculum, "BUCKET_ROWS", 3)
+    set_conf("spark.sql.shuffle.partitions", "5")
+    assert rows_of(curriculum.digest(smoke_docs.repartition(7))) == first
+
+
+def test_rows_without_id_and_repeated_rows(spark):
+    rows = [(None, "one two three", "a")] * 5 + [(None, "four five", "a")] * 4 + [(7, "six", "b")] * 3
+    got = curriculum.digest(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(r.size for r in got) == [1] * 3 + [2] * 4 + [3] * 5
+    # 26 words are shared 5 to 2 up to twice 23 and 3, so what b leaves goes to a
+    assert sum(r.taken for r in got if r.doc_id is None) == 33 and sum(r.taken for r in got if r.doc_id == 7) == 6
+
+
+def test_one_source_holds_most_rows(spark, monkeypatch):
+    monkeypatch.setattr(curriculum, "BUCKET_ROWS", 50)
+    rows = [(i, "w " * (1 + i % 9), "hot" if i % 10 else f"s{i % 70}") for i in range(2000)]
+    check(rows, curriculum.digest(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+
+
+@pytest.mark.parametrize("schedule", [*curriculum.SCHEDULES, [(0.0, 0.0), (1.0, 1.0)], [(0.0, 1.0), (0.25, 0.0), (0.5, 0.0), (1.0, 4.0)], [(0.0, 3.0), (1.0, 0.0)]])
+def test_time_inverts_the_integral(spark, schedule):
+    def integral(t):
+        total = 0.0
+        for (a, wa), (b, wb) in zip(schedule, schedule[1:]):
+            x = min(max(t - a, 0.0), b - a)
+            total += wa * x + (wb - wa) / (b - a) * x * x / 2
+        return total
+
+    rows = spark.range(0, 101).select((F.col("id") / 100).alias("u")).select("u", curriculum.time_of(F.col("u"), schedule).alias("t")).collect()
+    assert [r.t for r in rows] == sorted(r.t for r in rows) and all(0 <= r.t <= 1 for r in rows)
+    assert all(integral(r.t) / integral(1.0) == pytest.approx(r.u, abs=1e-9) for r in rows)
+
+
+@pytest.mark.parametrize("schedule", [[(0.0, 1.0)], [(0.0, 0.0), (1.0, 0.0)], [(0.0, 1.0), (0.0, 1.0)], [(0.0, 1.0), (1.0, -1.0)]])
+def test_schedules_are_checked(schedule):
+    with pytest.raises(ValueError):
+        curriculum.segments(schedule)
+
+
+def test_training_order_holds_whole_rows(spark):
+    rows = [(i, f"text {i} has six words here", "early" if i % 2 else "late", "x") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, c0 string")
+    out = curriculum.training_order(docs, weights=(1, 1), schedules=([(0.0, 2.0), (1.0, 0.0)], [(0.0, 0.0), (1.0, 2.0)])).collect()
+    assert [r.position for r in out] == sorted(r.position for r in out)
+    assert sum(r.words for r in out) == 3600 and Counter(r.c0 for r in out) == {"x": 600}
+    half = [r.source for r in out[:300]]
+    assert half.count("early") == pytest.approx(225, abs=6)  # three quarters of a falling line lie in its first half

@@ -1,0 +1,100 @@
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.llm import prefix_trie, radix_tree
+from tests.llm import brute_trie
+from tests.llm.conftest import SMOKE_DIR, expected, rows_of
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+# Nulls in every column, ties, repeated rows, empty texts, copies, one conversation within another, a missing family head.
+EDGE = [
+    (0, 0, "user", "hello there"), (0, 1, "assistant", "hi"), (0, 2, "user", "more words here"), (0, 3, None, None),
+    (1, None, "system", "be kind"), (1, 0, "user", "hello there"), (1, 0, "user", "hello there"), (1, 0, "user", "a tie"),
+    (2, 5, "user", ""), (2, 7, "user", "hello there"),
+    (3, 0, "user", "hello there"), (3, 1, "assistant", "hi"),
+    (4, 0, "user", "hello there"), (4, 1, "assistant", "hi"), (4, 2, "user", "more words here"),
+    (20, 0, "user", "x"), (21, 0, "user", "x"), (45, 0, "user", "alone"), (46, 0, "user", "alone"), (47, 0, None, "alone"),
+    (61, 0, "user", "head is absent"), (63, 0, "user", "head is absent"), (64, 0, "user", "a"), (64, 1, "user", "b c d e"),
+    (None, 0, "user", "nobody"), (None, None, None, None), (80, 0, "user", "long " * 50_000), (81, 0, "user", "ü" * 9),
+]
+
+
+def want(rows):
+    return expected(brute_trie.trie(brute_trie.rebuild(rows)))
+
+
+def test_digest_of_edge_cases(spark):
+    rows = spark.createDataFrame(EDGE, SCHEMA).withColumns({c: F.lit("x") for c in ("key", "words", "node", "least", "turns", "salt")}).repartition(3)
+    assert rows_of(prefix_trie.digest(rows)) == want(EDGE)
+
+
+def test_no_conversations(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert prefix_trie.digest(empty).collect() == []
+    assert prefix_trie.digest(spark.createDataFrame([(None, 1, "user", "x")], SCHEMA)).collect() == []
+
+
+def test_digest_of_smoke_conversations(spark):
+    rows = spark.read.parquet(f"{SMOKE_DIR}/conversations.parquet")
+    assert rows_of(prefix_trie.digest(rows)) == want([tuple(r) for r in rows.select("conv_id", "turn", "role", "text").collect()])
+
+
+def test_conversations_cut_over_many_slices(spark, set_conf, monkeypatch):
+    """Slices of a few keys, many tasks and rounds, a third of the conversations equal and one first turn in most."""
+    rows = []
+    for c in range(900):
+        texts = ["same start", "and on", "to the end"] if c % 3 == 0 else ["same start", f"branch {c % 7}", f"own {c}", f"last {c % 2}"] if c % 3 == 1 else [f"other {c % 50}"]
+        rows += [(c, i, "user", text) for i, text in enumerate(texts)]
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    set_conf("spark.sql.shuffle.partitions", "24")
+    monkeypatch.setattr(prefix_trie, "FAN", 2)
+    monkeypatch.setattr(prefix_trie, "SLICE_BYTES", 200)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(prefix_trie.digest(frame)) == want(rows)
+    assert rows_of(prefix_trie.trie(prefix_trie.plain(frame))) == expected(brute_trie.trie(brute_trie.order(rows)))
+
+
+def test_ids_of_copies_are_hashed_in_chunks(spark, set_conf):
+    set_conf("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    rows = [(c, 0, "user", "the same") for c in range(500)] + [(c, 0, "user", f"own {c}") for c in range(500, 520)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(prefix_trie.trie(prefix_trie.plain(frame))) == expected(brute_trie.trie(brute_trie.order(rows)))
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 16, 17, 48, 49, 256])
+def test_layouts_grow(n):
+    keys = [bytes([b]) + bytes(15) for b in range(n)]
+    root = radix_tree.build(keys)
+    assert root.layout == next(size for size in (4, 16, 48, 256) if n <= size)
+    assert [root.child(b) is not None for b in range(256)] == [b < n for b in range(256)]
+    assert sorted(kid.row for kid in root.children()) == list(range(n))
+
+
+def test_paths_are_compressed():
+    one, two = b"a" * 16, b"b" * 16
+    root = radix_tree.build([one * 3, one * 3 + two, one * 2 + two])
+    (only,) = root.children()
+    assert only.prefix == (one * 2)[1:] and len(only.children()) == 2  # the two turns shared by all are one edge
+    assert [only.child(byte).row for byte in b"ab"] == [0, 2]
+    assert only.child(ord("a")).child(ord("b")).row == 1
+
+
+@pytest.mark.parametrize("cut", range(1, 7))
+def test_slices_join_to_the_whole(cut):
+    turn = [bytes([i // 4, i % 3]) * 8 for i in range(12)]
+    keys = sorted({b"", turn[0], turn[0] + turn[1], turn[0] + turn[1] + turn[2], turn[0] + turn[2], turn[5] + turn[6] + turn[7], turn[5] + turn[6] + turn[8]})
+    ends = [f"end {i}" for i in range(len(keys))]
+    words = [list(range(1, len(k) // 16 + 1)) for k in keys]
+
+    def nodes(low, high):
+        return radix_tree.slice_nodes(keys[low:high], list(range(low, high)), [2] * (high - low), ends[low:high], words[low:high])
+
+    def facts(closed):
+        return sorted((c.least, c.depth, c.n, c.children, c.leaves, c.saved, c.ends) for c in closed)
+
+    closed, opened = nodes(0, len(keys))
+    whole = facts(closed + radix_tree.settle([opened], whole=True)[0])
+    (c1, o1), (c2, o2) = nodes(0, cut), nodes(cut, len(keys))
+    inside, rest = radix_tree.settle([o1, o2])
+    assert facts(c1 + c2 + inside + radix_tree.settle([rest], whole=True)[0]) == whole
+    assert (0, 0, 2 * len(keys), 3, 4) == whole[0][:2] + whole[0][2:5] or len(whole) == 9
