@@ -180,3 +180,14 @@ def unparsed(
         if df is not None
     ]
     return reduce(DataFrame.unionByName, found)
+
+
+def record_counts(feeds: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """``feed, good_records, rejected_records`` of landed feeds, each with what tells its good records."""
+    counts = [
+        landed.agg(F.count_if(good).alias("good_records"), F.count_if(~good).alias("rejected_records")).select(
+            F.lit(feed).alias("feed"), "good_records", "rejected_records"
+        )
+        for feed, (landed, good) in feeds.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)

@@ -89,6 +89,21 @@ class Warehouse:
         )
         return folder
 
+    @cached_property
+    def damaged(self) -> str:
+        """The same files with records that do not parse among them."""
+        folder = f"{self.folder}/damaged"
+        nation = shop.table(self.spark, self.sf_dir, "nation")
+        landing.write_damaged(
+            shop.half_report(self.viewing, nation),
+            shop.global_chart(self.viewing),
+            shop.country_chart(self.viewing),
+            self.trailer_map,
+            shop.video_snapshots(self.spark, self.sf_dir),
+            folder,
+        )
+        return folder
+
     @cached_property
     def landed_log(self) -> DataFrame:
         """The snapshot log fed by the stream from landed responses."""

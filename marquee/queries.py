@@ -20,8 +20,9 @@ from marquee.operators import checks
 from marquee.plans import claims, kpis, scalars, trailers
 from marquee.plans.report import as_report
 from marquee.plans.warehouse import Warehouse, warehouse
-from marquee.sources import charts, landing, reports, shop, videos
+from marquee.sources import charts, records, reports, shop, videos
 from marquee.sources.tables import Star
+from marquee.streaming.snapshots import LANDED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +131,7 @@ WAREHOUSE_QUESTIONS: dict[str, Callable[[Warehouse, Parameters], DataFrame]] = {
     "r01_half_exports": lambda w, p: landed_half(w),
     "r02_chart_files": lambda w, p: landed_charts(w),
     "r03_trailer_map": lambda w, p: videos.read_trailer_map(w.spark, f"{w.landed}/map"),
+    "d07_rejected_records": lambda w, p: landed_records(w),
     "r04_landed_statistics": lambda w, p: _columns(w.landed_log, schemas.FACT_TRAILER),
 }
 
@@ -152,9 +154,7 @@ def _columns(df: DataFrame, schema: str) -> DataFrame:
 
 
 def landed_half(source: Warehouse) -> DataFrame:
-    periods = sorted(r.period_label for r in source.star.half.select("period_label").distinct().collect())
-    listed = landing.exports(source.spark, f"{source.landed}/exports", periods)
-    return reports.read_half_reports(source.spark, listed)
+    return reports.conform_half(reports.read_report_folder(source.spark, f"{source.landed}/exports"))
 
 
 def landed_charts(source: Warehouse) -> DataFrame:
@@ -164,6 +164,20 @@ def landed_charts(source: Warehouse) -> DataFrame:
     )
 
 
+def landed_records(source: Warehouse) -> DataFrame:
+    """Good and rejected records of every landed feed, from files with broken records among them."""
+    spark, folder = source.spark, source.damaged
+    exports = records.headed_records(spark, f"{folder}/exports", reports.PREAMBLE_LINES)
+    landed = {
+        "worldwide": records.landed_tsv(spark, f"{folder}/global", schemas.GLOBAL_CHART),
+        "country": records.landed_tsv(spark, f"{folder}/countries", schemas.COUNTRY_CHART),
+        "trailer map": records.landed_csv(spark, f"{folder}/map", schemas.TRAILER_MAP),
+        "statistics": videos.landed_responses(spark, f"{folder}/responses", LANDED, lines=True),
+    }
+    good = {feed: (rows, records.is_record(rows)) for feed, rows in landed.items()}
+    return checks.record_counts({"half-year": (exports, F.col("good")), **good})
+
+
 def beside_hours(log: DataFrame, star: Star, parameters: Parameters) -> DataFrame:
     return trailers.trailer_vs_engagement(
         log,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions import text
+from marquee.sources import records
 
 # Fixed values ---------------------------------------------------------------
 CHART_COLUMNS = {
@@ -21,25 +22,12 @@ CHART_COLUMNS = {
 # ----------------------------------------------------------------------------
 
 
-def _read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    # No nullValue: a country code such as NA must stay a code.
-    return (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
-
-
 def read_global_chart(spark: SparkSession, path: str) -> DataFrame:
-    return _read_tsv(spark, path, schemas.GLOBAL_CHART)
+    return records.good_records(records.landed_tsv(spark, path, schemas.GLOBAL_CHART), schemas.GLOBAL_CHART)
 
 
 def read_country_chart(spark: SparkSession, path: str) -> DataFrame:
-    return _read_tsv(spark, path, schemas.COUNTRY_CHART)
+    return records.good_records(records.landed_tsv(spark, path, schemas.COUNTRY_CHART), schemas.COUNTRY_CHART)
 
 
 def _conform(chart: DataFrame) -> DataFrame:

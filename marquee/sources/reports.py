@@ -3,22 +3,20 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions import numbers, text
+from marquee.sources import records
 
 # Fixed values ---------------------------------------------------------------
 PREAMBLE_LINES = 5
 UNNAMED_PREFIX = "Unnamed"
-# The first n lines; a record: runs outside quotes and quoted texts, to the line end.
-SKIP = r"^(?:[^\n]*+\n?){{{}}}"
-RECORD = r"(?:[^\"\n]++|\"(?:[^\"]++|\"\")*+\")++"
 REPORT_COLUMNS = {
     "Title": "title_name",
     "Available Globally?": "is_available_globally",
@@ -30,6 +28,9 @@ REPORT_COLUMNS = {
 # ----------------------------------------------------------------------------
 
 
+TAGS = ["content_type", "period_label", "period_start", "period_end"]
+
+
 @dataclass(frozen=True)
 class HalfReport:
     """One export: where it lies and what its rows are about."""
@@ -46,31 +47,31 @@ def drop_prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def read_report_csv(spark: SparkSession, path: str, preamble: int = PREAMBLE_LINES) -> DataFrame:
-    """CSV export with a fixed number of lines above its header.
-
-    The lines are skipped by their place, so a data row may read like one of
-    them. Records are split outside quotes, so a title may hold line breaks.
-    An export is read as one value, as its top cannot be found otherwise; it
-    holds one half-year's titles, and larger feeds come as Parquet. Only the
-    header reaches the driver. Columns named ``Unnamed: n`` or not at all are
-    dropped.
+    """CSV export, one file or a folder of parts, with a fixed number of lines above its header.
+
+    Columns as the header names them, all text; those named ``Unnamed: n`` or not at all are
+    dropped. The lines above are skipped by their place, so a data row may read like one of
+    them, and a title may hold line breaks. Only the header reaches the driver.
+    Records that do not fit the header are left out: see :func:`rejected_records`.
     """
-    top = spark.read.text(path).head(preamble + 1)
-    header = next(csv.reader([top[-1].value] if len(top) > preamble else [""]), [])
-    names = [name if name else f"{UNNAMED_PREFIX}: {i}" for i, name in enumerate(header)]
-    if not names:
+    top = spark.read.options(lineSep="\n", recursiveFileLookup=True).text(path).head(preamble + 1)
+    header = next(csv.reader([top[-1].value.rstrip("\r")] if len(top) > preamble else [""]), [])
+    if not header:
         raise ValueError(f"{path}: no header below {preamble} lines")
-    schema = ", ".join(f"`{name}` string" for name in names)
-    body = F.regexp_replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), SKIP.format(preamble + 1), "")
-    records = F.explode(F.regexp_extract_all(body, F.lit(RECORD), F.lit(0)))
-    options = {"multiLine": "true", "escape": '"'}
-    rows = (
-        spark.read.text(path, wholetext=True)
-        .select(records.alias("record"))
-        .select(F.from_csv("record", F.lit(schema), options).alias("row"))
-        .select("row.*")
-    )
-    return drop_prefixed(rows, UNNAMED_PREFIX)
+    named = [name if name else f"{UNNAMED_PREFIX}: {i}" for i, name in enumerate(header)]
+    rows = records.headed_records(spark, path, preamble).filter("good")
+    columns = [
+        F.get("fields", F.lit(i)).alias(name) if name.startswith(UNNAMED_PREFIX) else records.field(name).alias(name)
+        for i, name in enumerate(named)
+    ]
+    return drop_prefixed(rows.select(*columns), UNNAMED_PREFIX)
+
+
+def rejected_records(
+    spark: SparkSession, paths: str | Sequence[str], preamble: int = PREAMBLE_LINES
+) -> DataFrame:
+    """``file, place, record`` of what has fewer or more fields than its header, or a quote left open."""
+    return records.headed_records(spark, paths, preamble).filter("not good").select("file", "place", "record")
 
 
 def tag_report(df: DataFrame, report: HalfReport) -> DataFrame:
@@ -84,20 +85,58 @@ def tag_report(df: DataFrame, report: HalfReport) -> DataFrame:
     )
 
 
-def read_raw_reports(spark: SparkSession, reports: Iterable[HalfReport]) -> DataFrame:
-    """All exports as landed; ``.parquet`` paths are read as Parquet."""
-    frames = [
-        tag_report(
-            spark.read.parquet(report.path)
-            if report.path.endswith(".parquet")
-            else read_report_csv(spark, report.path),
-            report,
-        )
-        for report in reports
-    ]
+def read_raw_reports(
+    spark: SparkSession, reports: Iterable[HalfReport], preamble: int = PREAMBLE_LINES
+) -> DataFrame:
+    """All exports as landed, the CSV ones in one scan; ``.parquet`` paths are read as Parquet."""
+    reports = list(reports)
+    landed = [report for report in reports if not report.path.endswith(".parquet")]
+    frames = [tag_report(spark.read.parquet(r.path), r) for r in reports if r not in landed]
+    if landed:
+        frames.append(_read_landed(spark, landed, preamble))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _report_columns() -> list[Column]:
+    return [records.field(name).alias(name) for name in REPORT_COLUMNS]
+
+
+def _read_landed(spark: SparkSession, reports: list[HalfReport], preamble: int) -> DataFrame:
+    """A file belongs to the report that names it or the nearest folder around it."""
+    rows = records.headed_records(spark, [report.path for report in reports], preamble).filter("good")
+    tags = [(records.path_of(spark, r.path), r.content_type, r.period_label, r.period_start, r.period_end) for r in reports]
+    named = spark.createDataFrame(tags, "path string, content_type string, period_label string, period_start string, period_end string")
+    parts = F.split("file", "/")
+    around = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    # One row per file, and few reports.
+    files = rows.select("file").distinct().select("file", F.explode(around).alias("path")).join(named, "path")
+    owner = files.groupBy("file").agg(F.max_by(F.struct(*TAGS), F.length("path")).alias("report"))
+    return rows.join(owner, "file").select(
+        *_report_columns(),
+        "report.content_type",
+        "report.period_label",
+        F.col("report.period_start").cast("date").alias("period_start"),
+        F.col("report.period_end").cast("date").alias("period_end"),
+    )
+
+
+def read_report_folder(spark: SparkSession, folder: str, preamble: int = PREAMBLE_LINES) -> DataFrame:
+    """All exports under a folder laid out as ``period_label=../content_type=..``, in one scan.
+
+    The folders say what the rows are about; a half begins in January or July.
+    """
+    rows = records.headed_records(spark, folder, preamble).filter("good")
+
+    def tag(name: str) -> Column:
+        return F.url_decode(F.regexp_extract("file", f"/{name}=([^/]*)/", 1))
+
+    label = tag("period_label")
+    start = F.make_date(F.substring(label, 1, 4).try_cast("int"), F.when(label.endswith("H1"), 1).otherwise(7), F.lit(1))
+    return rows.select(
+        *_report_columns(), tag("content_type").alias("content_type"), label.alias("period_label"), start.alias("period_start")
+    ).withColumn("period_end", F.date_sub(F.add_months("period_start", 6), 1))
+
+
 def read_half_reports(spark: SparkSession, reports: Iterable[HalfReport]) -> DataFrame:
     """All exports as one feed."""
     return conform_half(read_raw_reports(spark, reports))

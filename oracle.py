@@ -505,6 +505,14 @@ FROM feed
 SELECT title_id, title_name, content_type, video_id, 'channel' AS channel,
        'number ' || video_id || ', "derived"' AS note
 FROM trailer_map
+""",
+        "d07_rejected_records": MODEL + """
+SELECT 'half-year' AS feed, COUNT(*) FILTER (views % 5 <> 0) AS good_records, COUNT(*) FILTER (views % 5 = 0) AS rejected_records FROM works
+UNION ALL SELECT 'worldwide', COUNT(*) FILTER (weekly_rank NOT IN (7, 9)), COUNT(*) FILTER (weekly_rank IN (7, 9)) FROM feed WHERE region_name = 'Global'
+UNION ALL SELECT 'country', COUNT(*) FILTER (weekly_rank <> 7), COUNT(*) FILTER (weekly_rank = 7) FROM feed WHERE region_name <> 'Global'
+UNION ALL SELECT 'trailer map', COUNT(*) FILTER (title_id % 4 <> 0), COUNT(*) FILTER (title_id % 4 = 0) FROM trailer_map
+UNION ALL SELECT 'statistics', COUNT(*) FILTER (day(fetched) % 5 <> 0), COUNT(*) FILTER (day(fetched) % 5 = 0)
+FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) + 1 AS fetched FROM events)
 """,
         "r04_landed_statistics": MODEL + f"SELECT {TRAILER_COLUMNS} FROM trailers",
         "d06_unparsed_values": f"""

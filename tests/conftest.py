@@ -28,3 +28,17 @@ def smoke(spark):
     from marquee.plans.warehouse import warehouse
 
     return warehouse(spark, SMOKE_DIR)
+
+
+@pytest.fixture
+def set_conf(spark):
+    """Sets a setting for the length of a test."""
+    old = {}
+
+    def put(key, value):
+        old.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
