@@ -118,6 +118,13 @@ def _fence(name: str, times: int, least: int, side: str) -> str:
     return f"max(CASE WHEN measure = '{name}' THEN median {side} {reach} END)"
 
 
+def _blend(name: str) -> str:
+    def mix(own: str, wider: str) -> str:
+        return f"((least({own}.docs, 100) * {own}.{name} + (100 - least({own}.docs, 100)) * {wider}) // 100)"
+
+    return f"CAST({mix('g', mix('l', f'o.{name}'))} AS BIGINT)"
+
+
 OP7 = f"""
 WITH wd AS ({words("documents", "doc_id", SPACES)}),
 win AS (SELECT doc_id, i, w, {run_of(3, "doc_id")} AS g FROM wd),
@@ -152,9 +159,7 @@ bins AS (
 {_quartiles("by_lang", "lang")},
 {_quartiles("overall", "")},
 picked AS (
-  SELECT g.lang, g.source, measure,
-         CASE WHEN g.docs >= 100 THEN g.lower WHEN l.docs >= 100 THEN l.lower ELSE o.lower END AS lower,
-         CASE WHEN g.docs >= 100 THEN g.median WHEN l.docs >= 100 THEN l.median ELSE o.median END AS median
+  SELECT g.lang, g.source, measure, {_blend("lower")} AS lower, {_blend("median")} AS median
   FROM by_group g JOIN by_lang l USING (lang, measure) JOIN overall o USING (measure)
 ),
 limits AS (

@@ -3,8 +3,8 @@
 Measures of a text are whole numbers (per thousand words or characters). Each measure has
 one sketch per language and source: a histogram whose bins keep the five leading bits of a
 value, so a quantile is exact below 32 and known to within 1/16 beyond. Sketches are merged by adding
-bins: partial sums before the shuffle, groups to their language, and languages to the whole. Groups of fewer than
-``min_docs`` texts use the sketch of their language, and small languages that of all.
+bins: partial sums before the shuffle, groups to their language, and languages to the whole. The quantiles of a group of fewer than
+``min_docs`` texts are blended with those of its language, its share being its texts of ``min_docs``; those of a small language, likewise, with those of all.
 
 A text is rejected if a measure lies beyond
 
@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import unused, written
 
+# Copies of the thresholds that rows of one group are dealt to, where the thresholds are too many to broadcast.
+SALTS = 32
+
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 MIN_DOCS = 100
@@ -55,8 +58,15 @@ FENCES = {
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def with_base(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows with the base measures and ``base_failed``; helper columns are dropped."""
+def with_base(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The rows, or their columns ``keep``, with the base measures and ``base_failed``.
+
+    They are written: a filter behind them would be pushed below the measures, which would then be taken word by word again.
+    """
+    return written(_measured(docs, text_col).select(*(docs.columns if keep is None else keep), *BASE, "base_failed"), "measured")
+
+
+def _measured(docs: DataFrame, text_col: str) -> DataFrame:
     names = {n: unused(docs, n) for n in ("qr_text", "qr_words", "qr_windows", "qr_sorted", "qr_repeated")}
     text, words, grams, ordered, repeated = names.values()
     t = F.col(text)
@@ -152,10 +162,14 @@ def thresholds(bins: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     overall = quartiles(merge(bins)).toDF("measure", "all_docs", "all_lower", "all_median")
     joined = by_group.join(by_lang, ["lang", "measure"]).join(overall, "measure")
 
-    def chosen(name: str) -> Column:
-        return F.when(F.col("docs") >= min_docs, F.col(name)).when(F.col("lang_docs") >= min_docs, F.col(f"lang_{name}")).otherwise(F.col(f"all_{name}"))
+    def blended(name: str) -> Column:
+        def mix(own: str, docs: str, wider: Column) -> Column:
+            share = F.least(docs, F.lit(min_docs))
+            return F.call_function("div", share * F.col(own) + (min_docs - share) * wider, F.lit(min_docs))
+
+        return mix(name, "docs", mix(f"lang_{name}", "lang_docs", F.col(f"all_{name}")))
 
-    picked = joined.select("lang", "source", "measure", chosen("lower").alias("lower"), chosen("median").alias("median"))
+    picked = joined.select("lang", "source", "measure", blended("lower").alias("lower"), blended("median").alias("median"))
     columns = []
     for name, fence in FENCES.items():
         reach = fence.times * F.greatest(F.col("median") - F.col("lower"), F.lit(fence.least))
@@ -167,10 +181,20 @@ def thresholds(bins: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def judge(base: DataFrame, limits: DataFrame) -> DataFrame:
-    """The rows with ``kept``; a group without thresholds holds only texts that failed the base rules."""
-    names = {c: unused(base, f"qr_{c}") for c in limits.columns}
-    limits = limits.toDF(*names.values())
-    same = (F.coalesce(base["lang"], F.lit("")) == limits[names["lang"]]) & (F.coalesce(base["source"], F.lit("")) == limits[names["source"]])
+    """The rows with ``kept``; a group without thresholds holds only texts that failed the base rules.
+
+    The thresholds are written, so their size is known when the join is planned: small ones are broadcast, others are
+    joined by group and salt, so that a large group spreads over tasks.
+    """
+    names = {c: unused(base, f"qr_{c}") for c in [*limits.columns, "salt"]}
+    salted = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    limits = written(salted, "limits").toDF(*names.values())
+    salt = F.pmod(F.xxhash64("n_words", "word_chars", "n_repeat_words"), F.lit(SALTS)).cast("int")
+    same = (
+        (F.coalesce(base["lang"], F.lit("")) == limits[names["lang"]])
+        & (F.coalesce(base["source"], F.lit("")) == limits[names["source"]])
+        & (salt == limits[names["salt"]])
+    )
     kept = ~F.col("base_failed")
     for name, value in measures().items():
         kept = kept & (value <= F.col(names[f"{name}_most"]))
@@ -180,16 +204,14 @@ def judge(base: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    base = with_base(docs.select("doc_id", "text", "lang", "source")).drop("text")
-    base = written(base.select("doc_id", "lang", "source", *BASE, "base_failed"), "measures")
+    base = with_base(docs.select("doc_id", "text", "lang", "source"), keep=["doc_id", "lang", "source"])
     return judge(base, thresholds(sketches(base))).select("doc_id", *BASE, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents, all their columns, that the rules keep. Measures are taken once, beside the rows."""
     own = [f"c{i}" for i in range(len(docs.columns))]  # the rules' column names may be in use
-    renamed = docs.toDF(*own)
     at = {c: own[i] for i, c in enumerate(docs.columns)}
-    named = renamed.withColumns({"lang": F.col(at["lang"]), "source": F.col(at["source"])})
-    base = written(with_base(named, at["text"]).select(*own, "lang", "source", *BASE, "base_failed"), "measured")
+    named = docs.toDF(*own).withColumns({"lang": F.col(at["lang"]), "source": F.col(at["source"])})
+    base = with_base(named, at["text"])
     return judge(base, thresholds(sketches(base))).where("kept").select(*[F.col(o).alias(c) for o, c in zip(own, docs.columns)])

@@ -49,7 +49,8 @@ SHORTEST_KEY = 15
 CORE_OR_KEY = rf"(?<!{_RUN})(?:{_DIGIT}{_RUN}{{{MIN_CHARS},}}|(?={_RUN}*?(?:{'|'.join(KEY_FORMATS)})){_RUN}{{{SHORTEST_KEY},}})"
 NAME = r"^[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])"
 EMAIL = r"^[A-Za-z0-9._+-]+@[A-Za-z0-9-]+[.][A-Za-z0-9.-]+$"
-HARMLESS_FORMATS = [r"^[0-9._+/=-]+$", r"^[a-z]+([.][a-z0-9]+)+$", r"^/?([a-z]+/)+[a-z]*$"]
+# Repeated groups are possessive: others recurse in Java, once a part, and a long word would exhaust the stack.
+HARMLESS_FORMATS = [r"^[0-9._+/=-]+$", r"^[a-z]++(?:[.][a-z0-9]++)++$", r"^/?(?:[a-z]++/)++[a-z]*+$"]
 HEX_DIGEST = r"^[0-9a-f]{32,}$"
 # Words that name a secret, and signs that assign one.
 NAMING = r"(?i)(token|secret|passw|api_?key|apikey|auth|credential|access_?key)"

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterable, Iterator
 from typing import Any
 
@@ -27,20 +28,98 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
-from marquee.operators.spread import dense_ids
+from marquee.llm.common import numbered, written
 
 Schema = dict[str, Any]
 KEYS = ["conv_id", "call_id"]
+# Nesting and digits of arguments that have a canonical form.
+MAX_DEPTH = 200
+MAX_DIGITS = 1000
+_BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*+"?|[\[\]{}]', re.DOTALL)
+_SURROGATE = re.compile("[\ud800-\udfff]")
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
 
 
-def canonical(value: Any) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+class Refused(ValueError):
+    """JSON that has no canonical form here; the message says why."""
+
+
+def parse(text: str) -> Any:
+    """The value of a JSON text that has a canonical form, or :class:`Refused`.
+
+    Refused are keys that repeat, halves of surrogate pairs, numbers beyond a double, whole numbers of more than
+    ``MAX_DIGITS`` digits, ``NaN`` and the like, and nesting deeper than ``MAX_DEPTH``.
+    """
+    depth = deepest = 0
+    for sign in _BRACKETS.findall(text):
+        depth += (sign in "[{") - (sign in "]}")
+        deepest = max(deepest, depth)
+    if deepest > MAX_DEPTH:
+        raise Refused("nested too deep")
+    try:
+        value = json.loads(text, parse_constant=_bare, parse_int=_whole, parse_float=_double, object_pairs_hook=_object)
+    except Refused:
+        raise
+    except ValueError:
+        raise Refused("not JSON") from None
+    if "\\u" in text and _SURROGATE.search(canonical(value)):
+        raise Refused("half a character")
+    return value
 
 
 def _bare(token: str) -> None:
-    raise ValueError(token)
+    raise Refused("not JSON")
+
+
+def _whole(digits: str) -> int:
+    if len(digits) > MAX_DIGITS:
+        raise Refused("number out of range")
+    return int(digits)
+
+
+def _double(digits: str) -> float:
+    value = float(digits)
+    if math.isinf(value):
+        raise Refused("number out of range")
+    return value
+
+
+def _object(pairs: list[tuple[str, Any]]) -> dict[str, Any]:
+    out = dict(pairs)
+    if len(out) < len(pairs):
+        raise Refused("repeated key")
+    return out
+
+
+def _number(value: float) -> str:
+    """A double in its shortest form, as ECMAScript writes it; whole ones without a fraction."""
+    if value == 0:
+        return "0"
+    mantissa, _, exponent = f"{value!r}e0".partition("e")
+    whole, _, fraction = mantissa.removeprefix("-").partition(".")
+    fraction = "" if fraction == "0" else fraction
+    point = len(whole) + int(exponent.removesuffix("e0"))  # digits before the point
+    digits = whole + fraction
+    bare = digits.lstrip("0")
+    point -= len(digits) - len(bare)
+    digits = bare.rstrip("0")
+    if 0 < point <= 21:
+        shown = digits.ljust(point, "0") if len(digits) <= point else f"{digits[:point]}.{digits[point:]}"
+    elif -6 < point <= 0:
+        shown = f"0.{'0' * -point}{digits}"
+    else:
+        shown = f"{digits[0]}{'.' * (len(digits) > 1)}{digits[1:]}e{point - 1:+d}"
+    return "-" * (value < 0) + shown
+
+
+def canonical(value: Any) -> str:
+    """JSON without white space, keys in the order of their UTF-16 units, no escapes beyond those JSON asks for, equal numbers written alike."""
+    if isinstance(value, dict):
+        keys = sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))
+        return "{" + ",".join(f"{canonical(k)}:{canonical(value[k])}" for k in keys) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(canonical, value)) + "]"
+    return _number(value) if isinstance(value, float) else json.dumps(value, ensure_ascii=False)
 
 
 def violations(value: Any, schema: Schema, at: str = "$") -> list[str]:
@@ -96,10 +175,10 @@ def depths(nodes: DataFrame) -> DataFrame:
 
 def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
     """The rows with ``rank``, the place in ``order`` among the ``n`` rows of their id; equal rows are numbered too, wherever they lie."""
-    numbered = dense_ids(rows.withColumn("tie", F.rand(0)), [*KEYS, *order, "tie"], "number")
-    of_id = numbered.groupBy(*KEYS).agg(F.min("number").alias("least"), F.count("*").alias("n"))
+    placed = numbered(rows.withColumn("tie", F.rand(0)), [F.col(c) for c in [*KEYS, *order, "tie"]], "number")
+    of_id = placed.groupBy(*KEYS).agg(F.min("number").alias("least"), F.count("*").alias("n"))
     rank = (F.col("number") - F.col("least") + 1).alias("rank")
-    return written(numbered.join(of_id, KEYS).select(*rows.columns, rank, "n"), "ranked")
+    return written(placed.join(of_id, KEYS).select(*rows.columns, rank, "n"), "ranked")
 
 
 def link_all(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
@@ -118,9 +197,9 @@ def link_all(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -
     joined = written(joined.withColumn("turn", F.when(F.col("n_calls").isNull(), F.col("result_turn")).otherwise(F.col("turn"))).drop("result_turn"), "linked")
     behind = F.coalesce("depth", F.lit(2**62)).alias("depth")  # calls of a cycle come last
     placed = joined.where("n_calls is not null").select("conv_id", behind, "turn", "call_id")
-    numbered = dense_ids(placed, ["conv_id", "depth", "turn", "call_id"], "number")
-    first = numbered.groupBy("conv_id").agg(F.min("number").alias("first"))
-    position = numbered.join(first, "conv_id").select(*KEYS, (F.col("number") - F.col("first")).alias("position"))
+    placed = numbered(placed, [F.col(c) for c in ("conv_id", "depth", "turn", "call_id")], "number")
+    first = placed.groupBy("conv_id").agg(F.min("number").alias("first"))
+    position = placed.join(first, "conv_id").select(*KEYS, (F.col("number") - F.col("first")).alias("position"))
     linked = joined.join(position, KEYS, "left").withColumns({"seen": F.lit("own"), "rank": F.lit(1).cast("long")})
     # calls and results that are not the first of their id, and those without one
     extra = called.where("rank > 1").withColumn("seen", F.lit("duplicate_call"))
@@ -172,9 +251,9 @@ def _row(row: dict[str, Any], schemas: dict[str, Schema]) -> dict[str, Any]:
     is_call = row["n_calls"] is not None
     if is_call or row["seen"] in ("no_id", "duplicate_call"):
         try:
-            arguments = json.loads(row["arguments"] or "", parse_constant=_bare)
-        except ValueError:
-            errors = ["$: not JSON"]
+            arguments = parse(row["arguments"] or "")
+        except Refused as refused:
+            errors = [f"$: {refused}"]
         else:
             schema = schemas.get(row["name"])
             errors = ["$: no such tool"] if schema is None else violations(arguments, schema)

@@ -14,7 +14,8 @@ model is a table joined by window, so it may grow with the corpus.
 
 Rows: a null url, and an empty one, has empty host and path, no rule, no characters and
 no score, and is allowed; repeated rows are judged each; null ids stay null. Without labelled urls of both
-kinds all scores are 0 and the threshold is 0, so all are allowed.
+kinds to count all scores are 0 and the threshold is 0, so all are allowed; without both kinds among the urls kept for calibration
+the threshold is 0, where both models find a url equally likely.
 """
 
 from __future__ import annotations
@@ -156,8 +157,11 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id",
     keyed = written(urls.where("url is not null").select(_url_key().alias("url_key"), "url", "accepted"), "urls")
     held_out = F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0
     labelled = keyed.where("accepted is not null")
-    counts = written(train(labelled.where(~held_out), order), "grams")
-    scored = written(scores(keyed, counts, order), "scores")
+    counted = labelled.where(~held_out)
+    if counted.select("accepted").distinct().count() == 2:
+        scored = written(scores(keyed, written(train(counted, order), "grams"), order), "scores")
+    else:  # one model alone says nothing about the other kind
+        scored = keyed.where("url != ''").select("url_key", F.lit(0.0).alias("score"))
     threshold = calibrate(labelled.where(held_out).join(scored, "url_key"))
     verdict = F.coalesce("allowed", F.col("score") >= threshold, F.lit(True))
     judged = rows.withColumn("url_key", _url_key()).join(scored, "url_key", "left")

@@ -13,6 +13,14 @@ def floor_bin(v):
     return v >> drop << drop
 
 
+def blend(value, *narrower):
+    """The quantile of all, then of the language and of the group, each as far as its texts go."""
+    for own, docs in narrower:
+        share = min(docs, quality.MIN_DOCS)
+        value = (share * own + (quality.MIN_DOCS - share) * value) // quality.MIN_DOCS
+    return value
+
+
 def plain(rows):
     """The contract and the adaptive rules on (doc_id, text, lang, source)."""
     base = [(i, lang or "", source or "", brute.base_measures(text)) for i, text, lang, source in rows]
@@ -29,11 +37,10 @@ def plain(rows):
     for (i, lang, source, own), values in zip(base, measures):
         kept = not own[5]
         for name, fence in quality.FENCES.items() if kept else ():
-            for keep in (lambda b: b[1:3] == (lang, source), lambda b: b[1] == lang, lambda b: True):
-                median, docs = quantile(name, keep, 2)
-                lower, _ = quantile(name, keep, 4)
-                if docs >= quality.MIN_DOCS:
-                    break
+            lower, median = (
+                blend(quantile(name, lambda b: True, parts)[0], quantile(name, lambda b: b[1] == lang, parts), quantile(name, lambda b: b[1:3] == (lang, source), parts))
+                for parts in (4, 2)
+            )
             reach = fence.times * max(median - lower, fence.least)
             kept = kept and values[name] <= median + reach and (not fence.below or values[name] >= median - reach)
         yield i, *own, kept
@@ -80,6 +87,36 @@ def test_sketches_merge(spark, smoke_docs):
     assert rows_of(merged) == rows_of(quality.sketches(base).select("lang", "source", "measure", "bin", "n"))
 
 
+def test_a_filter_behind_the_measures_does_not_take_them_again(smoke_docs):
+    base = quality.with_base(smoke_docs)
+    rows = [brute.base_measures(r.text) for r in smoke_docs.collect()]
+    assert base.where("not base_failed and n_dup_lines > 0").count() == sum(not r[5] and r[3] > 0 for r in rows)
+
+
+def test_small_groups_count_as_far_as_they_go(spark):
+    """38 texts of a source with symbols move its threshold 38 parts of 100 from that of the language."""
+    rows = [(i, numbered(i, 80), "en", "prose") for i in range(400)]
+    rows += [(1000 + i, numbered(i, 80) + " ########" * 3, "en", "code") for i in range(38)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    base = quality.with_base(df)
+    limits = {r.source: r.symbols_most for r in quality.thresholds(quality.sketches(base)).collect()}
+    own = floor_bin(1000 * 24 // (sum(map(len, numbered(20, 80).split())) + 24))
+    assert limits["prose"] == 60 and limits["code"] == own * 38 // 100 + 60
+    assert shown(quality.digest(df)) == expected(plain(rows))
+
+
+def test_a_large_group_is_dealt_over_tasks(spark, smoke_docs, set_conf):
+    """Where thresholds are not broadcast, rows of one language and source go to many keys."""
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    set_conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    one = smoke_docs.withColumns({"lang": F.lit("en"), "source": F.lit("web")})
+    joined = quality.digest(one)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("pmod(xxhash64(n_words") > 0
+    rows = [(r.doc_id, r.text, "en", "web") for r in smoke_docs.collect()]
+    assert shown(joined) == expected(plain(rows))
+
+
 def test_kept_rows_have_all_their_columns(edge_docs):
     out = quality.keep_good(edge_docs)
     assert out.columns == edge_docs.columns

@@ -133,3 +133,34 @@ def test_repeated_ids_keep_their_content(spark):
         ("orphan_result", 6, 0, "", "None", "", "no id", 0),
     ]
     assert len(tool_calls.link(calls, results, SCHEMAS).collect()) == 7
+
+
+@pytest.mark.parametrize(
+    "text, error",
+    [
+        ('{"x": "\\ud800"}', "half a character"), ('{"\\udc00x": 1}', "half a character"), ("[" * 200_000, "nested too deep"),
+        ('{"x":' * 5000 + "1" + "}" * 5000, "nested too deep"), ('{"x": 1e999}', "number out of range"), ('{"x": -1e999}', "number out of range"),
+        ('{"x": ' + "9" * 5000 + "}", "number out of range"), ('{"x": 1, "x": 1}', "repeated key"), ('{"y": {"a": 1, "\\u0061": 2}}', "repeated key"),
+        ('{"x": NaN}', "not JSON"), ("{'x': 1}", "not JSON"), ("", "not JSON"), ('{"x": 1} 2', "not JSON"), ('"' + "[" * 500, "not JSON"),
+    ],
+)
+def test_arguments_without_a_canonical_form(spark, text, error):
+    rows = link(spark, [(1, "a", 0, "f", text, None), (1, "b", 1, "f", '{"x": 1}', None)])
+    got = {r.call_id: (r.status, r.errors, json.loads(r.json)["arguments"]) for r in rows}
+    assert got == {"a": ("invalid_arguments", [f"$: {error}"], None), "b": ("no_result", [], {"x": 1})}
+
+
+@pytest.mark.parametrize(
+    "text, shown",
+    [
+        ("1.0", "1"), ("1", "1"), ("-0.0", "0"), ("1e3", "1000"), ("1E-7", "1e-7"), ("0.00001", "0.00001"), ("123e18", "123000000000000000000"),
+        ("1e21", "1e+21"), ("1.5e300", "1.5e+300"), ("0.1", "0.1"), ("-2.50", "-2.5"), ("5e-324", "5e-324"), ("9007199254740993", "9007199254740993"),
+        ("1234.5678", "1234.5678"), ("1e16", "10000000000000000"), ("0.000001234", "0.000001234"), ("12345678901234567890.0", "12345678901234567000"),
+        ('"\\u0061\\ud83d\\ude00"', '"a😀"'), ('"\\u001f\\n\\u007f/"', '"\\u001f\\n\x7f/"'),
+        ('{"b": 1, "a": [ true , null ], "\\ud83d\\ude00": 2, "\ufffd": 3}', '{"a":[true,null],"b":1,"😀":2,"\ufffd":3}'),
+        ('["[[", "]"]', '["[[","]"]'), ("[" * 150 + "]" * 150, "[" * 150 + "]" * 150),
+    ],
+)
+def test_canonical_json(text, shown):
+    assert tool_calls.canonical(tool_calls.parse(text)) == shown
+    assert tool_calls.canonical(tool_calls.parse(shown)) == shown

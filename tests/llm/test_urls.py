@@ -117,3 +117,21 @@ def test_no_pages_and_no_labels(spark, pages):
     assert urls.judge(pages.limit(0)).collect() == []
     plain = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://b.org/")], "page_id long, url string")
     assert {r.verdict for r in urls.judge(plain).collect()} == {"allow"}
+
+
+@pytest.mark.parametrize("end", ["com", "net/es"])
+def test_labels_of_one_kind_block_nothing(spark, end):
+    rows = [(i, f"http://h{i}.{end}/page{i}") for i in range(100)] + [(200, "http://x.org/a"), (201, "http://y.org/win-cash"), (202, None)]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert [(got[i].verdict, got[i].score) for i in (200, 201, 202)] == [("allow", 0.0), ("allow", 0.0), ("allow", None)]
+
+
+def test_one_kind_kept_for_calibration(spark):
+    """The threshold is 0: each url goes with the model that finds it likelier."""
+    rows = [f"http://h{i}.com/de/article-{i * 37}" for i in range(200)]
+    blocked = [f"http://h{i}.net/es/win-cash-{i * 37}" for i in range(200)]
+    df = spark.createDataFrame([(u,) for u in blocked], "url string")
+    held = {r.url for r in df.where(F.pmod(F.xxhash64("url"), F.lit(urls.HELD_OUT)) == 0).collect()}
+    rows += [u for u in blocked if u not in held] + ["http://x.org/de/article-5", "http://x.org/es/win-cash-5"]
+    got = urls.judge(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).orderBy("page_id").collect()
+    assert [r.verdict for r in got[-2:]] == ["allow", "block"] and got[-2].score > 0 > got[-1].score
