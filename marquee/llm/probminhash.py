@@ -15,16 +15,20 @@ filled. Registers of two texts agree with probability J.
 Search: texts of equal words are one node (the least document id). Nodes that agree in all
 registers of a band meet in its bucket. First every node is compared with the bucket's
 centre, the node whose buckets are largest, which is how the original of a group of copies stands out; then, as links make
-classes, the classes of a bucket are compared by their centres; last, all pairs of a bucket that are
-still in different classes, unless the threshold is out of reach. Pairs within a class need no comparison, so a large group
-of copies costs a number of pairs proportional to it. Out of reach: signatures that agree ``DEVIATIONS`` standard
-deviations less than expected at the threshold; or shingles that no other text left to compare has, which no partner can share:
-with total weight X, of it U of such shingles, largest weight m, and at most c shingles in common,
+classes, the classes of a bucket are compared by their centres. These two steps only save work: they skip pairs whose signatures agree
+``DEVIATIONS`` standard deviations less than expected at the threshold.
 
-    J <= (X - U) / (X + V / m'),  V = max(U', X' - c m'),
+Last, the nodes of buckets that still hold several classes go through a prefix index, which loses no pair. Their shingles have one
+order, rarest first. With total weight X, of it U of shingles the other text lacks, n shingles, largest weight m, and primes for the other text,
 
-where the primes mark the other text, and the same with the texts exchanged. With 24 bands of 4
-registers a pair at 0.8 meets with probability 1 - 3e-6.
+    J <= (X - U) / (X + U' / m'),  and the same with the texts exchanged.
+
+If their first common shingle in that order has p shingles of weight W before it in one text and p', W' in the other, at most
+c = min(n - p, n' - p') are common, so U >= max(W, n - c) and likewise U'. A pair that can reach the threshold thus meets at a shingle near the front
+of both texts: they are joined there, and only those that the bound lets through are compared exactly. What a copy has of its own comes first in its order, and
+copies with many edits of their own meet no other at all, however many there are. Shingles are dealt by the sizes of text and partner too (steps of
+``SIZE_STEP``) and by whether weights differ from 1, as each gives a shorter front. With 24 bands of 4
+registers a pair at 0.8 shares a bucket with probability 1 - 3e-6; nothing else is left to chance.
 
 Rows: a null, empty or blank text has no words and is a class of its own; a text of fewer
 words than a shingle is one shingle; rows that share an id are one document, and of one class; a row
@@ -34,6 +38,7 @@ without id is known by the hash of its text.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -49,12 +54,12 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 BAND_ROWS = 4
-# Registers of a signature; the bands use the first ones, estimates all. A multiple of 16.
+# Registers of a signature; the bands use the first ones, estimates all.
 REGISTERS = 192
 # Signatures that agree less than a pair at the threshold does, by so many standard deviations, are not compared exactly.
 DEVIATIONS = 5.0
-# Bits of a register that the join compares, packed into longs.
-NIBBLE, A_LONG = 4, 16
+# Sizes of texts within this factor are looked up together in the prefix index.
+SIZE_STEP = 1.05
 # Room for the rounding of sums of weights.
 EPSILON = 1e-9
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -121,7 +126,7 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_key, content, bands, signature, nibbles``: a digest of the words, the band hashes, and 16 and 4 bits of each register."""
+    """``doc_key, content, bands, signature``: a digest of the words, the band hashes, and 16 bits of each register."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):
@@ -136,21 +141,17 @@ def sketch(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, te
             short = mix(signature)
             bits = short.astype("<u2").tobytes()
             width = 2 * REGISTERS
-            places = np.arange(A_LONG, dtype=np.uint64) * np.uint64(NIBBLE)
-            nibbles = (short >> np.uint64(60)).reshape(n, -1, A_LONG) << places
-            longs = REGISTERS // A_LONG
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_key"),
                     pa.array(content, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat),
                     pa.array([bits[i * width : (i + 1) * width] for i in range(n)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * longs), pa.array(nibbles.sum(2).astype(np.uint64).view(np.int64).reshape(-1))),
                 ],
-                ["doc_key", "content", "bands", "signature", "nibbles"],
+                ["doc_key", "content", "bands", "signature"],
             )
 
-    schema = "doc_key long, content binary, bands array<long>, signature binary, nibbles array<long>"
+    schema = "doc_key long, content binary, bands array<long>, signature binary"
     return doc_rows(docs, id_col, text_col).select("doc_key", "text").mapInArrow(run, schema)
 
 
@@ -174,33 +175,20 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
     return float((1 / (upto_a / a + from_b / b)).sum())
 
 
-def _least_agreement(threshold: float, bits: int) -> float:
-    """The share of registers, compared by some bits, in which a pair at the threshold agrees at least."""
-    expected = threshold + (1 - threshold) / 2**bits
+def _least_agreement(threshold: float) -> float:
+    """The share of registers, compared by 16 bits, in which a pair at the threshold agrees at least."""
+    expected = threshold + (1 - threshold) / 2**16
     return expected - DEVIATIONS * (expected * (1 - expected) / REGISTERS) ** 0.5
 
 
-def _alike_in_join(x: str, y: str, threshold: float) -> str:
-    """The same as SQL over ``nibbles``, cheap enough for every pair of a bucket."""
-    ones = sum(1 << (NIBBLE * i) for i in range(A_LONG))
-
-    def differing(i: int) -> str:
-        d = f"({x}.nibbles[{i}] ^ {y}.nibbles[{i}])"
-        folded = " | ".join([d, *(f"shiftrightunsigned({d}, {k})" for k in range(1, NIBBLE))])
-        return f"bit_count(({folded}) & {ones}L)"
-
-    most = int((1 - _least_agreement(threshold, NIBBLE)) * REGISTERS)
-    return f"{' + '.join(differing(i) for i in range(REGISTERS // A_LONG))} <= {most}"
-
-
 def _agreement(left: pa.Array, right: pa.Array, registers: int) -> np.ndarray:
     a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(-1, registers) for x in (left, right))
     return (a == b).mean(axis=1)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` that are similar enough."""
-    least = _least_agreement(threshold, 16)
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float, every: bool = False) -> DataFrame:
+    """The pairs ``a, b`` that are similar enough, of those whose signatures do not rule it out, or of ``every`` pair."""
+    least = 0.0 if every else _least_agreement(threshold)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches, "text_b", 1 << 20):
@@ -227,7 +215,7 @@ def _alike(pairs: DataFrame, signatures_of: DataFrame, threshold: float) -> Data
             if batch.num_rows:
                 width = len(batch.column("signature_a")[0].as_buffer()) // 2
                 alike = _agreement(batch.column("signature_a"), batch.column("signature_b"), width)
-                yield batch.select(["a", "b"]).filter(pa.array(alike >= _least_agreement(threshold, 16)))
+                yield batch.select(["a", "b"]).filter(pa.array(alike >= _least_agreement(threshold)))
 
     sides = [signatures_of.select(F.col("node").alias(s), F.col("signature").alias(f"signature_{s}")) for s in "ab"]
     return pairs.join(sides[1], "b").join(sides[0], "a").mapInArrow(run, "a long, b long").distinct()
@@ -253,8 +241,8 @@ def _crowded(banded: DataFrame) -> DataFrame:
     return written(sized.join(scores, "node").select("band", "node", "score"), "scored")
 
 
-def _reach(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """``node, n, total, most, own_n, own`` of each text of the nodes: number, sum and largest weight of its shingles, and number and sum of those no other text has."""
+def _each(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """``node, part, shingle, weight``: the shingles of each text of the nodes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):
@@ -265,27 +253,61 @@ def _reach(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
                 ["node", "part", "shingle", "weight"],
             )
 
-    key = ["node", "part"]
     wanted = texts.join(nodes, "node", "left_semi").select("node", F.xxhash64("text").alias("part"), "text")
-    each = written(wanted.mapInArrow(run, "node long, part long, shingle long, weight double"), "shingles")
-    alone = each.groupBy("shingle").agg(F.count("*").alias("texts"), *(F.min(c).alias(c) for c in [*key, "weight"])).where("texts = 1")
-    own = alone.groupBy(*key).agg(F.count("*").alias("own_n"), F.sum("weight").alias("own"))
-    whole = each.groupBy(*key).agg(F.count("*").alias("n"), F.sum("weight").alias("total"), F.max("weight").alias("most"))
-    return whole.join(own, key, "left").fillna(0, ["own_n", "own"]).drop("part")
-
-
-def _bound(one: str, other: str) -> str:
-    """An upper bound of the similarity of two texts, as SQL over the columns of :func:`_reach`."""
-    common = f"least({one}.n - {one}.own_n, {other}.n - {other}.own_n)"
-    apart = f"greatest({other}.own, {other}.total - {common} * {other}.most)"
-    return f"({one}.total - {one}.own) / ({one}.total + {apart} / {other}.most)"
-
-
-def _joined(roots: DataFrame, pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    return wanted.mapInArrow(run, "node long, part long, shingle long, weight double")
+
+
+def _fronts(each: DataFrame, threshold: float) -> DataFrame:
+    """``node, part, shingle, p, w, n, total, most``: the shingles before which a text has not yet more weight ``w``, of ``p`` shingles, than it may lack."""
+    often = each.groupBy("shingle").agg(F.count("*").alias("texts"))
+    text = Window.partitionBy("node", "part")
+    before = text.orderBy("texts", "shingle")
+    placed = each.join(often, "shingle").withColumns(
+        {
+            "p": F.row_number().over(before) - 1,
+            "w": F.sum("weight").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight"),
+            "n": F.count("*").over(text),
+            "total": F.sum("weight").over(text),
+            "most": F.max("weight").over(text),
+        }
+    )
+    return placed.where(F.col("w") <= (1 - threshold) * F.col("total") + EPSILON).drop("texts", "weight")
+
+
+def _met(fronts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a, b`` of different ``class`` that may be similar enough, from :func:`_fronts` with the class of each node.
+
+    The text of fewer shingles, of equal ones the lesser node, lies in the index and the other asks. Its partner has
+    no fewer shingles, so the text of the index lacks p of them at least, and so much more the partner; a partner asks by size, and what it lacks
+    is known from that size. Both facts count in full where the other's weights are all 1, else not at all.
+    """
+    rows = fronts.withColumns({"lacks": (1 - threshold) * F.col("total") + EPSILON, "heavy": F.col("most") > 1})
+    log = F.lit(math.log(SIZE_STEP))
+    kinds = F.array(F.lit(False), F.lit(True))
+    index = rows.withColumn("size", F.floor(F.log("n") / log)).withColumn("other", F.explode(kinds))
+    index = index.where(F.col("other") | (F.col("w") <= F.col("lacks") - threshold * F.col("p")))
+    least = F.greatest(F.col("n") - F.col("lacks"), F.lit(1.0))
+    sizes = F.sequence(F.floor(F.log(least) / log), F.floor(F.log("n") / log))
+    asking = rows.withColumn("size", F.explode(sizes)).withColumn("other", F.explode(kinds))
+    beyond = F.greatest(F.pow(F.lit(SIZE_STEP), F.col("size")) - F.lit(EPSILON) - F.col("n") + F.col("p"), F.lit(0.0))
+    asking = asking.where(F.col("other") | (F.col("w") <= F.col("lacks") - threshold * beyond))
+
+    common = "least(x.n - x.p, y.n - y.p)"
+    u, v = (f"greatest({t}.w, {t}.n - {common})" for t in "xy")
+    reach = " and ".join(
+        f"{t}.total - {own} >= {threshold} * ({t}.total + {others} / {o}.most) - {EPSILON}" for t, own, o, others in (("x", u, "y", v), ("y", v, "x", u))
+    )
+    same = "x.shingle = y.shingle and x.size = y.size and x.heavy = y.other and x.other = y.heavy"
+    order = "x.class != y.class and (x.n < y.n or x.n = y.n and x.node < y.node)"
+    met = index.alias("x").join(asking.alias("y"), F.expr(f"{same} and {order} and {reach}"))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _joined(roots: DataFrame, pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float, every: bool = False) -> DataFrame:
     """The classes, joined where a pair is similar enough."""
     if pairs.isEmpty():
         return roots
-    links = written(_verified(pairs, texts, shingle, threshold), "links")
+    links = written(_verified(pairs, texts, shingle, threshold, every), "links")
     return roots if links.isEmpty() else components(links.union(roots.toDF("a", "b")))
 
 
@@ -313,7 +335,7 @@ def near_duplicates(
     banded = nodes.select("node", F.explode("bands").alias("band")).distinct()
     crowded = _crowded(banded)
     wanted = crowded.select("node").distinct()
-    signed = nodes.select("node", "signature", "nibbles").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    signed = nodes.select("node", "signature").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     text = doc_rows(docs, id_col, text_col).select(F.col("doc_key").alias("node"), "text")
     texts = written(text.join(signed, "node").distinct(), "texts")
 
@@ -328,16 +350,10 @@ def near_duplicates(
     more = written(_alike(pairs_by_class.join(pairs, ["a", "b"], "left_anti"), texts, threshold), "pairs")
     roots = _joined(roots, more, texts, shingle, threshold)
 
-    mixed = written(_classed(crowded, roots).select("band", "node", "class"), "mixed")
-    reach = _reach(mixed.select("node").distinct(), texts, shingle).where(f"total - own >= {threshold - EPSILON} * total")
-    marked = texts.select("node", "nibbles").dropDuplicates(["node"])
-    left = written(mixed.join(reach, "node").join(marked, "node"), "left")
-    near = f"x.class < y.class and {_alike_in_join('x', 'y', threshold)} and {_bound('x', 'y')} >= {threshold - EPSILON} and {_bound('y', 'x')} >= {threshold - EPSILON}"
-    rest = left.alias("x").join(left.alias("y"), F.expr(f"x.band = y.band and {near}"))
-    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti").join(more, ["a", "b"], "left_anti")
-    rest = written(rest, "pairs")
-    roots = _joined(roots, rest, texts, shingle, threshold)
+    mixed = written(_classed(crowded, roots).select("node", "class").distinct(), "mixed")
+    each = written(_each(mixed.select("node"), texts, shingle), "shingles")
+    fronts = written(_fronts(each, threshold).join(mixed, "node"), "fronts")
+    roots = _joined(roots, written(_met(fronts, threshold), "pairs"), texts, shingle, threshold, every=True)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc_key(id_col, text_col).alias("doc_key"))
     class_id = F.coalesce("root", "node", "doc_key").alias("class_id")

@@ -83,24 +83,45 @@ def test_a_text_has_one_signature_whatever_stands_beside_it():
     assert np.array_equal(np.array(alone), together)
 
 
-def test_bound_is_never_below_the_similarity(spark):
-    pick = random.Random(6)
-    base = [f"w{i % 50}" for i in range(80)] + [f"v{i}" for i in range(60)]
-    texts = [base]
-    for _ in range(25):
-        text = [w if pick.random() > 0.04 else f"z{pick.random()}" for w in pick.choice(texts)]
-        cut = pick.randrange(len(text))
-        texts.append(pick.choice([text, text[:cut] + text, text[cut:], text + text[:cut]]))
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    df = spark.createDataFrame(rows, "node long, text string")
-    reach = probminhash._reach(df.select("node"), df, 5)
-    bounds = reach.alias("x").join(reach.alias("y"), F.expr("x.node < y.node"))
-    bounds = bounds.selectExpr("x.node", "y.node", probminhash._bound("x", "y"), probminhash._bound("y", "x")).collect()
-    weighed = [brute.shingle_weights(text) for _, text in rows]
-    exact = {(a, b): brute.probability_jaccard(weighed[a], weighed[b]) for a, b, _, _ in bounds}
-    assert len(bounds) == len(rows) * (len(rows) - 1) // 2
-    assert all(exact[a, b] <= min(one, other) + 1e-9 for a, b, one, other in bounds)
-    assert sum(min(one, other) < 0.8 for *_, one, other in bounds) > len(bounds) / 10
+def met(spark, texts, threshold):
+    """Pairs that the prefix index lets through, of texts each a class of its own."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    fronts = probminhash._fronts(probminhash._each(rows.select("node"), rows, 5), threshold)
+    return {(r.a, r.b) for r in probminhash._met(fronts.withColumn("class", F.col("node")), threshold).collect()}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95])
+@pytest.mark.parametrize("repeats", [False, True])
+def test_prefix_index_loses_no_pair(spark, threshold, repeats):
+    """Texts with edits, cuts and moved halves; words that repeat give shingles of other weights."""
+    pick = random.Random(6 + repeats)
+    texts = [[f"w{i % 50}" if repeats else f"w{i}" for i in range(90)] + [f"v{i}" for i in range(60)]]
+    for _ in range(60):
+        rate = pick.choice([0.001, 0.01, 0.03])
+        text = [w if pick.random() > rate else f"z{pick.randrange(40)}" for w in pick.choice(texts)]
+        cut = pick.randrange(1, max(2, len(text) // 4))
+        kinds = [text, text, text[cut:] + text[:cut], text[cut:], text[:-cut]] + [text + text[:cut], text[:cut] * 3 + text] * repeats
+        texts.append(pick.choice(kinds))
+    texts += [["one"], ["one", "two"], ["one"], ["a"] * 30, ["a"] * 40, ["a"] * 40 + ["b"]]
+    texts = [" ".join(t) for t in texts]
+    weighed = [brute.shingle_weights(text) for text in texts]
+    pairs = [(a, b) for b in range(len(texts)) for a in range(b)]
+    exact = {p: brute.probability_jaccard(weighed[p[0]], weighed[p[1]]) for p in pairs if weighed[p[0]].keys() & weighed[p[1]].keys()}
+    similar = {p for p, j in exact.items() if j >= threshold}
+    found = met(spark, texts, threshold)
+    assert similar <= found and len(similar) > 5
+    assert len(found) < len(exact) * 0.9
+
+
+def test_copies_with_edits_of_their_own_do_not_meet(spark):
+    """Each pair of the group is just too far apart; no pair of them is compared."""
+    base = numbered(1, 150)
+    texts = [changed(base, 0.035, 10 + i) for i in range(400)]
+    weighed = [brute.shingle_weights(text) for text in texts]
+    own = [i for i in range(400) if len(weighed[i].keys() - brute.shingle_weights(base).keys()) > 0.125 * len(weighed[i])]
+    assert len(own) > 200
+    pairs = met(spark, texts, 0.8)
+    assert not any(a in own and b in own for a, b in pairs)
 
 
 def test_components(spark):
