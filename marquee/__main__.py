@@ -1,8 +1,8 @@
 """Command line.
 
-    build OUT --data DIR [--csv DIR]          tables from commerce tables
+    build OUT --data DIR [--csv DIR] [--keys DIR]  tables from commerce tables, ids kept in keys
     build OUT --report PATH KIND LABEL START END ... --global-chart TSV
-              --country-chart TSV [--csv DIR] tables from the landed files
+              --country-chart TSV [--csv DIR] [--keys DIR]  tables from the landed files
     ask STAR [NAME ...] --period P            questions on built tables
     show DIR [NAME ...]                       questions on commerce tables
     snapshot STAR --map CSV --response JSON --log NEW [--previous OLD]
@@ -46,7 +46,7 @@ def show_all(questions: Iterable[tuple[str, Callable[[], DataFrame]]]) -> list[s
 def build(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.data:
         source = warehouse(spark, options.data)
-        star = build_star(source.half_feed, source.weekly_feed, options.out)
+        star = build_star(source.half_feed, source.weekly_feed, options.out, options.keys)
     else:
         raw = reports.read_raw_reports(spark, [reports.HalfReport(*r) for r in options.report])
         star = build_from_files(
@@ -55,6 +55,7 @@ def build(spark: SparkSession, options: argparse.Namespace) -> None:
             charts.read_country_chart(spark, options.country_chart),
             options.out,
             raw,
+            options.keys,
         )
         spark.read.parquet(f"{options.out}/load_report").show(truncate=False)
     if options.csv:
@@ -85,10 +86,11 @@ def snapshot(spark: SparkSession, options: argparse.Namespace) -> None:
     trailer_map = videos.read_trailer_map(spark, options.map)
     items = videos.read_video_items(spark, options.response, fetched_at)
     fetched = trailers.snapshot(items, trailer_map, star.titles)
+    now = F.lit(fetched_at.isoformat(sep=" "))
     if options.previous:
-        now = F.lit(fetched_at.isoformat(sep=" "))
         trailers.write_retained(trailers.read_log(spark, options.previous), now, options.log)
     trailers.append_snapshot(fetched, options.log)
+    trailers.drop_expired(spark, options.log, now)
     log = trailers.read_log(spark, options.log)
     parameters = Parameters(options.period, options.released_from)
     show_all(
@@ -114,6 +116,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     command.add_argument("--global-chart")
     command.add_argument("--country-chart")
     command.add_argument("--csv")
+    command.add_argument("--keys")
 
     command = commands.add_parser("ask")
     command.set_defaults(run=ask)

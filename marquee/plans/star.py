@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee import schemas
 from marquee.functions import calendar, text
 from marquee.operators import checks
-from marquee.operators.spread import dense_ids
+from marquee.operators.spread import dense_ids, stable_ids
 from marquee.session import together
 from marquee.sources import charts
 from marquee.sources.tables import Star, read_star
@@ -16,11 +16,16 @@ from marquee.sources.tables import Star, read_star
 TITLE_KEY = ["title_name", "content_type"]
 
 
-def dim_title(half_feed: DataFrame, weekly_feed: DataFrame) -> DataFrame:
+def _ids(keys: DataFrame, order_by: list[str], id_name: str, store: str | None) -> DataFrame:
+    return dense_ids(keys, order_by, id_name) if store is None else stable_ids(keys, order_by, id_name, store)
+
+
+def dim_title(half_feed: DataFrame, weekly_feed: DataFrame, store: str | None = None) -> DataFrame:
     """Every (name, type) of either feed.
 
     Name and type together, as a film and a series may share a name. Ids
-    follow the sorted key, so a reload of the same titles gives the same ids.
+    follow the sorted key, so a reload of the same titles gives the same ids; with
+    ``store`` they also stay when titles are added.
     """
     titles = (
         half_feed.select(*TITLE_KEY)
@@ -28,11 +33,11 @@ def dim_title(half_feed: DataFrame, weekly_feed: DataFrame) -> DataFrame:
         .dropna(subset=["title_name"])
         .distinct()
     )
-    return dense_ids(titles, ["content_type", "title_name"], "title_id")
+    return _ids(titles, ["content_type", "title_name"], "title_id", store)
 
 
-def dim_region(weekly_feed: DataFrame) -> DataFrame:
-    """Every market of the charts plus the worldwide row, numbered by name."""
+def dim_region(weekly_feed: DataFrame, store: str | None = None) -> DataFrame:
+    """Every market of the charts plus the worldwide row, numbered by name, or as ``store`` knows them."""
     named = weekly_feed.select("region_name", "iso2").dropna(subset=["region_name"])
     spark = weekly_feed.sparkSession
     worldwide = spark.range(1).select(
@@ -44,7 +49,8 @@ def dim_region(weekly_feed: DataFrame) -> DataFrame:
         .agg(F.min("iso2").alias("iso2"))
         .withColumn("is_global", F.col("region_name") == text.GLOBAL_REGION)
     )
-    return dense_ids(regions, ["region_name"], "region_id")
+    ids = _ids(regions.select("region_name"), ["region_name"], "region_id", store)
+    return ids.join(regions, "region_name").select(*schemas.columns(schemas.DIM_REGION))
 
 
 def dim_date(half_feed: DataFrame, weekly_feed: DataFrame) -> DataFrame:
@@ -87,14 +93,16 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def build_star(half_feed: DataFrame, weekly_feed: DataFrame, folder: str) -> Star:
+def build_star(half_feed: DataFrame, weekly_feed: DataFrame, folder: str, keys: str | None = None) -> Star:
     """Replace the five tables under ``folder`` and return them.
 
+    ``keys`` is a folder that outlives the builds: ids given once are kept there (:func:`stable_ids`).
     The layout of the two facts stands in for indexes.
     """
+    title_keys, region_keys = (None if keys is None else f"{keys}/{name}" for name in ("title_keys", "region_keys"))
     titles, regions, _ = together(
-        lambda: write_table(dim_title(half_feed, weekly_feed), f"{folder}/dim_title"),
-        lambda: write_table(dim_region(weekly_feed), f"{folder}/dim_region"),
+        lambda: write_table(dim_title(half_feed, weekly_feed, title_keys), f"{folder}/dim_title"),
+        lambda: write_table(dim_region(weekly_feed, region_keys), f"{folder}/dim_region"),
         lambda: write_table(dim_date(half_feed, weekly_feed), f"{folder}/dim_date"),
     )
     together(
@@ -154,6 +162,7 @@ def build_from_files(
     country_raw: DataFrame,
     folder: str,
     half_raw: DataFrame | None = None,
+    keys: str | None = None,
 ) -> Star:
     """Conform both charts, stage the feeds once, then build the tables.
 
@@ -164,4 +173,4 @@ def build_from_files(
         lambda: write_table(half_feed, f"{folder}/feed_half"),
         lambda: write_table(charts.weekly_feed(global_raw, country_raw), f"{folder}/feed_weekly"),
     )
-    return build_star(half, weekly, folder)
+    return build_star(half, weekly, folder, keys)

@@ -9,12 +9,14 @@ from marquee import schemas
 from marquee.functions.calendar import days_between
 from marquee.functions.numbers import in_millions, whole_number, whole_number_or_zero
 from marquee.operators.movement import latest
-from marquee.operators.spread import rank_desc
+from marquee.operators.spread import ranks_desc
 from marquee.plans.kpis import worldwide
+from marquee.sources import files
 
 # Fixed values ---------------------------------------------------------------
 KEEP_DAYS = 30
 SNAPSHOT_KEY = ["title_id", "video_id", "fetched_at"]
+PARTITIONS = ["fetch_day", "fetch"]
 # ----------------------------------------------------------------------------
 
 
@@ -66,20 +68,21 @@ def retained(trailers: DataFrame, now: Column, keep_days: int = KEEP_DAYS) -> Da
 
 
 def append_snapshot(rows: DataFrame, folder: str) -> None:
-    """Add a fetch to the log; the first one creates it."""
-    write_log(rows, folder, "append")
+    """Add fetches to the log; the first one creates it. A fetch that the log holds is written whole again,
+    joined with what is there, so that a replay adds nothing.
 
-
-def append_missing(rows: DataFrame, folder: str) -> None:
-    """Add what the log does not hold yet, so that a replayed fetch adds nothing.
-
-    Only the days of the fetch are read from the log.
+    A fetch is one partition, replaced as one when its job ends. Batch and stream may thus add
+    the same fetch at once: either leaves it there once. Two writers must not bring different
+    parts of one fetch at the same time, as the later would keep only what it had read.
     """
     spark = rows.sparkSession
-    write_log(rows.limit(0), folder, "append")  # a log to read from, even if empty
-    days = rows.select(F.to_date("fetched_at").alias("fetch_day")).distinct()
-    held = read_log(spark, folder).join(days, "fetch_day", "left_semi").select(*SNAPSHOT_KEY)
-    append_snapshot(rows.join(held, SNAPSHOT_KEY, "left_anti"), folder)
+    files.make(spark, folder)
+    added = _with_partitions(rows)
+    own = added.select(*PARTITIONS).distinct()
+    held = read_log(spark, folder).join(own, PARTITIONS, "left_semi")
+    counts = F.max(F.struct("view_count", "like_count", "published_at")).alias("counts")
+    once = added.unionByName(held).groupBy(*SNAPSHOT_KEY, *PARTITIONS).agg(counts)
+    write_log(once.select("*", "counts.*"), folder, "overwrite")
 
 
 def write_retained(
@@ -94,19 +97,40 @@ def write_retained(
     return read_log(trailers.sparkSession, folder)
 
 
+def drop_expired(spark: SparkSession, folder: str, now: Column, keep_days: int = KEEP_DAYS) -> int:
+    """Delete the fetches older than ``keep_days`` from the log, and nothing else; returns how many.
+
+    All rows of a fetch expire together, so its folder goes and no other file is read or written
+    again. A run that fails half-way has deleted expired fetches only; the next one goes on.
+    """
+    oldest = now.cast("timestamp_ntz") - F.make_dt_interval(F.lit(keep_days))
+    log = read_log(spark, folder).filter((F.col("fetched_at") < oldest) & (F.col("fetch_day") <= F.to_date(oldest)))
+    # One name per expired fetch.
+    expired = log.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("uri")).distinct().collect()
+    for row in expired:
+        files.remove_uri(spark, row.uri)
+    return len(expired)
+
+
 def read_log(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(schemas.FACT_TRAILER + ", fetch_day date").parquet(folder)
+    return spark.read.schema(schemas.FACT_TRAILER + ", fetch_day date, fetch string").parquet(folder)
+
+
+def _with_partitions(rows: DataFrame) -> DataFrame:
+    return rows.select(*schemas.columns(schemas.FACT_TRAILER)).withColumns(
+        {"fetch_day": F.to_date("fetched_at"), "fetch": F.date_format("fetched_at", "yyyyMMddHHmmssSSSSSS")}
+    )
 
 
 def write_log(rows: DataFrame, folder: str, mode: str) -> None:
-    """Log rows split by fetch day. Days are gathered by range, so one large
-    fetch is written by many tasks."""
+    """Log rows split by fetch day and fetch; ``overwrite`` replaces the fetches it writes, whole. Fetches are gathered
+    by range, so one large fetch is written by many tasks."""
     (
-        rows.select(*schemas.columns(schemas.FACT_TRAILER))
-        .withColumn("fetch_day", F.to_date("fetched_at"))
-        .repartitionByRange("fetch_day", "video_id")
+        _with_partitions(rows)
+        .repartitionByRange(*PARTITIONS, "video_id")
         .write.mode(mode)
-        .partitionBy("fetch_day")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS)
         .parquet(folder)
     )
 
@@ -146,11 +170,8 @@ def trailer_vs_engagement(
         .join(works, "title_id")
         .join(chart_history(weekly, regions), "title_id", "left")
     )
-    for value, rank in [
-        ("view_count", "trailer_rank_in_type"),
-        ("hours_viewed", "hours_rank_in_type"),
-    ]:
-        ranked = rank_desc(ranked, ["content_type"], value, rank)
+    ranks = {"view_count": "trailer_rank_in_type", "hours_viewed": "hours_rank_in_type"}
+    ranked = ranks_desc(ranked, ["content_type"], ranks)
     return ranked.select(
         "title_name",
         "content_type",

@@ -10,3 +10,15 @@ def remove(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     located = context._jvm.org.apache.hadoop.fs.Path(path)
     located.getFileSystem(context._jsc.hadoopConfiguration()).delete(located, True)
+
+
+def make(spark: SparkSession, path: str) -> None:
+    """Create a folder; one that is there stays as it is."""
+    context = spark.sparkContext
+    located = context._jvm.org.apache.hadoop.fs.Path(path)
+    located.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(located)
+
+
+def remove_uri(spark: SparkSession, uri: str) -> None:
+    """:func:`remove` of a folder named as file sources name it, with escapes."""
+    remove(spark, spark.sparkContext._jvm.java.net.URI.create(uri))

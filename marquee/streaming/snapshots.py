@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee import schemas
-from marquee.plans.trailers import append_missing, snapshot
+from marquee.plans.trailers import append_snapshot, snapshot
 from marquee.sources import records
 
 LANDED = schemas.VIDEO_RESPONSE + ", fetched_at string"
@@ -50,7 +50,7 @@ def ingest_landed(
         items = batch.filter(records.is_record(batch)).select(F.explode("items").alias("item"), "fetched_at").select(
             "item.*", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at")
         )
-        append_missing(snapshot(items, trailer_map, titles), log)
+        append_snapshot(snapshot(items, trailer_map, titles), log)
 
     return (
         read_landed(spark, landed)

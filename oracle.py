@@ -307,11 +307,20 @@ SELECT title_name, content_type, region_name, weekly_rank, prior_rank,
 FROM last_week WHERE NOT is_global AND prior_date = date_key - 7 AND prior_rank > weekly_rank
 """,
         "v01_climbers_of_title": MODEL + f"""
-SELECT t.title_name, c.content_type, c.region_name, c.weekly_rank, p.weekly_rank AS prior_rank,
-       p.weekly_rank - c.weekly_rank AS improvement
-FROM country_rows c JOIN dim_title t USING (title_id)
-JOIN weekly p ON p.region_id = c.region_id AND p.title_id = c.title_id AND p.date_key = c.date_key - 7
-WHERE c.date_key = DATE '{WEEK}' AND t.title_name = '{TITLE}' AND p.weekly_rank > c.weekly_rank
+, asked AS (SELECT title_id, title_name FROM dim_title WHERE title_name = '{TITLE}'),
+two_weeks AS (
+  SELECT a.title_name, w.title_id, w.region_id, w.date_key, w.weekly_rank
+  FROM weekly w JOIN asked a ON a.title_id = w.title_id
+  WHERE w.date_key IN (DATE '{WEEK}', DATE '{WEEK}' - 7)
+),
+compared AS (
+  SELECT title_name, title_id, region_id, MAX(weekly_rank) FILTER (date_key = DATE '{WEEK}') AS weekly_rank,
+         MAX(weekly_rank) FILTER (date_key < DATE '{WEEK}') AS prior_rank
+  FROM two_weeks GROUP BY title_name, title_id, region_id
+)
+SELECT c.title_name, t.content_type, r.region_name, c.weekly_rank, c.prior_rank, c.prior_rank - c.weekly_rank AS improvement
+FROM compared c JOIN dim_region r ON r.region_id = c.region_id JOIN dim_title t ON t.title_id = c.title_id
+WHERE NOT r.is_global AND c.prior_rank > c.weekly_rank
 """,
         "v02_reentries_of_title": MODEL + f"""
 SELECT t.title_name, t.content_type, COUNT(*) AS markets_entered
@@ -594,15 +603,15 @@ SELECT title_id, period_label, COUNT(*) AS works, COUNT(DISTINCT release_date) A
 FROM half GROUP BY title_id, period_label HAVING COUNT(*) > 1
 """,
         "d02_chart_slots": MODEL + f"""
-, due AS (
+, weeks AS (SELECT DISTINCT date_key FROM weekly),
+due AS (
   SELECT d.date_key, r.region_id, r.region_name, k.content_type
-  FROM dim_date d, dim_region r, (VALUES ('Show'), ('Movie')) k(content_type)
-  WHERE NOT r.is_global AND EXISTS (SELECT 1 FROM weekly w WHERE w.date_key = d.date_key)
-)
-SELECT {text('date_key')} AS date_key, region_name, content_type,
-       (SELECT COUNT(*) FROM weekly w WHERE w.date_key = due.date_key AND w.region_id = due.region_id
-          AND w.content_type = due.content_type) AS slots_filled
-FROM due WHERE slots_filled <> 10
+  FROM weeks d, dim_region r, (VALUES ('Show'), ('Movie')) k(content_type) WHERE NOT r.is_global
+),
+filled AS (SELECT date_key, region_id, content_type, COUNT(*) AS n FROM weekly GROUP BY date_key, region_id, content_type)
+SELECT {text('due.date_key')} AS date_key, due.region_name, due.content_type, COALESCE(f.n, 0) AS slots_filled
+FROM due LEFT JOIN filled f ON f.date_key = due.date_key AND f.region_id = due.region_id AND f.content_type = due.content_type
+WHERE COALESCE(f.n, 0) <> 10
 """,
         "d03_orphans": MODEL + """
 SELECT 'fact_top10_weekly' AS table_name, 'title_id' AS key_name, COUNT(*) AS orphan_rows

@@ -1,4 +1,5 @@
 import os
+import random
 from datetime import date
 
 from pyspark.sql import Window as W
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.operators import checks
-from marquee.operators.spread import dense_ids, rank_desc
+from marquee.operators.spread import _bucket, dense_ids, rank_desc, ranks_desc
 from marquee.plans import star as build
 from marquee.plans.star import build_star, export_csv, write_weekly
 from tests.fixtures import half_feed, star, tuples, week, weekly_feed
@@ -43,6 +44,51 @@ def test_spread_rank_equals_the_window(spark):
     assert sorted(tuples(spread), key=repr) == sorted(tuples(plain), key=repr)
 
 
+def test_two_ranks_from_one_tally(spark):
+    """Zero, signs, sizes far apart, ties, NULL and endless values; no job before an action."""
+    value = F.expr("CASE id % 7 WHEN 0 THEN 0.0 WHEN 1 THEN -id * 1e12 WHEN 2 THEN id / 1e9 WHEN 3 THEN NULL WHEN 4 THEN id % 3 WHEN 5 THEN -id / 7 ELSE id END")
+    odd = F.when(F.col("id") == 13, F.lit("Infinity").cast("double")).when(F.col("id") == 14, F.lit("-Infinity").cast("double"))
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 11 > 0, F.col("id") % 2).alias("g"), odd.otherwise(value).alias("v"), (F.col("id") * 37 % 101).alias("n")
+    )
+    spark.sparkContext.setJobGroup("ranks", "plan only")
+    spread = ranks_desc(rows, ["g"], {"v": "rv", "n": "rn"})
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("ranks") == []
+    plain = rows
+    for column, name in (("v", "rv"), ("n", "rn")):
+        plain = plain.withColumn(name, F.rank().over(W.partitionBy("g").orderBy(F.desc_nulls_last(column))).cast("long"))
+    assert sorted(tuples(spread, "g", "v", "n", "rv", "rn"), key=repr) == sorted(tuples(plain), key=repr)
+
+
+def test_buckets_follow_the_values(spark):
+    pick = random.Random(1)
+    values = sorted([pick.uniform(-1, 1) * 10 ** pick.randint(-300, 300) for _ in range(2000)] + [0.0, 1.0, 2.0, 4.0, 1 - 2**-53, 2 - 2**-52, 5e-324, 1.7e308] + [2.0**k for k in range(-60, 60)])
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    buckets = [b for _, b in sorted(tuples(rows.select("v", _bucket(F.col("v")))))]
+    assert buckets == sorted(buckets) and len(set(buckets)) > 1900
+
+
+def test_ids_stay_when_titles_are_added(spark, tmp_path):
+    def build_with(names):
+        half = half_feed(spark, [(name, "Movie", "2024H1", None, 1.0) for name in names])
+        weekly = weekly_feed(spark, [(0, name, names[0], "Movie", 1) for name in names])
+        model = build_star(half, weekly, str(tmp_path / "star"), str(tmp_path / "keys"))
+        assert model.half.filter("title_id IS NULL").isEmpty() and model.weekly.filter("region_id IS NULL").isEmpty()
+        return [dict(tuples(t, n, i)) for t, n, i in ((model.titles, "title_name", "title_id"), (model.regions, "region_name", "region_id"))]
+
+    titles, regions = build_with(["M", "P", "B"])
+    assert titles == {"B": 1, "M": 2, "P": 3} and regions == {"B": 1, "Global": 2, "M": 3, "P": 4}
+    titles, regions = build_with(["A", "P", "N", "B"])  # two are new, one is gone
+    assert titles == {"B": 1, "P": 3, "A": 4, "N": 5} and regions == {"B": 1, "Global": 2, "P": 4, "A": 5, "N": 6}
+    assert build_with(["M", "A", "Z"])[0] == {"M": 2, "A": 4, "Z": 6}  # one comes back
+    assert build_with(["M", "A", "Z"])[0] == {"M": 2, "A": 4, "Z": 6}
+
+
+def test_each_fact_is_read_once_for_orphans(smoke):
+    plan = checks.orphans(smoke.star)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 2 + 3 + 2  # the facts, and the dimensions of each
+
+
 def test_one_name_of_two_types_is_two_titles(spark):
     model = star(
         spark,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.plans import trailers
+from marquee.session import together
 from marquee.sources import videos
 from marquee.streaming.snapshots import ingest_landed
 from tests.fixtures import star, tuples
@@ -152,7 +153,7 @@ def test_landed_files_are_taken_once(spark, tmp_path):
     fetch = trailers.read_log(spark, out).filter("day(fetched_at) = 2").drop("fetch_day")
     later = fetch.withColumn("fetched_at", F.expr("fetched_at + INTERVAL 1 DAY"))
     trailers.append_snapshot(later, out)
-    trailers.append_missing(later, out)
+    trailers.append_snapshot(later, out)
     assert run() == [*both, ("v1", 8, 3), ("v2", 1, 3)]
 
 
@@ -162,3 +163,52 @@ def test_a_video_returned_twice_counts_once(spark, tmp_path):
     fetched = videos.read_video_items(spark, str(tmp_path / "response.json"), NOW)
     rows = trailers.snapshot(fetched, trailer_map(spark, tmp_path), model(spark).titles)
     assert tuples(rows, "video_id", "view_count") == [("v1", 9)]
+
+
+def test_expired_fetches_go_and_no_other_file_is_touched(spark, tmp_path):
+    out = tmp_path / "log"
+    ages = {"gone": datetime(2024, 1, 31, 9, 36), "edge": datetime(2024, 1, 31, 12), "kept": datetime(2024, 1, 31, 14, 24), "old": datetime(2023, 12, 1), "new": NOW}
+    for video, at in ages.items():
+        trailers.append_snapshot(log(spark, [(1, video, 1, None, date(2024, 1, 1), at)]), str(out))
+
+    def parts():
+        return {path: (path.stat().st_mtime_ns, path.stat().st_ino) for path in out.rglob("*.parquet")}
+
+    before = parts()
+    assert len(before) == 5
+    now = F.lit(NOW.isoformat(sep=" "))
+    assert trailers.drop_expired(spark, str(out), now) == 2
+    assert trailers.drop_expired(spark, str(out), now) == 0
+    left = parts()
+    assert len(left) == 3 and left.items() <= before.items()
+    assert sorted(tuples(trailers.read_log(spark, str(out)), "video_id")) == [("edge",), ("kept",), ("new",)]
+
+
+def test_two_writers_of_one_fetch_leave_it_once(spark, tmp_path):
+    out = str(tmp_path / "log")
+    first = log(spark, [(1, f"v{i}", i, None, date(2024, 1, 1), datetime(2024, 2, 1)) for i in range(50)])
+    later = log(spark, [(1, f"v{i}", i, None, date(2024, 1, 1), datetime(2024, 2, 2)) for i in range(50)])
+    trailers.append_snapshot(first, out)
+    for _ in range(3):
+        together(lambda: trailers.append_snapshot(later, out), lambda: trailers.append_snapshot(later.repartition(3), out))
+        rows = tuples(trailers.read_log(spark, out), "video_id", "fetched_at")
+        assert len(rows) == len(set(rows)) == 100
+
+
+def test_parts_of_a_fetch_come_together(spark, tmp_path):
+    """A second file of a fetch adds its videos; of a video in both the most views count."""
+    out, at = str(tmp_path / "log"), datetime(2024, 2, 1)
+    trailers.append_snapshot(log(spark, [(1, "a", 5, None, None, at), (1, "b", 7, 2, None, at)]), out)
+    trailers.append_snapshot(log(spark, [(1, "b", 9, 1, None, at), (1, "c", 1, None, None, at)]), out)
+    assert sorted(tuples(trailers.read_log(spark, out), "video_id", "view_count", "like_count")) == [("a", 5, None), ("b", 9, 1), ("c", 1, None)]
+
+
+def test_lines_that_do_not_parse_are_kept_apart(spark, tmp_path):
+    landed, out, lost = tmp_path / "landed", str(tmp_path / "log"), str(tmp_path / "lost")
+    landed.mkdir()
+    line = json.dumps({"items": [item("v1", 5)], "fetched_at": "2024-02-01 06:00:00"})
+    (landed / "a.json").write_text(f"{line}\n{line[:40]}\n")
+    ingest_landed(spark, str(landed), out, trailer_map(spark, tmp_path), model(spark).titles, str(tmp_path / "taken"), lost).awaitTermination()
+    assert tuples(trailers.read_log(spark, out), "video_id", "view_count") == [("v1", 5)]
+    (row,) = spark.read.json(lost).collect()
+    assert row.record == line[:40] and row.file.endswith("landed/a.json")
