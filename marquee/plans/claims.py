@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import text
 from marquee.functions.numbers import in_millions
-from marquee.operators import movement
+from marquee.operators import carried, movement
 from marquee.plans.kpis import countries
 
 TITLE = ["title_name", "content_type"]
@@ -107,6 +107,17 @@ def movement_states(
     )
 
 
+def carried_states(week: DataFrame, state: DataFrame, regions: DataFrame, titles: DataFrame) -> DataFrame:
+    """:func:`movement_states` of one week from the state of the weeks before it."""
+    moved = carried.with_carried(week, state)
+    return (
+        _named(moved, regions, titles)
+        .groupBy("content_type", movement.state().alias("state"))
+        .agg(F.count(F.lit(1)).alias("chart_rows"))
+        .orderBy("content_type", "state")
+    )
+
+
 def market_reach(weekly: DataFrame, regions: DataFrame, titles: DataFrame) -> DataFrame:
     """Number of country charts holding a title in each week."""
     return (

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import text
-from marquee.plans import trailers
+from marquee.operators import carried, movement
+from marquee.plans import rollup, trailers
 from marquee.plans.star import build_star, write_table
 from marquee.session import shared_dir, together
 from marquee.sources import charts, files, landing, reports, shop, videos
@@ -115,6 +116,21 @@ class Warehouse:
         stream.awaitTermination()
         return trailers.read_log(self.spark, log)
 
+    @cached_property
+    def last_seen(self) -> DataFrame:
+        """Movement state behind all weeks but the newest."""
+        weekly = self.star.weekly
+        older = weekly.filter(F.col("date_key") < movement.latest_week(weekly))
+        return self._staged(carried.last_seen(older), "last_seen")
+
+    @cached_property
+    def half_rollup(self) -> DataFrame:
+        return self._staged(rollup.half_rollup(self.star.half), "half_rollup")
+
+    @cached_property
+    def chart_rollup(self) -> DataFrame:
+        return self._staged(rollup.chart_rollup(self.star.weekly), "chart_rollup")
+
     def close(self) -> None:
         """Delete everything this build wrote; its frames must not be used any more."""
         files.remove(self.spark, self.folder)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions import text
-from marquee.operators import checks
-from marquee.plans import claims, kpis, scalars, trailers
+from marquee.operators import checks, movement
+from marquee.plans import claims, kpis, rollup, scalars, trailers
 from marquee.plans.report import as_report
 from marquee.plans.warehouse import Warehouse, warehouse
 from marquee.sources import charts, records, reports, shop, videos
@@ -116,6 +116,13 @@ WAREHOUSE_QUESTIONS: dict[str, Callable[[Warehouse, Parameters], DataFrame]] = {
     "v11_premiere_lift": lambda w, p: claims.premiere_lift(
         w.star.weekly, w.star.regions, w.star.titles, w.shows
     ),
+    # The same answers without the history or the facts: from carried state and from roll-ups
+    "v12_movement_carried": lambda w, p: claims.carried_states(
+        movement.in_week(w.star.weekly, movement.latest_week(w.star.weekly)), w.last_seen, w.star.regions, w.star.titles
+    ),
+    "k00_topline_rollup": lambda w, p: rollup.topline(w.half_rollup),
+    "k06_stickiness_rollup": lambda w, p: rollup.stickiness(w.chart_rollup, w.star.regions, kpis.REPORT_ROWS),
+    "p04_sliced_rollup": lambda w, p: rollup.sliced_topline(w.half_rollup, w.chart_rollup, w.star.regions, **p.slicers),
     "b06_trailer_snapshot": lambda w, p: _columns(w.trailers, schemas.FACT_TRAILER),
     "b07_latest_snapshot": lambda w, p: _columns(
         trailers.latest_snapshot(w.trailers), schemas.FACT_TRAILER

@@ -22,3 +22,17 @@ def make(spark: SparkSession, path: str) -> None:
 def remove_uri(spark: SparkSession, uri: str) -> None:
     """:func:`remove` of a folder named as file sources name it, with escapes."""
     remove(spark, spark.sparkContext._jvm.java.net.URI.create(uri))
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    context = spark.sparkContext
+    located = context._jvm.org.apache.hadoop.fs.Path(path)
+    found = located.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(located)
+    return [status.getPath().getName() for status in found]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    located = context._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(context._jsc.hadoopConfiguration()).exists(located)

@@ -223,7 +223,21 @@ TRAILER_COLUMNS = (
 PLAIN_RUNTIME = "(CAST(p_size // 10 AS VARCHAR) || ':' || lpad(CAST(p_size % 10 * 6 AS VARCHAR), 2, '0'))"
 
 
+# Queries that answer a question of another name from other tables.
+SAME_ANSWER = {
+    "k00_topline_rollup": "k00_topline",
+    "k06_stickiness_rollup": "k06_stickiness_top",
+    "p04_sliced_rollup": "p04_sliced_topline",
+    "v12_movement_carried": "v10_movement_states",
+}
+
+
 def all_oracles() -> dict[str, str]:
+    own = _own_oracles()
+    return {**own, **{name: own[other] for name, other in SAME_ANSWER.items()}}
+
+
+def _own_oracles() -> dict[str, str]:
     return {
         "k00_topline": MODEL + f"""
 SELECT period_label, COUNT(DISTINCT title_id) AS titles_tracked,
