@@ -16,6 +16,8 @@ from marquee.session import shared_dir
 
 # Bytes of text that a task turns into arrays at once.
 TEXT_STEP = 4 << 20
+# Rows of a step, whatever a session's batches hold.
+STEP_ROWS = 1 << 15
 # Bytes of rows that go to a Python worker at once, where the session sets no lower bound.
 BATCH_BYTES = 16 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -120,12 +122,13 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def text_steps(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = TEXT_STEP
 ) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``limit`` bytes of text, or of one row."""
+    """The batches in slices of at most ``limit`` bytes of text and ``STEP_ROWS`` rows, or of one row."""
     for batch in batches:
         _, bounds = text_buffer(batch.column(column))
         low = 0
         while low < batch.num_rows:
             high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + limit, "right")) - 1)
+            high = min(high, low + STEP_ROWS)
             yield batch.slice(low, high - low)
             low = high
 

@@ -8,7 +8,7 @@ hash of suffix and prefix blocks picks the test strings that may end there, and
 their bytes are compared with the text's. All places of a batch of documents are searched side by side.
 
 The items are a stated query set. They are taken in blocks of about ``block_bytes`` of text,
-each small enough for the driver and a broadcast; every block searches all documents.
+each small enough for the driver and a broadcast; every block searches all documents, and its hits are written before the next block is read.
 
 Rows: null and empty texts have no words, null or empty items no test strings; items without an
 id mark words but are not listed; repeated items count once; repeated documents are judged each.
@@ -26,13 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import doc_rows, text_steps
+from marquee.llm.common import doc_key, doc_rows, text_steps, unused, written
 from marquee.llm.words import LETTERS, Words, chain, gram_hashes, split_words, word_hashes
 
 WINDOW = 10
 BLOCK_WORDS = 2
 BLOCK_BYTES = 8 << 20
-_FOUND = "n_words long, spans array<struct<begin:int,end:int>>, items array<string>"
+_KEYS = ["doc_id", "doc_key", "text_key"]
+_HITS = "doc_key long, text_key int, spans array<struct<begin:int,end:int>>, items array<string>"
 
 
 class Length:
@@ -136,6 +137,36 @@ def _span_array(spans: list[list[tuple[int, int]]]) -> pa.Array:
     return pa.array(rows, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))
 
 
+def hits(
+    rows: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``doc_key, text_key, spans, items`` of the rows ``doc_key, text_key, text`` in which test strings stand, for each block that finds some.
+
+    The hits of a block are written, and its tables given up, before the next one is read.
+    """
+    context, found = rows.sparkSession.sparkContext, []
+    for patterns in pattern_blocks(items, window, item_col, item_text_col, block_bytes):
+        shared = context.broadcast(patterns)
+        del patterns
+
+        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in text_steps(batches):
+                _, spans, names = shared.value.search(batch.column("text"))
+                some = [i for i, own in enumerate(spans) if own]
+                keys = batch.select(["doc_key", "text_key"]).take(pa.array(some, pa.int64()))
+                columns = [*keys.columns, _span_array([spans[i] for i in some]), pa.array([names[i] for i in some], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_key", "text_key", "spans", "items"])
+
+        found.append(written(rows.select("doc_key", "text_key", "text").mapInArrow(run, _HITS), "hits"))
+        shared.destroy()
+    return functools.reduce(DataFrame.union, found)
+
+
 def find(
     docs: DataFrame,
     items: DataFrame,
@@ -146,35 +177,22 @@ def find(
     item_text_col: str = "text",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``doc_id, n_words, spans, items`` of every document: spans of hit words, and ids of the items found, sorted as strings."""
+    """``doc_id, n_words, spans, items`` of every document: spans of hit words, which of several blocks may overlap, and ids of the items found, sorted as strings."""
     rows = doc_rows(docs, id_col, text_col)
-    context = docs.sparkSession.sparkContext
 
-    def scan(patterns: Patterns, keys: list[str], schema: str) -> DataFrame:
-        shared = context.broadcast(patterns)
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_steps(batches):
+            n = np.diff(split_words(batch.column("text"), LETTERS, lower=True).first)
+            yield pa.RecordBatch.from_arrays([*batch.select(_KEYS).columns, pa.array(n, pa.int64())], [*_KEYS, "n_words"])
 
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in text_steps(batches):
-                n, spans, found = shared.value.search(batch.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in keys), pa.array(n, pa.int64()), _span_array(spans), pa.array(found, pa.list_(pa.string()))],
-                    [*keys, "n_words", "spans", "items"],
-                )
-
-        return rows.select(*keys, "text").mapInArrow(run, schema + _FOUND)
-
-    blocks = list(pattern_blocks(items, window, item_col, item_text_col, block_bytes))
-    if len(blocks) == 1:
-        return scan(blocks[0], ["doc_id"], "doc_id long, ")
-    keys = ["doc_id", "doc_key", "text_key"]
-    found = functools.reduce(DataFrame.union, (scan(b, keys, "doc_id long, doc_key long, text_key int, ") for b in blocks))
-    together = found.groupBy(*keys).agg(
-        F.first("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        (F.count("*") / len(blocks)).cast("int").alias("copies"),
+    counted = rows.mapInArrow(count, "doc_id long, doc_key long, text_key int, n_words long")
+    # Repeated rows bring equal hits, which count once.
+    of_text = hits(rows, items, window, item_col, item_text_col, block_bytes).groupBy("doc_key", "text_key").agg(
+        F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
-    return together.select("doc_id", "n_words", "spans", "items", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("col")
+    none = [F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("spans", "array<struct<begin:int,end:int>>"), ("items", "array<string>"))]
+    return counted.join(of_text, ["doc_key", "text_key"], "left").select("doc_id", "n_words", *none)
 
 
 def hit_words(spans: str) -> Column:
@@ -198,14 +216,7 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents, all their columns, in which no test string stands."""
-    context, schema = docs.sparkSession.sparkContext, docs.schema
-    for patterns in pattern_blocks(benchmark, window, "item_id", "text", block_bytes):
-        shared = context.broadcast(patterns)
-
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in text_steps(batches):
-                spans = shared.value.search(batch.column("text"))[1]
-                yield batch.filter(pa.array([not some for some in spans]))
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
+    key, text = unused(docs, "doc_key"), unused(docs, "text_key")
+    found = hits(doc_rows(docs), benchmark, window, block_bytes=block_bytes).select("doc_key", "text_key").distinct()
+    keyed = docs.withColumns({key: doc_key(), text: F.hash("text")})
+    return keyed.join(found.toDF(key, text), [key, text], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

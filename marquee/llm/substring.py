@@ -39,6 +39,8 @@ GRAM = 3
 LONGEST = 64
 # Buckets for each shuffle partition, at least: a task works on one bucket at a time.
 BUCKETS_A_TASK = 8
+# Bytes of packed strings a task, about, where that asks for more tasks than there are shuffle partitions.
+TASK_BYTES = 64 << 20
 BUCKET_BYTES = 8 << 20
 CELLS = 1 << 16
 # Marks that leave a bucket at once.
@@ -215,9 +217,7 @@ def _blocks(batch: pa.RecordBatch, base: np.ndarray, parts: np.ndarray, window:
         some = by_bucket[a:b]
         sent, settled = some[first[some]], some[~first[some]]
         docs, at = np.unique(row[some], return_inverse=True)
-        at = at.astype("<u2") if len(docs) < 1 << 16 else None
-        if at is None:
-            raise ValueError("more than 65,535 documents in a batch")
+        at = at.astype("<u2")  # a step holds fewer rows than two bytes count
         is_sent = first[some]
         arrays = [doc[docs].astype("<i8"), s.text_key[docs].astype("<i4"), at[is_sent], offset[sent], count[sent].astype("u1"), at[~is_sent], offset[settled], count[settled].astype("u1")]
         yield int(bucket[some[0]]), _pack(arrays, _BETWEEN.join([s.raw[i:j] for i, j in zip(low[sent].tolist(), high[sent].tolist())]))
@@ -303,6 +303,7 @@ def repeated_spans(
     sizes, apart = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
     for cell, size, single in measured.collect():  # at most one row for each cell
         sizes[cell], apart[cell] = size, single
+    tasks = max(tasks, -(-int(sizes.sum()) // TASK_BYTES))
     base, parts = bucket_plan(sizes, apart, tasks * BUCKETS_A_TASK)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +357,7 @@ def dedupe(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str
     spans = (
         repeated_spans(docs, window, gram, id_col, text_col)
         .groupBy("doc_key", "text_key")
-        .agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+        .agg(F.collect_set(F.struct("begin", "end")).alias("spans"))  # repeated rows bring the same spans
     )
     rows = doc_rows(docs, id_col, text_col).join(spans, ["doc_key", "text_key"], "left").select("doc_id", "text", "spans")
 

@@ -71,3 +71,12 @@ def test_no_bucket_is_planned_over_the_size():
     sizes = np.array([substring.BUCKET_BYTES // 3] * 10 + [substring.BUCKET_BYTES * 5, 1])
     base, parts = substring.bucket_plan(sizes, sizes * 2, 2)
     assert base.tolist() == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3, 4, 14] and parts.tolist() == [1] * 10 + [10, 1]
+
+
+def test_many_short_documents_in_one_batch(spark, set_conf):
+    """More documents than two bytes count, in batches without a limit of rows."""
+    set_conf("spark.sql.execution.arrow.maxRecordsPerBatch", "0")
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), lambda i: F.concat(F.lit("a"), F.col("id") % 35_000, F.lit("x"), i)), " ")
+    docs = spark.range(0, 70_000, numPartitions=1).select(F.col("id").alias("doc_id"), words.alias("text"))
+    got = substring.digest(docs).groupBy((F.col("doc_id") < 35_000).alias("first")).agg(F.sum("n_removed").alias("n"), F.count("*").alias("docs"))
+    assert {(r.first, r.n, r.docs) for r in got.collect()} == {(True, 0, 35_000), (False, 700_000, 35_000)}
