@@ -18,7 +18,7 @@ scanned each; null ids stay null. Without findings of both labels no forest is g
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -178,9 +178,27 @@ def scan(
 
     ``labelled``: ``core, label`` of reviewed findings; by format where it is not given.
     """
+    findings = labelled_findings(docs, labelled, id_col, text_col, path_col, digitless_keys)
+    model = fit(findings)
+    if model is None:
+        scored = findings.withColumn("score", F.lit(None).cast("double"))
+    else:
+        scored = score(model, findings)
+    is_secret = F.coalesce(F.col("label") == 1, F.col("score") >= 0.5, F.lit(True))
+    return scored.select("doc_id", "position", "part", "core", "score", is_secret.alias("is_secret"))
+
+
+def labelled_findings(
+    docs: DataFrame,
+    labelled: DataFrame | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    path_col: str = "source",
+    digitless_keys: bool = False,
+) -> DataFrame:
+    """Every candidate with its features and, where it is known, its ``label``."""
     found = written(candidates(docs, id_col, text_col, path_col, digitless_keys), "candidates")
     cover = covered(found.select("core").distinct(), dictionary(docs, text_col))
-    names = list(features())
     # the shape features keep their names apart from the columns they are made of
     measured = found.join(cover, "core", "left").select("doc_id", "position", "part", "lead", "core", *(c.alias(n) for n, c in features().items()))
     if labelled is None:
@@ -188,19 +206,48 @@ def scan(
     else:
         known = labelled.groupBy("core").agg(F.max("label").cast("double").alias("label"))
         with_label = measured.join(known, "core", "left")
-    with_label = written(with_label, "findings")
-    vectors = VectorAssembler(inputCols=names, outputCol="features")
+    return written(with_label, "findings")
+
+
+def fit(findings: DataFrame) -> RandomForestClassificationModel | None:
+    """The forest of at most ``TRAIN_ROWS`` different labelled findings, the first by hash; none without both labels."""
+    names = list(features())
     order = [F.xxhash64("core", *names), *(F.col(n) for n in ["core", *names])]
-    known = with_label.where("label is not null").select("core", "label", *names).distinct().orderBy(*order).limit(TRAIN_ROWS)
+    known = findings.where("label is not null").select("core", "label", *names).distinct().orderBy(*order).limit(TRAIN_ROWS)
     known = written(known, "training")
     if known.select("label").distinct().count() < 2:
-        scored = with_label.withColumn("score", F.lit(None).cast("double"))
-    else:
-        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features")
-        model = forest.fit(vectors.transform(known.coalesce(1)))
-        scored = model.transform(vectors.transform(with_label)).withColumn("score", F.round(vector_to_array("probability")[1], 6))
-    is_secret = F.coalesce(F.col("label") == 1, F.col("score") >= 0.5, F.lit(True))
-    return scored.select("doc_id", "position", "part", "core", "score", is_secret.alias("is_secret"))
+        return None
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features")
+    return forest.fit(_vectors().transform(known.coalesce(1)))
+
+
+def score(model: RandomForestClassificationModel, findings: DataFrame) -> DataFrame:
+    """The findings with the forest's ``score``."""
+    return model.transform(_vectors().transform(findings)).withColumn("score", F.round(vector_to_array("probability")[1], 6))
+
+
+def _vectors() -> VectorAssembler:
+    return VectorAssembler(inputCols=list(features()), outputCol="features")
+
+
+def held_out(findings: DataFrame, parts: int = 5) -> DataFrame:
+    """``n, secrets, precision, recall`` of the forest on labelled findings it has not seen: one part of them by hash of the finding.
+
+    What equals a finding lies in its part, so nothing is known from another place.
+    """
+    apart = F.pmod(F.xxhash64("core", F.lit("held out")), F.lit(parts)) == 0
+    model = fit(findings.where(~apart))
+    if model is None:
+        raise ValueError("labels of one kind only")
+    asked = score(model, findings.where(apart & F.col("label").isNotNull()))
+    says, is_so = F.col("score") >= 0.5, F.col("label") == 1
+    both = F.count_if(says & is_so)
+    return asked.agg(
+        F.count("*").alias("n"),
+        F.count_if(is_so).alias("secrets"),
+        F.try_divide(both, F.count_if(says)).alias("precision"),
+        F.try_divide(both, F.count_if(is_so)).alias("recall"),
+    )
 
 
 def digest(docs: DataFrame, digitless_keys: bool = False) -> DataFrame:

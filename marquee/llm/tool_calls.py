@@ -1,10 +1,11 @@
 """Tool-call linking: results joined to calls by identifier, calls ordered, arguments validated.
 
-A call has an id within its conversation, a tool, JSON arguments, and may build on one
-earlier call, ``after``. Results are joined by (conversation, id). Of several calls or results of one id
+A call has an id within its conversation, a tool, JSON arguments, and may build on
+other calls, ``after``: one id, or an array of them. Results are hash-joined by (conversation, id). Of several calls or results of one id
 the first by turn are linked; the others are rows of their own content, with their rank within the id.
-The order is topological: a call's depth is the number of calls it builds on, one on another, found
-by pointer doubling, so a chain of n calls takes log2(n) rounds however long the conversation is.
+The order is topological: a call's depth is the number of calls on the longest way it builds on, one on another. Calls that build on one
+other find the nearest call that builds on none or on several by pointer doubling, so a chain of n calls takes log2(n) rounds however long the conversation is;
+calls that build on several are then settled in rounds, as many as such calls follow one another.
 Positions within a conversation come from a range-partitioned numbering, so one
 conversation may hold any share of all calls. Each call is one row of canonical JSON: keys sorted, no
 white space, no escapes beyond those JSON asks for.
@@ -77,11 +78,12 @@ def _whole(digits: str) -> int:
     return int(digits)
 
 
-def _double(digits: str) -> float:
+def _double(digits: str) -> float | int:
     value = float(digits)
     if math.isinf(value):
         raise Refused("number out of range")
-    return value
+    # 1.0 and 1 are one number, to the schema too
+    return int(value) if value.is_integer() and abs(value) <= 2**53 else value
 
 
 def _object(pairs: list[tuple[str, Any]]) -> dict[str, Any]:
@@ -148,29 +150,61 @@ def violations(value: Any, schema: Schema, at: str = "$") -> list[str]:
 
 
 def depths(nodes: DataFrame) -> DataFrame:
-    """``conv_id, call_id, depth, missing`` of ``conv_id, call_id, after``; depth is null on and behind a cycle, ``missing`` says that ``after`` is not there."""
+    """``conv_id, call_id, depth, missing`` of ``conv_id, call_id, after`` (an array); depth is null on and behind a cycle, ``missing`` says that a call of ``after`` is not there."""
     target = [F.col("conv_id").alias("t_conv"), F.col("call_id").alias("t_call")]
+    edges = nodes.select(*KEYS, F.explode(F.array_distinct(F.array_compact("after"))).alias("to"))
     there = nodes.select(*target)
-    linked = nodes.join(there, (F.col("conv_id") == F.col("t_conv")) & (F.col("after") == F.col("t_call")), "left")
-    known = F.col("t_call").isNotNull()
-    state = written(
-        linked.select(
-            *KEYS,
-            F.when(known, F.col("after")).alias("to"),
-            F.when(known, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("depth"),
-            (F.col("after").isNotNull() & ~known).alias("missing"),
-        ),
-        "depths",
+    found = edges.join(there, (F.col("conv_id") == F.col("t_conv")) & (F.col("to") == F.col("t_call")), "left")
+    found = written(found.select(*KEYS, "to", F.col("t_call").isNotNull().alias("known")), "edges")
+    of_call = found.groupBy(*KEYS).agg(F.count_if("known").alias("n"), F.max(F.when(F.col("known"), F.col("to"))).alias("to"), F.max(~F.col("known")).alias("missing"))
+    state = nodes.select(*KEYS).join(of_call, KEYS, "left").select(
+        *KEYS, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("missing", F.lit(False)).alias("missing"), "to"
+    )
+    state = written(state, "degrees")
+    anchors = _anchors(state)
+    several = state.where("n > 1").select(*KEYS)
+    ways = found.where("known").join(several, KEYS).select(*KEYS, F.col("to").alias("p_call")).join(
+        anchors.select(F.col("conv_id"), F.col("call_id").alias("p_call"), "anchor", "steps"), ["conv_id", "p_call"]
     )
-    rounds = math.ceil(math.log2(state.count() + 2)) + 1
-    for _ in range(rounds):
-        if state.where("to is not null").isEmpty():
-            return state.drop("to")
-        ahead = state.select(*target, F.col("to").alias("t_to"), F.col("depth").alias("t_depth"))
-        both = state.join(ahead, (F.col("conv_id") == F.col("t_conv")) & (F.col("to") == F.col("t_call")), "left")
-        depth = F.when(F.col("to").isNull(), F.col("depth")).otherwise(F.col("depth") + F.col("t_depth"))
-        state = written(both.select(*KEYS, F.col("t_to").alias("to"), depth.alias("depth"), "missing"), "depths")
-    return state.withColumn("depth", F.when(F.col("to").isNull(), F.col("depth"))).drop("to")
+    ways = written(ways.select(*KEYS, "anchor", (F.col("steps") + 1).alias("steps")), "ways")
+    settled = written(state.where("n = 0").select(*KEYS, F.lit(0).cast("long").alias("depth")), "settled")
+    left = state.where("n > 1").count()
+    while left:
+        known = settled.select("conv_id", F.col("call_id").alias("anchor"), F.col("depth").alias("up"))
+        open_ways = ways.join(settled.select(*KEYS), KEYS, "left_anti").join(known, ["conv_id", "anchor"], "left")
+        ready = open_ways.groupBy(*KEYS).agg(F.max(F.col("up") + F.col("steps")).alias("depth"), F.count_if(F.col("up").isNull()).alias("waiting"))
+        more = written(ready.where("waiting = 0").select(*KEYS, "depth"), "settled")
+        if more.isEmpty():
+            break
+        settled = written(settled.union(more), "settled")
+        left -= more.count()
+    up = settled.select("conv_id", F.col("call_id").alias("anchor"), F.col("depth").alias("up"))
+    depth = anchors.join(up, ["conv_id", "anchor"], "left").select(*KEYS, (F.col("up") + F.col("steps")).alias("depth"))
+    return state.select(*KEYS, "missing").join(depth, KEYS, "left").select(*KEYS, "depth", "missing")
+
+
+def _anchors(state: DataFrame) -> DataFrame:
+    """``anchor, steps`` of each call: the nearest call, itself or on its way, that does not build on exactly one, and how far it is; null where a cycle comes first."""
+    one = F.col("n") == 1
+    chain = written(state.select(*KEYS, F.when(one, F.col("to")).alias("to"), F.when(one, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("steps")), "chains")
+    chain = chain.withColumn("anchor", F.coalesce("to", "call_id"))
+    for _ in range(math.ceil(math.log2(chain.count() + 2)) + 1):
+        if chain.where("to is not null").isEmpty():
+            break
+        ahead = chain.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("t_to"), F.col("steps").alias("t_steps"), F.col("anchor").alias("t_anchor"))
+        both = chain.join(ahead, ["conv_id", "to"], "left")
+        moved = F.col("to").isNotNull()
+        chain = written(
+            both.select(
+                *KEYS,
+                F.col("t_to").alias("to"),
+                F.when(moved, F.col("steps") + F.col("t_steps")).otherwise(F.col("steps")).alias("steps"),
+                F.when(moved, F.col("t_anchor")).otherwise(F.col("anchor")).alias("anchor"),
+            ),
+            "chains",
+        )
+    # what still points on after so many rounds is on or behind a cycle
+    return chain.select(*KEYS, F.when(F.col("to").isNull(), F.col("anchor")).alias("anchor"), "steps")
 
 
 def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -186,14 +220,16 @@ def link_all(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -
 
     ``calls``: conv_id, call_id, turn, name, arguments, after. ``results``: conv_id, call_id, turn, content.
     """
-    calls = calls.select("conv_id", "call_id", "turn", "name", "arguments", "after")
+    listed = calls.schema["after"].dataType.typeName() == "array"
+    after = F.col("after") if listed else F.when(F.col("after").isNotNull(), F.array("after"))
+    calls = calls.select("conv_id", "call_id", "turn", "name", "arguments", after.alias("after"))
     results = results.select("conv_id", "call_id", "turn", F.col("content").alias("result"))
     has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     called = _ranked(calls.where(has_id), ["turn", "arguments", "name", "after"]).withColumnRenamed("n", "n_calls")
     own = called.where("rank = 1")
     answered = _ranked(results.where(has_id), ["turn", "result"]).withColumnRenamed("n", "n_results")
     answers = answered.where("rank = 1").select(*KEYS, "result", "n_results", F.col("turn").alias("result_turn"))
-    joined = own.drop("rank").join(answers, KEYS, "full").join(depths(own.select(*KEYS, "after")), KEYS, "left")
+    joined = own.drop("rank").join(answers.hint("shuffle_hash"), KEYS, "full").join(depths(own.select(*KEYS, "after")), KEYS, "left")
     joined = written(joined.withColumn("turn", F.when(F.col("n_calls").isNull(), F.col("result_turn")).otherwise(F.col("turn"))).drop("result_turn"), "linked")
     behind = F.coalesce("depth", F.lit(2**62)).alias("depth")  # calls of a cycle come last
     placed = joined.where("n_calls is not null").select("conv_id", behind, "turn", "call_id")
@@ -211,7 +247,7 @@ def link_all(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -
     rows = linked
     for more in (extra, further, bare, lost):
         rows = rows.unionByName(more, allowMissingColumns=True)
-    return _finished(rows, schemas)
+    return _finished(rows, schemas, listed)
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
@@ -219,13 +255,13 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema]) -> Da
     return link_all(calls, results, schemas).where("status != 'further_result'")
 
 
-def _finished(rows: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
-    """The rows judged and written as JSON; columns that they lack are null."""
+def _finished(rows: DataFrame, schemas: dict[str, Schema], listed: bool = False) -> DataFrame:
+    """The rows judged and written as JSON, ``after`` as one id or ``listed``; columns that they lack are null."""
     rows = rows.select(*(F.col(n) if n in rows.columns else F.lit(None).cast(t).alias(n) for n, t in _FIELDS.items()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([_row(r, schemas) for r in batch.to_pylist()], _ROW)
+            yield pa.RecordBatch.from_pylist([_row(r, schemas, listed) for r in batch.to_pylist()], _ROW)
 
     return rows.mapInArrow(
         run,
@@ -234,7 +270,7 @@ def _finished(rows: DataFrame, schemas: dict[str, Schema]) -> DataFrame:
 
 
 _FIELDS = {
-    "conv_id": "long", "call_id": "string", "turn": "long", "name": "string", "arguments": "string", "after": "string", "n_calls": "long",
+    "conv_id": "long", "call_id": "string", "turn": "long", "name": "string", "arguments": "string", "after": "array<string>", "n_calls": "long",
     "result": "string", "n_results": "long", "depth": "long", "missing": "boolean", "position": "long", "rank": "long", "seen": "string", "role": "string",
 }
 _ROW = pa.schema(
@@ -245,7 +281,7 @@ _ROW = pa.schema(
 )
 
 
-def _row(row: dict[str, Any], schemas: dict[str, Schema]) -> dict[str, Any]:
+def _row(row: dict[str, Any], schemas: dict[str, Schema], listed: bool) -> dict[str, Any]:
     errors: list[str] = []
     arguments = None
     is_call = row["n_calls"] is not None
@@ -269,7 +305,9 @@ def _row(row: dict[str, Any], schemas: dict[str, Schema]) -> dict[str, Any]:
         status = "invalid_arguments"
     else:
         status = "ok" if row["n_results"] else "no_result"
-    shown = {k: row[k] for k in ("conv_id", "call_id", "name", "after", "position")} | {
+    after = row["after"] if listed or not row["after"] else row["after"][0]
+    shown = {k: row[k] for k in ("conv_id", "call_id", "name", "position")} | {
+        "after": after,
         "arguments": arguments,
         "result": row["result"],
         "status": status,

@@ -164,3 +164,114 @@ def test_arguments_without_a_canonical_form(spark, text, error):
 def test_canonical_json(text, shown):
     assert tool_calls.canonical(tool_calls.parse(text)) == shown
     assert tool_calls.canonical(tool_calls.parse(shown)) == shown
+
+
+def plain_links(calls, results, schemas):
+    """Status, errors, depth, position and JSON of every row, from the definitions; ``after`` is a list of ids or null."""
+    from collections import defaultdict
+
+    by_id, answers = defaultdict(list), defaultdict(list)
+    for call in calls:
+        by_id[call[:2]].append(call)
+    for result in results:
+        answers[result[:2]].append(result)
+    low = lambda v: (v is not None, v)  # noqa: E731 - nulls first
+    first, out = {}, []
+    for key, own in by_id.items():
+        if None not in key:
+            own.sort(key=lambda c: (low(c[2]), low(c[4]), low(c[3]), (c[5] is not None, [low(a) for a in c[5] or []])))
+            first[key] = own[0]
+
+    def preds(key):
+        return {(key[0], a) for a in first[key][5] or [] if a is not None}
+
+    depth = {}
+    while True:  # what can be settled, until nothing is
+        more = {k for k in first if k not in depth and all(p in depth or p not in first for p in preds(k))}
+        if not more:
+            break
+        for k in more:
+            depth[k] = max((depth[p] + 1 for p in preds(k) if p in first), default=0)
+    place = {}
+    for conv in {c for c, _ in first}:
+        mine = sorted((k for k in first if k[0] == conv), key=lambda k: (depth.get(k, 2**62), low(first[k][2]), k[1]))
+        place.update({k: i for i, k in enumerate(mine)})
+
+    def judged(call):
+        try:
+            value = tool_calls.parse(call[4] or "")
+        except tool_calls.Refused as why:
+            return None, [f"$: {why}"]
+        return value, ["$: no such tool"] if call[3] not in schemas else tool_calls.violations(value, schemas[call[3]])
+
+    def row(key, turn, name, after, arguments, result, status, errors, at, deep, rank, n):
+        shown = {"conv_id": key[0], "call_id": key[1], "name": name, "after": after, "position": at, "arguments": arguments, "result": result, "status": status}
+        out.append((key[0], key[1], turn, name, at, deep, rank, n, status, errors, json.dumps(shown, sort_keys=True, separators=(",", ":"), ensure_ascii=False)))
+
+    for key, own in by_id.items():
+        for rank, call in enumerate(own, 1):
+            value, errors = judged(call)
+            args = (key, call[2], call[3], call[5], value)
+            if None in key:
+                row(*args, None, "no_id", errors, None, None, None, 0)
+            elif rank > 1:
+                row(*args, None, "duplicate_call", errors, None, None, rank, 0)
+            else:
+                found = sorted(answers.get(key, []), key=lambda r: (low(r[2]), low(r[3])))
+                gone = any(p not in first for p in preds(key))
+                status = "cyclic" if key not in depth else "dangling" if gone else "invalid_arguments" if errors else "ok" if found else "no_result"
+                row(*args, found[0][3] if found else None, status, errors, place[key], depth.get(key), 1, len(found))
+    for key, own in answers.items():
+        own = sorted(own, key=lambda r: (low(r[2]), low(r[3])))
+        for rank, result in enumerate(own, 1):
+            if None in key:
+                row(key, result[2], None, None, None, result[3], "orphan_result", [], None, None, None, 0)
+            elif key not in first:
+                row(key, result[2], None, None, None, result[3], "orphan_result", [], None, None, rank, len(own))
+            elif rank > 1:
+                row(key, result[2], None, None, None, result[3], "further_result", [], None, None, rank, len(own))
+    return out
+
+
+def graph(seed, n, convs):
+    """Calls that build on up to three others, some of them later, missing, repeated or themselves."""
+    import random
+
+    pick = random.Random(seed)
+    calls, results = [], []
+    for i in range(n):
+        conv, name = pick.randrange(convs), f"c{pick.randrange(n // convs)}"
+        after = [f"c{max(0, int(name[1:]) - pick.randint(1, 6))}" for _ in range(pick.choice([0, 1, 1, 1, 2, 3]))]
+        if pick.random() < 0.04:
+            after += [pick.choice(["gone", name, f"c{int(name[1:]) + 2}", None])]
+        text = pick.choice(['{"x": 1}', '{"x" :2.0}', '{"x": "1"}', "{", None, '{"x": 1, "x": 2}', '{"x": 3, "y": 1e999}'])
+        calls.append((conv, name if pick.random() > 0.01 else None, pick.choice([i, i, None]), pick.choice(["f", "f", "g"]), text, pick.choice([after, after, None]) if not after else after))
+        if pick.random() < 0.6:
+            results.append((conv, pick.choice([name, name, f"z{i % 5}", None]), i + 1, pick.choice([f"r {i}", None])))
+    return calls, results
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_column_equals_the_plain_version(spark, seed):
+    calls, results = graph(seed, 160, 4)
+    listed = CALL.replace("after string", "after array<string>")
+    got = tool_calls.link_all(spark.createDataFrame(calls, listed), spark.createDataFrame(results, RESULT), SCHEMAS).collect()
+    want = plain_links(calls, results, SCHEMAS)
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert len({r.status for r in got}) >= 8 and max(r.depth or 0 for r in got) > 3
+
+
+def test_chains_between_calls_of_several(spark):
+    """A ladder: long chains that meet and part; depths are those of the longest way."""
+    calls, depth = [(1, "s0", 0, "f", '{"x": 1}', None)], {"s0": 0}
+    for k in range(4):
+        for side, length in (("a", 30 + k), ("b", 7)):
+            for i in range(length):
+                above = f"{side}{k}x{i - 1}" if i else f"s{k}"
+                calls.append((1, f"{side}{k}x{i}", len(calls), "f", '{"x": 1}', [above]))
+                depth[f"{side}{k}x{i}"] = depth[above] + 1
+        calls.append((1, f"s{k + 1}", len(calls), "f", '{"x": 1}', [f"a{k}x{29 + k}", f"b{k}x6", f"s{k}"]))
+        depth[f"s{k + 1}"] = depth[f"a{k}x{29 + k}"] + 1
+    listed = CALL.replace("after string", "after array<string>")
+    rows = tool_calls.link(spark.createDataFrame(calls[::-1], listed), spark.createDataFrame([], RESULT), SCHEMAS).collect()
+    assert {r.call_id: r.depth for r in rows} == depth
