@@ -12,7 +12,7 @@ arrival into a random register; a register keeps the shingle that arrived first.
 shingle stops as soon as its next arrival comes later than all registers of its text are
 filled. Registers of two texts agree with probability J.
 
-Search: texts of equal words are one node (the least document id). Nodes that agree in all
+Search: texts of equal words are one node, known by the least document id. Nodes that agree in all
 registers of a band meet in its bucket. First every node is compared with the bucket's
 centre, the node whose buckets are largest, which is how the original of a group of copies stands out; then, as links make
 classes, the classes of a bucket are compared by their centres. These two steps only save work: they skip pairs whose signatures agree
@@ -30,9 +30,9 @@ copies with many edits of their own meet no other at all, however many there are
 ``SIZE_STEP``) and by whether weights differ from 1, as each gives a shorter front. With 24 bands of 4
 registers a pair at 0.8 shares a bucket with probability 1 - 3e-6; nothing else is left to chance.
 
-Rows: a null, empty or blank text has no words and is a class of its own; a text of fewer
-words than a shingle is one shingle; rows that share an id are one document, and of one class; a row
-without id is known by the hash of its text.
+Rows: a null, empty or blank text has no words and is a class of its own, one for each id; a text of fewer
+words than a shingle is one shingle; rows that agree in id and text are one document, and other texts of an id documents of
+their own; a row without id is known by the hash of its text.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_key, content, bands, signature``: a digest of the words, the band hashes, and 16 bits of each register."""
+    """``doc_key, part, content, bands, signature``: a hash of the text, a digest of the words, the band hashes, and 16 bits of each register."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):
@@ -144,15 +144,39 @@ def sketch(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, te
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_key"),
+                    batch.column("part"),
                     pa.array(content, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat),
                     pa.array([bits[i * width : (i + 1) * width] for i in range(n)], pa.binary()),
                 ],
-                ["doc_key", "content", "bands", "signature"],
+                ["doc_key", "part", "content", "bands", "signature"],
             )
 
-    schema = "doc_key long, content binary, bands array<long>, signature binary"
-    return doc_rows(docs, id_col, text_col).select("doc_key", "text").mapInArrow(run, schema)
+    schema = "doc_key long, part long, content binary, bands array<long>, signature binary"
+    return _texts(docs, id_col, text_col).mapInArrow(run, schema)
+
+
+def _part(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return doc_rows(docs, id_col, text_col).select("doc_key", _part(F.col("text")).alias("part"), "text")
+
+
+def _numbered(sketches: DataFrame) -> DataFrame:
+    """``content, node, doc_key, part, worded`` of every different text: its number, and the least row that has it.
+
+    The number is the least id. Of several texts whose least id is the same one keeps it, and the others get numbers beyond all ids.
+    A text without words is one of its own for each id.
+    """
+    content = F.coalesce("content", F.concat(F.lit("no words "), F.col("doc_key").cast("string")).cast("binary"))
+    heads = sketches.groupBy(content.alias("content"), F.col("content").isNotNull().alias("worded")).agg(F.min(F.struct("doc_key", "part")).alias("head"))
+    heads = heads.select("content", "worded", "head.*")
+    rank = F.row_number().over(Window.partitionBy("doc_key").orderBy(F.desc("worded"), "content"))
+    beyond = F.xxhash64("doc_key", "content").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    return heads.withColumn("node", F.when(rank == 1, F.col("doc_key")).otherwise(beyond))
 
 
 def weights(texts: pa.Array, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -311,37 +335,26 @@ def _joined(roots: DataFrame, pairs: DataFrame, texts: DataFrame, shingle: int,
     return roots if links.isEmpty() else components(links.union(roots.toDF("a", "b")))
 
 
-def near_duplicates(
-    docs: DataFrame,
-    threshold: float = THRESHOLD,
-    shingle: int = SHINGLE,
-    bands: int = BANDS,
-    band_rows: int = BAND_ROWS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def _classes(
+    docs: DataFrame, threshold: float, shingle: int, bands: int, band_rows: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """``doc_id, doc_key, class_id`` of every row; ``class_id`` is the least id of those linked to it, directly or in steps."""
+    """``doc_key, part, class_id, leads`` of every different row; ``leads`` marks one row of each class."""
     if bands * band_rows > REGISTERS:
         raise ValueError(f"the bands ask for more than {REGISTERS} registers")
     sketches = written(sketch(docs, shingle, bands, band_rows, id_col, text_col), "sketches")
-    worded = sketches.where("content is not null")
-    same_words = worded.groupBy("content").agg(F.min("doc_key").alias("node"))
-    member = worded.select("doc_key", "content").join(same_words, "content").select("doc_key", "node")
-    own = written(member.groupBy("doc_key").agg(F.min("node").alias("node"), F.max("node").alias("last")), "nodes")
-    several = own.where("node < last").select("doc_key", F.col("node").alias("a"))
-    same_id = member.join(several, "doc_key").select("a", F.col("node").alias("b")).where("a != b").distinct()
-
-    nodes = worded.join(same_words, "content").where("doc_key = node")
-    banded = nodes.select("node", F.explode("bands").alias("band")).distinct()
+    numbers = written(_numbered(sketches), "numbers")
+    heads = numbers.where("worded").select("node", "doc_key", "part")
+
+    banded = sketches.join(heads, ["doc_key", "part"]).select("node", F.explode("bands").alias("band")).distinct()
     crowded = _crowded(banded)
-    wanted = crowded.select("node").distinct()
-    signed = nodes.select("node", "signature").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    text = doc_rows(docs, id_col, text_col).select(F.col("doc_key").alias("node"), "text")
-    texts = written(text.join(signed, "node").distinct(), "texts")
+    wanted = heads.join(crowded.select("node").distinct(), "node", "left_semi")
+    signed = sketches.select("doc_key", "part", "signature").join(wanted, ["doc_key", "part"]).dropDuplicates(["node"])
+    texts = _texts(docs, id_col, text_col).join(signed, ["doc_key", "part"]).select("node", "text", "signature")
+    texts = written(texts.distinct(), "texts")
 
     led = crowded.join(crowded.groupBy("band").agg(_centre().alias("lead")), "band").where("node != lead")
     pairs = written(led.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "pairs")
-    roots = components(_verified(pairs, texts, shingle, threshold).union(same_id))
+    roots = components(_verified(pairs, texts, shingle, threshold))
 
     mixed = _classed(crowded, roots)
     leads = mixed.where("class != least").groupBy("band", "class").agg(_centre().alias("b"))
@@ -355,9 +368,32 @@ def near_duplicates(
     fronts = written(_fronts(each, threshold).join(mixed, "node"), "fronts")
     roots = _joined(roots, written(_met(fronts, threshold), "pairs"), texts, shingle, threshold, every=True)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc_key(id_col, text_col).alias("doc_key"))
-    class_id = F.coalesce("root", "node", "doc_key").alias("class_id")
-    return rows.join(own.select("doc_key", "node"), "doc_key", "left").join(roots, "node", "left").select("doc_id", "doc_key", class_id)
+    content = F.coalesce("content", F.concat(F.lit("no words "), F.col("doc_key").cast("string")).cast("binary"))
+    rows = sketches.select("doc_key", "part", content.alias("content")).distinct()
+    named = numbers.select("content", "node", F.col("doc_key").alias("head_key"), F.col("part").alias("head_part"))
+    class_id = F.coalesce("root", "node")
+    is_head = (F.col("doc_key") == F.col("head_key")) & (F.col("part") == F.col("head_part"))
+    return rows.join(named, "content").join(roots, "node", "left").select(
+        "doc_key", "part", class_id.alias("class_id"), (is_head & (class_id == F.col("node"))).alias("leads")
+    )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    shingle: int = SHINGLE,
+    bands: int = BANDS,
+    band_rows: int = BAND_ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, doc_key, class_id`` of every row; ``class_id`` is the least id of those linked to it, directly or in steps.
+
+    Where an id has several texts it names the class of one of them; a class that holds only others has a number beyond all ids.
+    """
+    classes = _classes(docs, threshold, shingle, bands, band_rows, id_col, text_col).select("doc_key", "part", "class_id")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), doc_key(id_col, text_col).alias("doc_key"), _part(F.col(text_col)).alias("part"))
+    return rows.join(classes, ["doc_key", "part"], "left").select("doc_id", "doc_key", "class_id")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -365,9 +401,10 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents, all their columns: of each class the one of least id, of rows that share an id one."""
-    key, rank = unused(docs, "doc_key"), unused(docs, "rank")
-    later = near_duplicates(docs).where("doc_key != class_id").select(F.col("doc_key").alias(key)).distinct()
-    one = Window.partitionBy(key).orderBy(F.xxhash64("text"))
-    kept = docs.withColumn(key, doc_key()).join(later, key, "left_anti")
+    """The documents, all their columns: of each class the one of least id, of rows that agree in id and text one."""
+    key, part, rank = (unused(docs, n) for n in ("doc_key", "part", "rank"))
+    classes = _classes(docs, THRESHOLD, SHINGLE, BANDS, BAND_ROWS, "doc_id", "text")
+    later = classes.where("not leads").select(F.col("doc_key").alias(key), F.col("part").alias(part))
+    one = Window.partitionBy(key, part).orderBy(F.lit(0))
+    kept = docs.withColumns({key: doc_key(), part: _part(F.col("text"))}).join(later, [key, part], "left_anti")
     return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -60,6 +60,25 @@ def test_null_ids(spark):
     assert len(rows) == 4 and len({r.class_id for r in rows}) == 3
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    """Both survive unless they are alike, and copies of either find it."""
+    a, b, c = numbered(1, 60), numbered(2, 60), numbered(3, 60)
+    rows = [(5, a), (5, b), (5, b), (5, None), (5, ""), (6, b), (7, changed(a, 0.005, 1)), (8, c), (8, f"  {c}"), (9, c), (9, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit("x") for n in ("part", "node", "content")})
+    found: dict[int, set] = {}
+    classes = probminhash._classes(docs, 0.8, 5, 24, 4, "doc_id", "text").join(
+        docs.select(probminhash.doc_key().alias("doc_key"), probminhash._part(F.col("text")).alias("part"), "text").distinct(), ["doc_key", "part"]
+    )
+    for r in classes.collect():
+        found.setdefault(r.class_id, set()).add((r.doc_key, (r.text or "").strip()))
+    groups = sorted(sorted(g) for g in found.values())
+    assert groups == sorted([[(5, "")], sorted([(5, a), (7, rows[6][1]), (9, a)]), sorted([(5, b), (6, b)]), sorted([(8, c), (9, c)])])
+    kept = probminhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, (r.text or "").strip()) for r in kept.collect()) == sorted([(5, ""), (5, a), (5, b), (8, c)])
+    assert probminhash.digest(docs).count() == len(rows)
+
+
 def test_no_documents(no_docs):
     assert probminhash.keep_first(no_docs).collect() == []
 
