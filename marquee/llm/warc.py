@@ -3,12 +3,12 @@
 Headers (id, length, SHA-1 of the payload) are shuffled by digest; of payloads of at least
 ``min_bytes`` that are equal, the record of the largest id is the response and the others
 are revisits of it. The archives are written by Spark's text writer with the record end
-as line separator, one gzip file per task and ``records_a_file``, so that a lost task is written
+as line separator, gzip files of so many records, fewer of long ones, so that a lost task is written
 again and only whole files are committed. Reading parses records by their stated
 lengths, never by separators in payloads, and joins revisits to the responses they name.
 
 Rows: a null payload is empty; a null url is written empty, white space and control
-characters in urls are percent-encoded; repeated rows of the response's id are responses each; a row without id is a revisit
+characters in urls are percent-encoded; repeated rows of the response's id are responses each, with record ids of their own; a row without id is a revisit
 if an equal payload has an id, else a response. Ids must be numbers.
 """
 
@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import scratch_path
+from marquee.llm.common import scratch_path, written
 
 MIN_BYTES = 1000
 RECORDS_A_FILE = 2000
+FILE_BYTES = 128 << 20
+LARGE_A_FILE = 16
 CRLF = "\r\n"
 RECORD_END = CRLF + CRLF
 VERSION = "WARC/1.1"
@@ -36,23 +38,41 @@ READ_BYTES = 1 << 20
 
 
 def resolve(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``page_id, url, payload, payload_bytes, payload_digest, original, original_url``; ``original`` is null for responses."""
+    """``page_id, url, rank, payload, payload_bytes, payload_digest, original, original_url``; ``original`` is null for responses.
+
+    ``rank`` tells rows apart that agree in id, url and payload. Only headers are shuffled to find originals and repeated rows. Both are
+    written, so their size is known when they meet the payloads: tables that can be broadcast leave the payloads where they are.
+    """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         _safe_url(F.coalesce(F.col(url_col), F.lit(""))).alias("url"),
         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"),
     ).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1(F.col("payload").cast("binary"))})
-    headers = rows.where(F.col("payload_bytes") >= min_bytes).select("payload_digest", "page_id", "url")
+    headers = written(rows.drop("payload"), "headers")
     originals = (
-        headers.groupBy("payload_digest")
+        headers.where(F.col("payload_bytes") >= min_bytes)
+        .groupBy(F.col("payload_digest").alias("key"))
         .agg(F.max(F.struct("page_id", "url")).alias("kept"), F.count("*").alias("records"))
         .where("records > 1 and kept.page_id is not null")
-        .select("payload_digest", "kept")
+        .select("key", "kept")
     )
+    originals = written(originals, "originals")
+    same = ["page_id", "url", "payload_digest"]
+    repeated = headers.groupBy(*same).agg(F.count("*").alias("copies")).where("copies > 1")
+    repeated = written(repeated.toDF(*(f"r_{c}" for c in same), "copies"), "repeated")
+    match = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in same]
+    once = rows.join(repeated, match, "left_anti").withColumn("rank", F.lit(1).cast("long"))
+    # Of rows that repeat one payload travels, and comes back as many times.
+    copies = rows.join(repeated, match, "left_semi").groupBy(*same, "payload_bytes").agg(F.first("payload").alias("payload"), F.count("*").alias("copies"))
+    each = copies.withColumn("rank", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    rows = once.unionByName(each.drop("copies"))
+    # Short payloads are never revisits; keys of their own keep equal ones from meeting in one task.
+    key = F.when(F.col("payload_bytes") >= min_bytes, F.col("payload_digest")).otherwise(F.concat(F.lit("short "), F.xxhash64("page_id", "url").cast("string")))
     is_revisit = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept.page_id"))
-    return rows.join(originals, "payload_digest", "left").select(
+    return rows.withColumn("key", key).join(originals, "key", "left").select(
         "page_id",
         "url",
+        "rank",
         "payload",
         "payload_bytes",
         "payload_digest",
@@ -68,9 +88,9 @@ def _safe_url(url: Column) -> Column:
     return url
 
 
-def _record_id(page_id: Column, digest: Column) -> Column:
+def _record_id(page_id: Column, digest: Column, url: Column, rank: Column) -> Column:
     """A fresh record id, the same whenever the task is run again."""
-    h = F.md5(F.concat_ws(" ", page_id.cast("string"), digest))
+    h = F.md5(F.concat_ws(" ", F.coalesce(page_id.cast("string"), F.lit("none")), digest, rank.cast("string"), url))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -91,12 +111,12 @@ def records(resolved: DataFrame) -> DataFrame:
     block = F.concat(http, F.when(is_revisit, F.lit("")).otherwise(F.col("payload")))
     head = _head(
         ("WARC-Type", F.when(is_revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        ("WARC-Record-ID", _record_id(F.col("page_id"), F.col("payload_digest"))),
+        ("WARC-Record-ID", _record_id(F.col("page_id"), F.col("payload_digest"), F.col("url"), F.col("rank"))),
         ("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         ("WARC-Target-URI", F.col("url")),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         ("WARC-Profile", F.when(is_revisit, F.lit(PROFILE))),
-        ("WARC-Refers-To", F.when(is_revisit, _record_id(F.col("original"), F.col("payload_digest")))),
+        ("WARC-Refers-To", F.when(is_revisit, _record_id(F.col("original"), F.col("payload_digest"), F.col("original_url"), F.lit(1)))),
         ("WARC-Refers-To-Target-URI", F.when(is_revisit, F.col("original_url"))),
         (ID_FIELD, F.col("page_id")),
         ("Content-Type", F.lit("application/http;msgtype=response")),
@@ -105,14 +125,18 @@ def records(resolved: DataFrame) -> DataFrame:
     return resolved.select(F.concat(F.lit(VERSION + CRLF), head, F.lit(CRLF), block).alias("record"))
 
 
-def write(resolved: DataFrame, path: str, records_a_file: int = RECORDS_A_FILE) -> None:
-    (
-        records(resolved)
-        .write.option("lineSep", RECORD_END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", records_a_file)
-        .text(path)
-    )
+def write(resolved: DataFrame, path: str, records_a_file: int = RECORDS_A_FILE, file_bytes: int = FILE_BYTES) -> None:
+    """Archives of ``records_a_file`` records; those that write more than their share of ``file_bytes`` go to archives of ``LARGE_A_FILE``."""
+    size = F.when(F.col("original").isNull(), F.col("payload_bytes")).otherwise(0)
+    share = file_bytes // records_a_file
+    for some, name, records_each in ((size <= share, "small", records_a_file), (size > share, "large", LARGE_A_FILE)):
+        (
+            records(resolved.where(some))
+            .write.option("lineSep", RECORD_END)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", records_each)
+            .text(f"{path}/{name}")
+        )
 
 
 class _Stream:
@@ -193,7 +217,7 @@ def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFram
                 if held:
                     yield _batch(held, kinds, names)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(rows, schema)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content").mapInArrow(rows, schema)
 
 
 def _batch(records: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:

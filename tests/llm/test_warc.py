@@ -59,7 +59,7 @@ def test_digest_of_smoke_pages(spark):
 def test_archives_hold_each_payload_once(spark, pages):
     path = scratch_path(spark, "archives")
     warc.write(warc.resolve(pages), path, records_a_file=2)
-    files = spark.read.format("binaryFile").load(path).collect()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect()
     assert len(files) >= len(PAGES) / 2
     text = b"".join(gzip.decompress(bytes(f.content)) for f in files)
     assert text.count(LONG.encode()) == 1 and text.count(b"WARC-Type: revisit") == 3
@@ -90,5 +90,34 @@ def test_null_and_repeated_ids(spark):
     ]
 
 
+def test_every_record_has_an_id_of_its_own(spark):
+    rows = [(3, "u", LONG)] * 4 + [(3, "v", LONG), (1, "u", LONG), (None, "w", OTHER), (None, "w", OTHER), (None, "x", OTHER), (4, None, None), (4, None, None), (5, "u", "s")]
+    path = scratch_path(spark, "archives")
+    warc.write(warc.resolve(spark.createDataFrame(rows, "page_id long, url string, html string")), path)
+    read = warc.read(spark, path).collect()
+    assert len(read) == len(rows) and len({r.record_id for r in read}) == len(rows)
+    responses = {r.record_id: r.page_id for r in read if r.record_type == "response"}
+    assert [responses[r.refers_to_record] for r in read if r.record_type == "revisit"] == [3]
+
+
+def test_long_pages_go_to_archives_of_few(spark):
+    pages = spark.range(100, numPartitions=1).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat("id", F.repeat(F.lit("x"), F.when(F.col("id") < 40, 5000).otherwise(50).cast("int"))).alias("html")
+    )
+    path = scratch_path(spark, "archives")
+    warc.write(warc.resolve(pages), path, records_a_file=30, file_bytes=60_000)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect()
+    counts = [gzip.decompress(bytes(f.content)).count(b"WARC/1.1") for f in files if "/large/" in f.path]
+    assert sum(counts) == 40 and max(counts) <= warc.LARGE_A_FILE
+    assert sorted(r.page_id for r in warc.read(spark, path).collect()) == list(range(100))
+
+
+def test_payloads_stay_where_they_are(spark):
+    """Originals and repeated rows are few: they are broadcast, and no exchange holds a payload."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = warc.resolve(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and "hashpartitioning(key" not in plan
+
+
 def test_no_pages(pages):
     assert warc.digest(pages.limit(0)).collect() == []
