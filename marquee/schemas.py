@@ -4,6 +4,8 @@ Text dates of the feeds become ``date``; fetch times are UTC wall-clock
 ``timestamp_ntz`` so that no session time zone can shift them.
 """
 
+# Names of the feeds' and the model's columns, all of this file.
+
 # Landed feeds ---------------------------------------------------------------
 
 GLOBAL_CHART = (
