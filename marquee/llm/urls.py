@@ -31,6 +31,10 @@ ORDER = 4
 # Characters that the uniform model below order 0 takes for possible.
 ALPHABET = 256
 START, END = "\u0002", "\u0003"
+# Characters, with what they follow, that are asked for by so many urls that they are salted.
+SHORT, SALTS = 2, 32
+# Urls that a task cuts into windows, about.
+URLS_A_TASK = 10_000
 HELD_OUT = 10
 # Scores are compared in steps of 1/SCALE, so the calibration table is bounded by the range of scores.
 SCALE = 1000
@@ -104,12 +108,19 @@ def log_ratios(counts: DataFrame, wanted: DataFrame, order: int = ORDER) -> Data
     contexts = parts.groupBy(context.alias("context")).agg(
         F.sum("a").alias("ca"), F.sum("r").alias("cr"), F.count_if(F.col("a") > 0).alias("ta"), F.count_if(F.col("r") > 0).alias("tr")
     )
+    # Every url asks for the shortest ones: they are dealt over salted copies.
+    short = F.char_length("part") <= SHORT
     asked = wanted.select("gram", F.explode(F.transform(F.sequence(F.lit(1), F.lit(order + 1)), lambda k: F.expr("gram").substr(-k, k))).alias("part"))
     zero = {c: F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("a", "r", "ca", "cr", "ta", "tr")}
+    copies = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salt = F.when(short, F.pmod(F.xxhash64("gram"), F.lit(SALTS)).cast("int")).otherwise(0)
+    parts = parts.withColumn("salt", F.explode(F.when(short, copies).otherwise(F.array(F.lit(0)))))
+    contexts = contexts.withColumn("salt", F.explode(F.when(F.char_length("context") < SHORT, copies).otherwise(F.array(F.lit(0)))))
     seen = (
-        asked.join(parts, "part", "left")
+        asked.withColumn("salt", salt)
+        .join(parts, ["part", "salt"], "left")
         .withColumn("context", context)
-        .join(contexts, "context", "left")
+        .join(contexts, ["context", "salt"], "left")
         .groupBy("gram")
         .agg(F.sort_array(F.collect_list(F.struct(F.char_length("part").alias("k"), *(c.alias(n) for n, c in zero.items())))).alias("orders"))
     )
@@ -154,7 +165,9 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id",
     rows = rows.select("page_id", "url", "host", "path", F.col("best.text").alias("rule"), F.col("best.allow").alias("allowed"))
     # different urls, each once: many pages may share one
     urls = rows.groupBy("url").agg(F.first("allowed").alias("accepted"))
-    keyed = written(urls.where("url is not null").select(_url_key().alias("url_key"), "url", "accepted"), "urls")
+    keyed = urls.where("url is not null").select(_url_key().alias("url_key"), "url", "accepted")
+    # each url becomes a row a character: by bytes alone a few tasks would read them all
+    keyed = written(keyed.repartition(-(-rows.count() // URLS_A_TASK) or 1, "url_key"), "urls")
     held_out = F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0
     labelled = keyed.where("accepted is not null")
     counted = labelled.where(~held_out)
