@@ -46,7 +46,7 @@ def test_stages_keep_the_columns_of_documents(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_gives_the_same(spark, name):
     with duckdb.connect() as db:
-        for table in ("documents", "pages", "benchmark"):
+        for table in ("documents", "pages", "benchmark", "labels", "conversations"):
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMOKE_DIR}/{table}.parquet'")
         answer = db.execute(ORACLES[name])
         columns = [c[0] for c in answer.description]
