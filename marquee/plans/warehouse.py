@@ -43,7 +43,9 @@ class Warehouse:
         self._trailers: DataFrame | None = None
 
     def _staged(self, df: DataFrame, name: str) -> DataFrame:
-        return write_table(df, f"{self.folder}/{name}")
+        """Written in the session of ``df``, read back in the warehouse's."""
+        path = f"{self.folder}/{name}"
+        return self.spark.read.schema(write_table(df, path).schema).parquet(path)
 
     @cached_property
     def viewing(self) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marquee.functions import calendar, text
+from marquee.session import sized
 
 # Fixed values ---------------------------------------------------------------
 HOURS_PER_UNIT = 10_000.0
@@ -60,7 +61,11 @@ def viewing(spark: SparkSession, sf_dir: str) -> DataFrame:
     to that before the last shuffle. No side is marked for broadcast: Catalyst
     does that under its size threshold, and beyond it the joins are sort-merge
     joins that adaptive execution splits on a hot order, customer or part.
+    The number of tasks follows the rows (:func:`sized`), so that what one
+    task sorts and aggregates does not grow with them; of many rows the frame
+    belongs to a session beside ``spark``.
     """
+    spark = sized(spark, sum(table(spark, sf_dir, name).count() for name in ("lineitem", "orders")))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day")
