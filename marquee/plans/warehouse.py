@@ -18,7 +18,7 @@ from marquee.functions import text
 from marquee.operators import carried, movement
 from marquee.plans import rollup, trailers
 from marquee.plans.star import build_star, write_table
-from marquee.session import shared_dir, together
+from marquee.session import shared_dir, sized, together
 from marquee.sources import charts, files, landing, reports, shop, videos
 from marquee.sources.tables import Star
 from marquee.streaming.snapshots import ingest_landed
@@ -49,7 +49,9 @@ class Warehouse:
 
     @cached_property
     def viewing(self) -> DataFrame:
-        return self._staged(shop.viewing(self.spark, self.sf_dir), "viewing")
+        """What is made of it runs in tasks that follow its rows, too."""
+        staged = self._staged(shop.viewing(self.spark, self.sf_dir), "viewing")
+        return sized(self.spark, staged.count()).read.schema(staged.schema).parquet(f"{self.folder}/viewing")
 
     @cached_property
     def half_feed(self) -> DataFrame:
