@@ -1,6 +1,9 @@
 """Tasks of the passes over many rows: their number follows the rows."""
 
+import os
 import shutil
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +45,21 @@ def test_sized_sessions_keep_the_settings(spark, set_conf):
     assert set(before) <= set(spark.conf.getAll)
 
 
+def test_sized_sessions_leave_settings_of_the_application():
+    """A second ``getOrCreate`` keeps names there that cannot be set any more."""
+    code = (
+        "from pyspark.sql import SparkSession; from marquee.session import sized, local_session; local_session(2); "
+        "late = SparkSession.builder.config(map={'spark.driver.memory': '1g', 'spark.sql.warehouse.dir': '/tmp/elsewhere'}).getOrCreate(); "
+        "late.conf.set('own.key', 'kept'); beside = sized(late, 9_000_000); "
+        "assert beside is not late and beside.conf.get('own.key') == 'kept' and beside.range(3).count() == 3"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", code], env={**os.environ, "PYTHONPATH": root}, capture_output=True, text=True, timeout=120
+    )
+    assert done.returncode == 0, done.stderr
+
+
 def test_sizes_of_settings():
     assert [session.byte_size(x) for x in ("8192", "8k", "64MB", "1 g", "-1", "10b")] == [8192, 8192, 64 << 20, 1 << 30, -1, 10]
 
